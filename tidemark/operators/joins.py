@@ -1,0 +1,23 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A zone dimension has a few hundred rows; anything past this is not a
+# dimension we are willing to copy to every executor.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` as is.
+
+    The check is ``limit(max_rows + 1).count()``: it stops reading once the
+    bound is passed, so it costs at most one small scan. Beyond the bound the
+    join falls back to a shuffle join that AQE may still convert at runtime.
+    """
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df)
+    return df
