@@ -18,24 +18,38 @@ from tidemark.functions.columns import money_sum
 from tidemark.operators.joins import sized_broadcast
 
 
-def cells(silver: DataFrame) -> DataFrame:
-    """Revenue and trip count per (date, hour, zone id)."""
-    return silver.groupBy("date", "hour", "PULocationID").agg(
+CELL_KEYS = ("date", "hour", "PULocationID")
+
+
+def cells(silver: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Revenue and trip count per (date, hour, zone id) [and ``extra_keys``]."""
+    return silver.groupBy(*CELL_KEYS, *extra_keys).agg(
         money_sum("total_amount").alias("total_amount"),
         F.count(F.lit(1)).alias("n_trips"),
     )
 
 
-def _zone_names(zones: DataFrame) -> DataFrame:
-    return sized_broadcast(zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone")))
+def fold_cells(partials: DataFrame) -> DataFrame:
+    """Sum partial cells (e.g. one set per source file) into cells."""
+    return partials.groupBy(*CELL_KEYS).agg(
+        money_sum("total_amount").alias("total_amount"),
+        F.sum("n_trips").alias("n_trips"),
+    )
+
+
+def _bounded(df: DataFrame, broadcast: bool | None) -> DataFrame:
+    """``broadcast=None`` checks the size now; True/False is a check the caller made."""
+    if broadcast is None:
+        return sized_broadcast(df)
+    return F.broadcast(df) if broadcast else df
 
 
-def hour_denorm(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
+def hour_denorm(cells_df: DataFrame, zones: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Revenue per (zone name, date, hour); trips of unknown zones drop out.
 
     Grouping is by the zone *name*, so ids that share a name are merged.
     """
-    z = _zone_names(zones)
+    z = _bounded(zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone")), broadcast)
     joined = cells_df.join(z, cells_df["PULocationID"] == z["LocationID"], "inner")
     return joined.groupBy("zone", "date", "hour").agg(money_sum("total_amount").alias("total_amount"))
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` as is.
 
@@ -17,7 +22,4 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     bound is passed, so it costs at most one small scan. Beyond the bound the
     join falls back to a shuffle join that AQE may still convert at runtime.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -80,6 +80,21 @@ CELLS = T.StructType(
     ]
 )
 
+# Gold file cells: the same grain per source file, partitioned like silver. A
+# date's cells are the sum over its files' cells, so a late or replayed file
+# never forces a re-read of the other files' trip rows.
+FILE_CELLS = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("hour", T.IntegerType()),
+        T.StructField("PULocationID", T.IntegerType()),
+        T.StructField("total_amount", MONEY),
+        T.StructField("n_trips", T.LongType()),
+        T.StructField("p_date", T.DateType()),
+        T.StructField("source_file", T.StringType()),
+    ]
+)
+
 # Gold hour_denorm: revenue per (zone name, date, hour), matched zones only.
 HOUR_DENORM = T.StructType(
     [
