@@ -17,7 +17,7 @@ from tidemark.sinks import fs
 from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
-from tidemark.streaming.ingest import TickReport, replay_files, run_ingest
+from tidemark.streaming.ingest import TickReport, replay_files, run_ingest, start_ingest
 
 
 def _zones(spark: SparkSession, zones) -> DataFrame:
@@ -41,13 +41,25 @@ def run_etl(
     zones,
     max_files_per_trigger: int | None = 50,
     archive: bool = False,
+    bronze: bool = False,
 ) -> TickReport:
     """One tick: ingest every new file in ``landing`` into the lake at ``root``."""
     return run_ingest(
-        spark, landing, Lake(root), _zones(spark, zones), max_files_per_trigger=max_files_per_trigger, archive=archive
+        spark,
+        landing,
+        Lake(root),
+        _zones(spark, zones),
+        max_files_per_trigger=max_files_per_trigger,
+        archive=archive,
+        bronze=bronze,
     )
 
 
+def start_etl(spark: SparkSession, landing: str, root: str, zones, interval: str = "60 seconds", **kw):
+    """Long-running ingest with a fixed cadence; returns the StreamingQuery."""
+    return start_ingest(spark, landing, Lake(root), _zones(spark, zones), interval=interval, **kw)
+
+
 def replay(spark: SparkSession, root: str, paths: list[str], zones) -> dict:
     """Re-ingest files whose content changed under a name already taken."""
     return replay_files(spark, paths, Lake(root), _zones(spark, zones))

@@ -273,7 +273,7 @@ UNION ALL
 SELECT *, 'live' AS stage FROM (""" + SERVING_SQL + ")",
     "reset_tables": """
 SELECT table_name, CAST(n AS BIGINT) AS n FROM (VALUES
-  ('silver', 0), ('quarantine', 0), ('file_cells', 0), ('cells', 0),
+  ('bronze', 0), ('silver', 0), ('quarantine', 0), ('file_cells', 0), ('cells', 0),
   ('hour_denorm', 0), ('serving', 0), ('ledger', 0)) t(table_name, n)""",
     "ledger_after_ingest": oracle._with(oracle.SILVER) + """
 SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_path, 'done' AS status FROM silver""",

@@ -31,6 +31,9 @@ RAW_TRIPS = T.StructType(
     ]
 )
 
+# Bronze: the raw columns as landed plus the file they came from (optional copy).
+BRONZE = T.StructType([*RAW_TRIPS.fields, T.StructField("source_file", T.StringType())])
+
 # Columns the pipeline reads from a raw file; everything else is pruned at the scan.
 TRIP_COLUMNS = ("tpep_pickup_datetime", "PULocationID", "total_amount")
 

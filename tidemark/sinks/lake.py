@@ -26,6 +26,10 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @property
+    def bronze(self) -> str:
+        return self.path("bronze/trips")
+
     @property
     def silver(self) -> str:
         return self.path("silver/trips")
@@ -65,6 +69,7 @@ class Lake:
 
 # name -> (schema, partition columns)
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
+    "bronze": (schemas.BRONZE, ("source_file",)),
     "silver": (schemas.SILVER, ("p_date", "source_file")),
     "quarantine": (schemas.QUARANTINE, ("source_file",)),
     "file_cells": (schemas.FILE_CELLS, ("p_date", "source_file")),

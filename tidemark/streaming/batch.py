@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
-from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -53,9 +52,18 @@ def _timed(timings: dict, stage: str):
         timings[stage] = round(timings.get(stage, 0.0) + time.perf_counter() - t0, 3)
 
 
-def _ledger(spark: SparkSession, files: Iterable[str], stamps: dict[str, _dt.datetime], batch_id: int) -> DataFrame:
-    rows = [(f, status, ts, int(batch_id)) for f in files for status, ts in stamps.items()]
-    return spark.createDataFrame(rows, "file_path string, status string, ts timestamp_ntz, batch_id long")
+def _ledger(files: DataFrame, stamps: dict[str, _dt.datetime], batch_id: int) -> DataFrame:
+    """One event per (file, stage). ``files`` is a one-column DataFrame of names;
+    the stages are literals, so everything stays in the JVM (no Python rows)."""
+    events = F.array(
+        *[
+            F.struct(F.lit(status).alias("status"), F.lit(ts).cast("timestamp_ntz").alias("ts"))
+            for status, ts in stamps.items()
+        ]
+    )
+    return files.select(
+        F.col("source_file").alias("file_path"), F.explode(events).alias("e"), F.lit(int(batch_id)).alias("batch_id")
+    ).select("file_path", "e.status", "e.ts", "batch_id")
 
 
 def _leaf_dirs(table: DataFrame, files: list[str], with_date: bool = True) -> list:
@@ -105,16 +113,21 @@ def process_batch(
     replay: bool = False,
     fail_at: str | None = None,
     broadcast_zones: bool | None = None,
+    bronze: bool = False,
 ) -> dict:
     """Write one batch of raw trip rows (with ``source_file``) through all layers.
 
     ``replay=True`` is for files whose content changed under a known name:
     their old silver rows and file cells on dates the new content no longer
     has are removed, and those dates are rebuilt too. ``fail_at`` ('silver' or
-    'gold') raises after that stage, to test crash recovery.
+    'gold') raises after that stage, to test crash recovery. ``bronze=True``
+    also keeps a raw copy of every column, partitioned by source file (K1).
     """
     spark = batch.sparkSession
     tm: dict[str, float] = {}
+    if bronze:
+        with _timed(tm, "bronze"):
+            overwrite_partitions(batch, lake, "bronze")
     typed = batch.select(*TRIP_COLUMNS, "source_file").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # One small action: (file, day, valid) counts. Bounded by files x days.
@@ -124,12 +137,14 @@ def process_batch(
             ).count().collect()
         files = sorted({r["source_file"] for r in pairs})
         if not files:
-            return {"batch_id": batch_id, "files": [], "dates": [], "rejected": 0, "timings": tm}
+            return {"batch_id": batch_id, "files": [], "dates": [], "rows": 0, "rejected": 0, "timings": tm}
         new_dates = sorted({r["d"] for r in pairs if r["d"] is not None and r["ok"]})
+        n_rows = sum(r["count"] for r in pairs)
         n_rejected = sum(r["count"] for r in pairs if not r["ok"])
         stamps = {"bronze": _now()}
+        names = typed.select("source_file").distinct().coalesce(1)
         with _timed(tm, "ledger"):
-            append(_ledger(spark, files, stamps, batch_id), lake, "ledger")
+            append(_ledger(names, stamps, batch_id), lake, "ledger")
 
         old_silver, old_cells, old_rejects = [], [], []
         if replay:
@@ -174,11 +189,12 @@ def process_batch(
         stamps["done"] = _now()
         stamps.pop("bronze")
         with _timed(tm, "ledger"):
-            append(_ledger(spark, files, stamps, batch_id), lake, "ledger")
+            append(_ledger(names, stamps, batch_id), lake, "ledger")
         return {
             "batch_id": batch_id,
             "files": files,
             "dates": [d.isoformat() for d in dates],
+            "rows": n_rows,
             "rejected": n_rejected,
             "timings": tm,
         }

@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.joins import fits_broadcast
 from tidemark.schemas import TRIP_COLUMNS
@@ -46,15 +47,57 @@ def run_ingest(
     archive: bool = False,
     fail_at: str | None = None,
     timeout_s: float | None = None,
+    bronze: bool = False,
 ) -> TickReport:
     """Process all files that are new in ``landing`` and stop (one tick).
 
     ``fail_at`` makes the first batch of this tick raise after that stage
     (crash test); the error propagates, and the next tick resumes that batch.
     """
-    migrate(spark, lake)
-    small_zones = fits_broadcast(zones)  # checked once per tick, not per batch
     report = TickReport()
+    query = start_ingest(
+        spark,
+        landing,
+        lake,
+        zones,
+        max_files_per_trigger=max_files_per_trigger,
+        archive=archive,
+        fail_at=fail_at,
+        bronze=bronze,
+        report=report,
+        available_now=True,
+    )
+    try:
+        finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+        if timeout_s and not finished:
+            raise TimeoutError(f"ingest tick did not finish in {timeout_s}s")
+    finally:
+        if query.isActive:
+            query.stop()
+    return report
+
+
+def start_ingest(
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    zones: DataFrame,
+    max_files_per_trigger: int | None = 50,
+    archive: bool = False,
+    fail_at: str | None = None,
+    bronze: bool = False,
+    report: TickReport | None = None,
+    available_now: bool = False,
+    interval: str = "60 seconds",
+) -> StreamingQuery:
+    """Start the ingest query: every ``interval`` (the reference's 60 s cadence)
+    or, with ``available_now``, once over what is there. Returns the query.
+
+    A long-running query replaces an external scheduler: one driver, one
+    checkpoint, one writer, and no JVM start per tick.
+    """
+    migrate(spark, lake)
+    small_zones = fits_broadcast(zones)  # checked once per query start, not per batch
     failed = {"done": False}
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
@@ -62,8 +105,10 @@ def run_ingest(
         if fail_at and not failed["done"]:
             failed["done"] = True
             inject = fail_at
-        out = process_batch(batch_df, batch_id, lake, zones, fail_at=inject, broadcast_zones=small_zones)
-        if out["files"]:
+        out = process_batch(
+            batch_df, batch_id, lake, zones, fail_at=inject, broadcast_zones=small_zones, bronze=bronze
+        )
+        if out["files"] and report is not None:
             report.batches.append(out)
 
     stream = trips_stream(
@@ -71,21 +116,12 @@ def run_ingest(
         landing,
         max_files_per_trigger=max_files_per_trigger,
         archive_dir=lake.archive if archive else None,
-    ).select(*TRIP_COLUMNS, "source_file")
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", lake.checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    try:
-        finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-        if timeout_s and not finished:
-            raise TimeoutError(f"ingest tick did not finish in {timeout_s}s")
-    finally:
-        if query.isActive:
-            query.stop()
-    return report
+    if not bronze:
+        stream = stream.select(*TRIP_COLUMNS, "source_file")
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", lake.checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
 
 
 def replay_files(spark: SparkSession, paths: list[str], lake: Lake, zones: DataFrame, batch_id: int = -1) -> dict:
