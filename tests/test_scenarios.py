@@ -220,3 +220,19 @@ def test_stuck_files_report(spark, tmp_path, zones_csv):
     stuck = api.stuck_files_df(spark, root, later, older_than_minutes=1).collect()
     assert [(r["file_path"], r["status"], r["attempts"]) for r in stuck] == [("2019-01-01.parquet", "bronze", 1)]
     assert [tuple(r) for r in api.backlog_df(spark, root).collect()] == [("bronze", 1)]
+
+
+def test_ledger_compaction_keeps_rows_and_cuts_files(spark, landing, root, zones_csv):
+    import datetime as dt
+    import glob
+
+    for d in range(1, 4):
+        write_day(landing, f"2019-01-0{d}", [trip(f"2019-01-0{d} 05:10:00", 1.0)])
+        api.run_etl(spark, str(landing), root, zones_csv)
+    before = sorted(tuple(r) for r in api.ledger_status_df(spark, root).collect())
+    n_files = len(glob.glob(f"{root}/ledger/events/p_day=*/*.parquet"))
+    assert n_files >= 6
+    tomorrow = dt.datetime.now(dt.timezone.utc).date() + dt.timedelta(days=1)
+    assert api.compact_ledger(spark, root, tomorrow) == 12  # 3 files x 4 states
+    assert len(glob.glob(f"{root}/ledger/events/p_day=*/*.parquet")) <= 2  # one per day (UTC midnight may split)
+    assert sorted(tuple(r) for r in api.ledger_status_df(spark, root).collect()) == before

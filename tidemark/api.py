@@ -71,6 +71,11 @@ def reset(spark: SparkSession, root: str) -> None:
     _SERVING_CACHE.pop(root, None)
 
 
+def compact_ledger(spark: SparkSession, root: str, before) -> int:
+    """One file per ledger day for days before ``before`` (housekeeping)."""
+    return lake_mod.compact_ledger(spark, Lake(root), before)
+
+
 def hour_denorm_df(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, Lake(root), "hour_denorm")
 

@@ -126,6 +126,7 @@ LEDGER = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("ts", T.TimestampNTZType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("p_day", T.DateType()),
     ]
 )
 

@@ -76,7 +76,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "cells": (schemas.CELLS, ("p_date",)),
     "hour_denorm": (schemas.HOUR_DENORM, ("p_date",)),
     "serving": (schemas.SERVING, ()),
-    "ledger": (schemas.LEDGER, ()),
+    "ledger": (schemas.LEDGER, ("p_day",)),
 }
 
 
@@ -141,6 +141,26 @@ def clear_partition(spark: SparkSession, lake: Lake, name: str, leaf: str) -> No
     fs.delete(spark, f"{table_path(lake, name)}/{leaf}", recursive=True)
 
 
+def compact_ledger(spark: SparkSession, lake: Lake, before) -> int:
+    """Rewrite the ledger's day folders before ``before`` as one file per day.
+
+    Every batch appends two small files; compaction keeps the file count per
+    day at one. The rows are first checkpointed into ``spark.checkpoint.dir``
+    (a reliable checkpoint on shared storage), which cuts the lineage to the
+    files about to be replaced, then the days are overwritten in place.
+    Returns the number of rows rewritten.
+    """
+    from tidemark.session import checkpoint_root
+
+    checkpoint_root(spark)  # make sure a checkpoint folder is set
+    old = read_table(spark, lake, "ledger").where(F.col("p_day") < F.lit(before))
+    frozen = old.checkpoint(eager=True)
+    n = frozen.count()
+    if n:
+        overwrite_partitions(frozen.repartition("p_day"), lake, "ledger")
+    return n
+
+
 def serving_zero(spark: SparkSession) -> DataFrame:
     """24 serving rows at zero (hours 0..23)."""
     return spark.range(24).select(

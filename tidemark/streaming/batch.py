@@ -63,7 +63,7 @@ def _ledger(files: DataFrame, stamps: dict[str, _dt.datetime], batch_id: int) ->
     )
     return files.select(
         F.col("source_file").alias("file_path"), F.explode(events).alias("e"), F.lit(int(batch_id)).alias("batch_id")
-    ).select("file_path", "e.status", "e.ts", "batch_id")
+    ).select("file_path", "e.status", "e.ts", "batch_id", F.to_date("e.ts").alias("p_day"))
 
 
 def _leaf_dirs(table: DataFrame, files: list[str], with_date: bool = True) -> list:
