@@ -5,6 +5,7 @@ from tidemark.functions.columns import (  # noqa: F401
     file_month,
     money,
     money_sum,
+    ntz,
     pickup_date,
     pickup_hour,
     reject_reason,

@@ -71,6 +71,14 @@ def reject_reason(pickup: str = PICKUP, location: str = "PULocationID", amount:
     )
 
 
+def ntz(value) -> Column:
+    """A wall-clock timestamp literal (timestamp_ntz) from a naive datetime or
+    an ISO string. Built from text, so neither the Python process's zone nor
+    the session zone shifts it."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def file_date(name: Column) -> Column:
     """Day encoded in a landing file name such as ``2019-01-01.parquet``."""
     return F.try_to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import PICKUP, file_date, file_month, money_sum, pickup_date
+from tidemark.functions.columns import PICKUP, file_date, file_month, money_sum, ntz, pickup_date
 
 
 def rows_per_day(raw: DataFrame, pickup: str = PICKUP) -> DataFrame:
@@ -52,7 +52,7 @@ def month_filter(raw: DataFrame, month: str, pickup: str = PICKUP) -> DataFrame:
     """
     start, end = month_range(month)
     ts = F.col(pickup)
-    rows = raw.where(ts.isNotNull() & (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz")))
+    rows = raw.where(ts.isNotNull() & (ts >= ntz(start)) & (ts < ntz(end)))
     return rows.groupBy(pickup_date(pickup).alias("date")).agg(
         F.count(F.lit(1)).alias("n"),
         money_sum(F.col("total_amount").try_cast("decimal(18,2)")).alias("total_amount"),

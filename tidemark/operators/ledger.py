@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import ntz
+
 DONE = "done"
 
 
@@ -40,7 +42,7 @@ def stuck(events: DataFrame, now, older_than_minutes: int, done: str = DONE) ->
         F.max("ts").alias("last_ts"),
         F.count(F.lit(1)).alias("attempts"),
     )
-    cutoff = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(older_than_minutes))
+    cutoff = ntz(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(older_than_minutes))
     return per_file.where((F.col("status") != F.lit(done)) & (F.col("last_ts") < cutoff))
 
 

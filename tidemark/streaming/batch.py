@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import PICKUP, pickup_date, valid_trip
+from tidemark.functions.columns import PICKUP, ntz, pickup_date, valid_trip
 from tidemark.operators import gold, serving
 from tidemark.operators import silver as silver_op
 from tidemark.schemas import TRIP_COLUMNS
@@ -57,7 +57,7 @@ def _ledger(files: DataFrame, stamps: dict[str, _dt.datetime], batch_id: int) ->
     the stages are literals, so everything stays in the JVM (no Python rows)."""
     events = F.array(
         *[
-            F.struct(F.lit(status).alias("status"), F.lit(ts).cast("timestamp_ntz").alias("ts"))
+            F.struct(F.lit(status).alias("status"), ntz(ts).alias("ts"))
             for status, ts in stamps.items()
         ]
     )
