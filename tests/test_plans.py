@@ -53,6 +53,9 @@ def test_total_revenue_reads_one_date_folder(spark, tmp_path, zones_csv):
     api.run_etl(spark, str(land), root, zones_csv)
     p = plan(api.total_revenue_df(spark, root, "2019-01-01", 5))
     assert re.search(r"PartitionFilters: \[.*p_date.*2019-01-01", p)
+    # only that date's folder is listed, not the whole table
+    loc = re.search(r"Location: InMemoryFileIndex \[([^\]]*)\]", p).group(1)
+    assert "p_date=2019-01-01" in loc and "p_date=2019-01-02" not in loc
 
 
 def test_month_filter_is_a_pushed_range(spark):

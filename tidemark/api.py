@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import gold, ledger, serving
 from tidemark.sinks import fs
 from tidemark.sinks import lake as lake_mod
-from tidemark.sinks.lake import Lake, read_table
+from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
 from tidemark.streaming.ingest import TickReport, replay_files, run_ingest, start_ingest
 
@@ -81,8 +81,10 @@ def hour_denorm_df(spark: SparkSession, root: str) -> DataFrame:
 
 
 def total_revenue_df(spark: SparkSession, root: str, d, h: int, zone: str | None = None) -> DataFrame:
-    """One-row DataFrame ``(date, hour, total_revenue)``; the scan prunes to one date folder."""
-    return serving.cell_total(hour_denorm_df(spark, root), d, h, zone=zone)
+    """One-row DataFrame ``(date, hour, total_revenue)``. Only the date's folder
+    is listed and read, however many dates the table holds."""
+    day = serving.as_date(d)
+    return serving.cell_total(read_dates(spark, Lake(root), "hour_denorm", [day]), day, h, zone=zone)
 
 
 def total_revenue(spark: SparkSession, root: str, d, h: int, zone: str | None = None) -> float:

@@ -90,6 +90,23 @@ def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path(lake, name))
 
 
+def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str = "p_date") -> DataFrame:
+    """Read only the given date folders of a date-partitioned table.
+
+    A filter on the partition column also prunes, but Spark first lists every
+    partition folder of the table; opening the folders by path keeps the cost
+    of a batch or a point lookup independent of how much history the table
+    holds. Folders that do not exist are skipped (an empty result if none do).
+    """
+    schema, _ = TABLES[name]
+    base = table_path(lake, name)
+    paths = [f"{base}/{column}={d.isoformat()}" for d in sorted(set(dates))]
+    paths = [p for p in paths if fs.exists(spark, p)]
+    if not paths:
+        return empty(spark, name)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+
 def empty(spark: SparkSession, name: str) -> DataFrame:
     schema, _ = TABLES[name]
     return spark.createDataFrame([], schema)

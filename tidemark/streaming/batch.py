@@ -32,7 +32,15 @@ from tidemark.operators import gold, serving
 from tidemark.operators import silver as silver_op
 from tidemark.schemas import TRIP_COLUMNS
 from tidemark.sinks import fs
-from tidemark.sinks.lake import Lake, append, clear_partition, overwrite_partitions, overwrite_table, read_table
+from tidemark.sinks.lake import (
+    Lake,
+    append,
+    clear_partition,
+    overwrite_partitions,
+    overwrite_table,
+    read_dates,
+    read_table,
+)
 
 
 class InjectedFailure(RuntimeError):
@@ -83,12 +91,12 @@ def rebuild_gold(
 ) -> None:
     """Recompute gold cells and hour_denorm for ``dates`` from their file cells.
 
-    The file-cell scan is pruned to those dates' folders. ``repartition('p_date')``
+    Only those dates' folders are listed and read. ``repartition('p_date')``
     on the (small) result gives one file per date and table.
     """
     if not dates:
         return
-    partials = read_table(spark, lake, "file_cells").where(F.col("p_date").isin(dates))
+    partials = read_dates(spark, lake, "file_cells", dates)
     cells = gold.fold_cells(partials).withColumn("p_date", F.col("date")).repartition("p_date")
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -162,7 +170,9 @@ def process_batch(
             if n_rejected:
                 overwrite_partitions(silver_op.quarantine(typed, carry=("source_file",)), lake, "quarantine")
 
-        file_cells = gold.cells(valid, extra_keys=("p_date", "source_file"))
+        # aggregate first (map-side partial), then one task per (date, file) leaf:
+        # the shuffle carries cells, never trip rows, and each leaf gets one file
+        file_cells = gold.cells(valid, extra_keys=("p_date", "source_file")).repartition("p_date", "source_file")
         with _timed(tm, "file_cells"):
             overwrite_partitions(file_cells, lake, "file_cells")
 
@@ -204,7 +214,7 @@ def process_batch(
 
 def _clear_empty_gold(spark: SparkSession, lake: Lake, dates: list[_dt.date]) -> None:
     """Drop gold date folders whose file cells are all gone (replay only)."""
-    left = read_table(spark, lake, "file_cells").where(F.col("p_date").isin(dates))
+    left = read_dates(spark, lake, "file_cells", dates)
     present = {r["p_date"] for r in left.select("p_date").distinct().collect()}
     for d in dates:
         if d not in present:
