@@ -11,6 +11,8 @@ whole point: ticks, crashes, replays and late files converge to one batch.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,11 +132,21 @@ def late_file_same_day(spark, sf):
     return _gold(spark, lake)
 
 
+def land_in_name_order(spark: SparkSession, paths: list[str], step_ms: int = 1000) -> None:
+    """Give the files strictly increasing mtimes in name order, as a producer
+    dropping one daily file after another would. The file stream takes files
+    oldest first, so batches then hold consecutive days."""
+    start = int(time.time() * 1000) - step_ms * (len(paths) + 1)
+    for k, path in enumerate(sorted(paths)):
+        fs.set_modification_time(spark, path, start + k * step_ms)
+
+
 def stream_archive(spark, sf):
-    """Consumed files are moved to the archive (lagging one batch); returns the
-    archived file names."""
+    """Consumed files are moved to the archive, lagging one batch: after a
+    tick, every batch but the last is archived. Files land in name order, so
+    the archive holds the first days. Returns the archived file names."""
     root, landing, lake, zones = _setup(spark, sf, "archive")
-    split_days(spark, standin.trips(spark, sf), landing)
+    land_in_name_order(spark, split_days(spark, standin.trips(spark, sf), landing))
     _tick(spark, landing, lake, zones, max_files_per_trigger=FILES_PER_BATCH, archive=True)
     archived = (
         spark.read.schema(RAW_TRIPS)
@@ -275,6 +287,12 @@ SELECT *, 'live' AS stage FROM (""" + SERVING_SQL + ")",
 SELECT table_name, CAST(n AS BIGINT) AS n FROM (VALUES
   ('bronze', 0), ('silver', 0), ('quarantine', 0), ('file_cells', 0), ('cells', 0),
   ('hour_denorm', 0), ('serving', 0), ('ledger', 0)) t(table_name, n)""",
+    # daily files in name order, batches of FILES_PER_BATCH; all but the last batch archived
+    "stream_archive": oracle._with(oracle.SILVER) + f""",
+days AS (SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_name FROM silver),
+ranked AS (SELECT file_name, ROW_NUMBER() OVER (ORDER BY file_name) AS k, COUNT(*) OVER () AS n FROM days)
+SELECT file_name FROM ranked
+WHERE k <= {FILES_PER_BATCH} * CAST(FLOOR((n - 1) / {FILES_PER_BATCH}) AS BIGINT)""",
     "ledger_after_ingest": oracle._with(oracle.SILVER) + """
 SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_path, 'done' AS status FROM silver""",
 }
