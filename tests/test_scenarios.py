@@ -75,6 +75,8 @@ def test_replay_that_empties_a_date_clears_gold(spark, landing, root, zones_csv)
     assert _cells(spark, root) == {("2019-02-02", 5): 10.0}
     cells = read_table(spark, Lake(root), "cells").select("date").distinct().collect()
     assert [r["date"].isoformat() for r in cells] == ["2019-02-02"]
+    day_hours = read_table(spark, Lake(root), "day_hours").select("date").distinct().collect()
+    assert [r["date"].isoformat() for r in day_hours] == ["2019-02-02"]
 
 
 @pytest.mark.parametrize("stage", ["silver", "gold"])
@@ -236,3 +238,31 @@ def test_ledger_compaction_keeps_rows_and_cuts_files(spark, landing, root, zones
     assert api.compact_ledger(spark, root, tomorrow) == 12  # 3 files x 4 states
     assert len(glob.glob(f"{root}/ledger/events/p_day=*/*.parquet")) <= 2  # one per day (UTC midnight may split)
     assert sorted(tuple(r) for r in api.ledger_status_df(spark, root).collect()) == before
+
+
+def test_day_hours_follow_cells_and_feed_serving(spark, landing, root, zones_csv):
+    write_day(landing, "2019-01-01", [trip("2019-01-01 05:10:00", 10.0), trip("2019-01-01 05:40:00", 2.0, location=999)])
+    write_day(landing, "2019-01-02", [trip("2019-01-02 05:20:00", 15.0), trip("2019-01-02 07:00:00", 4.0)])
+    api.run_etl(spark, str(landing), root, zones_csv)
+    lake = Lake(root)
+    rows = read_table(spark, lake, "day_hours").collect()
+    # unmatched zones are included: day_hours is over all trips
+    assert {(r["date"].isoformat(), r["hour"]): float(r["revenue"]) for r in rows} == {
+        ("2019-01-01", 5): 12.0,
+        ("2019-01-02", 5): 15.0,
+        ("2019-01-02", 7): 4.0,
+    }
+    assert all(r["p_date"] == r["date"] for r in rows)
+    assert api.cumulative_revenue(spark, root, 5) == pytest.approx(27.0)
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(13.5)
+
+
+def test_migrate_derives_missing_day_hours_from_cells(spark, landing, root, zones_csv):
+    import shutil
+
+    write_day(landing, "2019-01-01", [trip("2019-01-01 05:10:00", 10.0)])
+    api.run_etl(spark, str(landing), root, zones_csv)
+    shutil.rmtree(Lake(root).day_hours)  # a lake written before the table existed
+    assert api.migrate(spark, root) == ["day_hours"]
+    rows = read_table(spark, Lake(root), "day_hours").collect()
+    assert [(r["date"].isoformat(), r["hour"], float(r["revenue"])) for r in rows] == [("2019-01-01", 5, 10.0)]

@@ -47,10 +47,15 @@ def _bounded(df: DataFrame, broadcast: bool | None) -> DataFrame:
 def hour_denorm(cells_df: DataFrame, zones: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Revenue per (zone name, date, hour); trips of unknown zones drop out.
 
-    Grouping is by the zone *name*, so ids that share a name are merged.
+    Grouping is by the zone *name*, so ids that share a name are merged. Lake
+    cells carry ``p_date`` (= ``date``); grouping on it keeps their
+    ``p_date`` partitioning through a broadcast join, so no shuffle is needed.
     """
     z = _bounded(zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone")), broadcast)
     joined = cells_df.join(z, cells_df["PULocationID"] == z["LocationID"], "inner")
+    if "p_date" in cells_df.columns:
+        out = joined.groupBy("zone", "p_date", "hour").agg(money_sum("total_amount").alias("total_amount"))
+        return out.withColumn("date", F.col("p_date"))
     return joined.groupBy("zone", "date", "hour").agg(money_sum("total_amount").alias("total_amount"))
 
 
@@ -69,6 +74,17 @@ def day_hour(cells_df: DataFrame) -> DataFrame:
     return cells_df.groupBy("date", "hour").agg(money_sum("total_amount").alias("revenue"))
 
 
+def day_hour_by_partition(cells_df: DataFrame) -> DataFrame:
+    """``day_hour`` of cells that carry ``p_date`` (= ``date``), grouped on
+    ``p_date``: cells already hash-partitioned by ``p_date`` need no shuffle,
+    and the result keeps that partitioning for a one-file-per-date write."""
+    return (
+        cells_df.groupBy("p_date", "hour")
+        .agg(money_sum("total_amount").alias("revenue"))
+        .withColumn("date", F.col("p_date"))
+    )
+
+
 def hourly(cells_df: DataFrame) -> DataFrame:
     """Cumulative revenue per hour of day over all trips (A1)."""
     return cells_df.groupBy("hour").agg(money_sum("total_amount").alias("revenue"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import money_sum
-from tidemark.operators import gold
 
 HOURS = 24
 
@@ -51,11 +50,12 @@ def dense_hours(spark: SparkSession, hourly_df: DataFrame, value: str = "revenue
     return j.select("hour", F.coalesce(F.col("v").cast("double"), F.lit(0.0)).alias(value))
 
 
-def serving_table(spark: SparkSession, cells_df: DataFrame) -> DataFrame:
+def serving_table(spark: SparkSession, day_hour_df: DataFrame) -> DataFrame:
     """The 24-row serving table: cumulative revenue, average hourly revenue,
-    number of days seen, per hour of day. Built from gold cells only."""
-    dh = gold.day_hour(cells_df)
-    per_hour = dh.groupBy("hour").agg(
+    number of days seen, per hour of day. Built from the (date, hour) totals
+    (``gold.day_hour``, stored as the ``day_hours`` table): one row per
+    observed (date, hour), so the row count per hour is the days it was seen."""
+    per_hour = day_hour_df.groupBy("hour").agg(
         F.sum("revenue").alias("rev_sum"),
         F.count(F.lit(1)).alias("n_days"),
     )

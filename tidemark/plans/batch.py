@@ -119,7 +119,7 @@ def serving_hourly_dense(spark, sf):
 
 
 def serving_lookup(spark, sf):
-    return serving.lookup_hour(serving.serving_table(spark, cells(spark, sf)), LOOKUP_HOUR)
+    return serving.lookup_hour(serving.serving_table(spark, gold.day_hour(cells(spark, sf))), LOOKUP_HOUR)
 
 
 def avg_revenue(spark, sf):

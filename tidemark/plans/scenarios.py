@@ -286,7 +286,7 @@ SELECT *, 'live' AS stage FROM (""" + SERVING_SQL + ")",
     "reset_tables": """
 SELECT table_name, CAST(n AS BIGINT) AS n FROM (VALUES
   ('bronze', 0), ('silver', 0), ('quarantine', 0), ('file_cells', 0), ('cells', 0),
-  ('hour_denorm', 0), ('serving', 0), ('ledger', 0)) t(table_name, n)""",
+  ('hour_denorm', 0), ('day_hours', 0), ('serving', 0), ('ledger', 0)) t(table_name, n)""",
     # daily files in name order, batches of FILES_PER_BATCH; all but the last batch archived
     "stream_archive": oracle._with(oracle.SILVER) + f""",
 days AS (SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_name FROM silver),

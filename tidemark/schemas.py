@@ -109,6 +109,17 @@ HOUR_DENORM = T.StructType(
     ]
 )
 
+# Gold day_hours: revenue per (date, hour) over all trips, unmatched zones
+# included; 24 rows per date, the compact input of the serving table.
+DAY_HOURS = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("hour", T.IntegerType()),
+        T.StructField("revenue", MONEY),
+        T.StructField("p_date", T.DateType()),
+    ]
+)
+
 # Serving: 24 rows, cumulative revenue and average hourly revenue per hour of day.
 SERVING = T.StructType(
     [

@@ -50,6 +50,10 @@ class Lake:
     def hour_denorm(self) -> str:
         return self.path("gold/hour_denorm")
 
+    @property
+    def day_hours(self) -> str:
+        return self.path("gold/day_hours")
+
     @property
     def serving(self) -> str:
         return self.path("serving/hourly")
@@ -75,6 +79,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "file_cells": (schemas.FILE_CELLS, ("p_date", "source_file")),
     "cells": (schemas.CELLS, ("p_date",)),
     "hour_denorm": (schemas.HOUR_DENORM, ("p_date",)),
+    "day_hours": (schemas.DAY_HOURS, ("p_date",)),
     "serving": (schemas.SERVING, ()),
     "ledger": (schemas.LEDGER, ("p_day",)),
 }
@@ -205,6 +210,13 @@ def migrate(spark: SparkSession, lake: Lake) -> list[str]:
             # An empty folder is an empty table: every read passes the schema.
             fs.mkdirs(spark, path)
         created.append(name)
+    if "day_hours" in created and "cells" not in created:
+        # a lake from before day_hours existed: derive it once from gold cells
+        from tidemark.operators.gold import day_hour
+
+        cells = read_table(spark, lake, "cells")
+        if cells.limit(1).count():
+            overwrite_partitions(day_hour(cells).withColumn("p_date", F.col("date")), lake, "day_hours")
     return created
 
 

@@ -89,10 +89,12 @@ def rebuild_gold(
     dates: list[_dt.date],
     broadcast_zones: bool | None = None,
 ) -> None:
-    """Recompute gold cells and hour_denorm for ``dates`` from their file cells.
+    """Recompute gold cells, day_hours and hour_denorm for ``dates`` from their
+    file cells.
 
     Only those dates' folders are listed and read. ``repartition('p_date')``
-    on the (small) result gives one file per date and table.
+    on the (small) result gives one file per date and table; day_hours groups
+    on ``p_date`` and so reuses that partitioning without another shuffle.
     """
     if not dates:
         return
@@ -101,15 +103,17 @@ def rebuild_gold(
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         overwrite_partitions(cells, lake, "cells")
-        denorm = gold.hour_denorm(cells, zones, broadcast=broadcast_zones).withColumn("p_date", F.col("date"))
+        overwrite_partitions(gold.day_hour_by_partition(cells), lake, "day_hours")
+        # with a broadcast zone join this repartition is already satisfied and dropped
+        denorm = gold.hour_denorm(cells, zones, broadcast=broadcast_zones)
         overwrite_partitions(denorm.repartition("p_date"), lake, "hour_denorm")
     finally:
         cells.unpersist()
 
 
 def refresh_serving(spark: SparkSession, lake: Lake) -> None:
-    """Recompute the 24 serving rows from gold cells (a compact table)."""
-    overwrite_table(serving.serving_table(spark, read_table(spark, lake, "cells")), lake, "serving")
+    """Recompute the 24 serving rows from day_hours (24 rows per date)."""
+    overwrite_table(serving.serving_table(spark, read_table(spark, lake, "day_hours")), lake, "serving")
     fs.write_text(spark, f"{lake.serving}/_VERSION", _now().isoformat())
 
 
@@ -220,3 +224,4 @@ def _clear_empty_gold(spark: SparkSession, lake: Lake, dates: list[_dt.date]) ->
         if d not in present:
             clear_partition(spark, lake, "cells", f"p_date={d.isoformat()}")
             clear_partition(spark, lake, "hour_denorm", f"p_date={d.isoformat()}")
+            clear_partition(spark, lake, "day_hours", f"p_date={d.isoformat()}")
