@@ -96,3 +96,23 @@ def test_serving_lookup_and_dense_hours(spark):
     assert serving.lookup_hour(hourly, 23).collect()[0]["revenue"] == 1.0
     assert explore.first_n(hourly, 1, "hour").collect()[0]["hour"] == 1
     assert hourly.where(F.col("hour").between(0, 23)).count() == 2
+
+
+def test_read_dates_opens_only_existing_folders(spark, tmp_path):
+    from tidemark.sinks.lake import migrate, overwrite_partitions, read_dates
+
+    lake = Lake(str(tmp_path / "lake"))
+    migrate(spark, lake)
+    day0 = dt.date(2024, 1, 1)
+    rows = spark.range(40).select(
+        F.date_add(F.lit(day0), F.col("id").cast("int")).alias("date"),
+        F.lit(1).alias("hour"),
+        F.lit(2).cast("decimal(18,2)").alias("revenue"),
+    )
+    overwrite_partitions(rows.withColumn("p_date", F.col("date")), lake, "day_hours")
+    few = [day0 + dt.timedelta(days=2), dt.date(2030, 1, 1)]  # checked one by one
+    many = [day0 + dt.timedelta(days=k) for k in range(0, 60, 3)]  # one listing
+    assert read_dates(spark, lake, "day_hours", few).count() == 1
+    got = read_dates(spark, lake, "day_hours", many).select("p_date").collect()
+    assert sorted(r["p_date"] for r in got) == [d for d in many if d < day0 + dt.timedelta(days=40)]
+    assert read_dates(spark, lake, "day_hours", [dt.date(2031, 1, 1)]).count() == 0
