@@ -3,14 +3,16 @@
 One scan, no shuffle: every task writes the days it holds into a hidden
 staging folder (``partitionBy`` the day), then each written file is renamed to
 ``<day>.parquet`` (``<day>_<k>.parquet`` when a day came out of several tasks).
-The rename is the only driver work and touches names only. Days whose file
-already exists are skipped, so a rerun writes nothing twice.
+The renames are the only driver work and touch names only (issued from a
+small thread pool). Days whose file already exists are skipped, so a rerun
+writes nothing twice.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import PICKUP, pickup_date
 from tidemark.sinks import fs
 
+RENAME_THREADS = 16
+
 _DAY_DIR = re.compile(r"/d=(\d{4}-\d{2}-\d{2})/[^/]+$")
 _DAY_FILE = re.compile(r"/(\d{4}-\d{2}-\d{2})(?:_\d+)?\.parquet$")
 
@@ -53,12 +57,17 @@ def split_days(
         m = _DAY_DIR.search(path)
         if m:
             written.setdefault(m.group(1), []).append(path)
-    out = []
+    moves = []
     for day, paths in sorted(written.items()):
         for k, src in enumerate(sorted(paths)):
             tail = "" if len(paths) == 1 else f"_{k}"
-            dst = f"{out_dir.rstrip('/')}/{day}{name_suffix}{tail}.parquet"
-            fs.rename(spark, src, dst)
-            out.append(dst)
+            moves.append((src, f"{out_dir.rstrip('/')}/{day}{name_suffix}{tail}.parquet"))
+    # one rename per written file, as many as the commit protocol just made;
+    # issued concurrently, since on an object store each is a server-side copy
+    with ThreadPoolExecutor(max_workers=max(1, min(RENAME_THREADS, len(moves)))) as pool:
+        done = list(pool.map(lambda m: fs.rename(spark, *m), moves))
+    if not all(done):
+        failed = [src for (src, _), ok in zip(moves, done) if not ok]
+        raise OSError(f"could not move {len(failed)} staged file(s), e.g. {failed[0]}")
     fs.delete(spark, stage, recursive=True)
-    return out
+    return [dst for _, dst in moves]
