@@ -75,3 +75,16 @@ def test_grain_cardinality_folds_rows_before_distinct_counts(spark):
     tree = p.split("\n\n")[0]
     # the Expand for the distinct counts sits above the first (cell) aggregate
     assert tree.index("Expand") < tree.rindex("HashAggregate")
+
+
+def test_gold_rebuild_reuses_the_date_partitioning(spark):
+    from pyspark.sql import functions as F
+
+    # as in rebuild_gold: folded cells, one partition set per date
+    cells = batch.cells(spark, SF).withColumn("p_date", F.col("date")).repartition("p_date")
+    day_hours = gold.day_hour_by_partition(cells)
+    denorm = gold.hour_denorm(cells, batch.zones(spark, SF), broadcast=True).repartition("p_date")
+    for df in (day_hours, denorm):
+        tree = plan(df).split("\n\n")[0]
+        # only the cells' own exchanges (cell aggregation, repartition by p_date)
+        assert len(re.findall(r"(?<!Broadcast)Exchange \(", tree)) == 2
