@@ -266,3 +266,27 @@ def test_migrate_derives_missing_day_hours_from_cells(spark, landing, root, zone
     assert api.migrate(spark, root) == ["day_hours"]
     rows = read_table(spark, Lake(root), "day_hours").collect()
     assert [(r["date"].isoformat(), r["hour"], float(r["revenue"])) for r in rows] == [("2019-01-01", 5, 10.0)]
+
+
+def test_serving_reads_survive_a_rewrite_in_progress(spark, landing, root, zones_csv):
+    import glob
+    import shutil
+
+    from tidemark.sinks import fs
+
+    write_day(landing, "2019-01-01", [trip("2019-01-01 05:10:00", 10.0)])
+    api.run_etl(spark, str(landing), root, zones_csv)
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
+    serving_dir = Lake(root).serving
+    # mid-overwrite: data files gone, a new version stamp already visible
+    for f in glob.glob(f"{serving_dir}/*.parquet"):
+        os.remove(f)
+    fs.write_text(spark, f"{serving_dir}/_VERSION", "in-flight")
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
+    # the whole folder briefly absent
+    shutil.rmtree(serving_dir)
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
+    # the next batch publishes the new table and the cache follows it
+    write_day(landing, "2019-01-02", [trip("2019-01-02 05:20:00", 20.0)])
+    api.run_etl(spark, str(landing), root, zones_csv)
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(15.0)

@@ -126,7 +126,16 @@ def _serving_rows(spark: SparkSession, root: str) -> dict[int, dict]:
     if cached is not None and cached.version == version and cached.rows:
         return cached.rows
     with _LOCK:
-        rows = {r["hour"]: r.asDict() for r in read_table(spark, lake, "serving").collect()}
+        try:
+            rows = {r["hour"]: r.asDict() for r in read_table(spark, lake, "serving").collect()}
+        except Exception:
+            if cached is None or not cached.rows:
+                raise
+            rows = {}
+        if len(rows) < serving.HOURS and cached is not None and cached.rows:
+            # a batch is rewriting the table right now (it is briefly empty or
+            # absent): answer from the previous version, one batch behind
+            return cached.rows
         _SERVING_CACHE[root] = _ServingCache(version, rows)
         return rows
 
