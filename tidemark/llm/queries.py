@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import common, minmax_dedup
+from tidemark.llm import common, langid, minmax_dedup, secrets_battery
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,23 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {"op2_minhash_dedup": op2_minhash_dedup}
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets_battery.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(_remainder(5) != 0))
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
