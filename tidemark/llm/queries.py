@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, langid, minmax_dedup, secrets_battery
+from tidemark.llm import common, langid, minmax_dedup, mixing, piece_transducer, secrets_battery
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,13 +14,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+    return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_transducer.encode(docs).select("doc_id", "n_tokens", "round_trip", "ids")
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets_battery.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -33,7 +42,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -49,4 +58,24 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id,
        s.doc_id = least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS kept
 FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op6_source_mixing": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rn FROM s0),
+s2 AS (SELECT *, [5, 2, 1][(rn - 1) % 3 + 1] AS w, ss * 3 / [5, 2, 1][(rn - 1) % 3 + 1] AS ratio FROM s1),
+s3 AS (SELECT *, ((SELECT sum(ss) FROM s0) - coalesce(sum(ss) OVER (ORDER BY ratio, rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 3) / sum(w) OVER (ORDER BY ratio, rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM s2),
+s4 AS (SELECT *, CASE WHEN ratio <= lvl THEN CAST(ss * 3 AS DOUBLE) ELSE w * (SELECT max(lvl) FROM s3 WHERE ratio > lvl) END AS target FROM s3),
+seats AS (SELECT CAST(floor(sum(ss) / 16 + 0.5) AS BIGINT) AS m FROM s0),
+nom AS (SELECT rn, target / (2 * k + 1) AS q, k FROM (SELECT rn, target, unnest(range(0, CAST(floor(target / 16) AS BIGINT) + 40)) AS k FROM s4 WHERE target > 0)),
+quota AS (SELECT rn, count(*) AS a FROM (SELECT rn FROM nom ORDER BY q DESC, rn, k LIMIT (SELECT m FROM seats)) GROUP BY rn),
+p AS (SELECT d.*, s4.rn, s4.ss, s4.target, coalesce(a, 0) AS a, CAST('0x' || substr(o, 1, 8) AS BIGINT) % greatest(1, CAST(ceil(s4.ss / 65536) AS BIGINT)) AS shard FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source LEFT JOIN quota ON quota.rn = s4.rn),
+h0 AS (SELECT rn, shard, a, CAST(sum(size) AS BIGINT) AS hs FROM p GROUP BY ALL),
+hn AS (SELECT rn, shard, a, hs / (2 * k + 1) AS q, k FROM (SELECT *, unnest(range(0, CAST(floor(hs / 16) AS BIGINT) * 3 + 40)) AS k FROM h0 WHERE hs > 0)),
+hq AS (SELECT rn, shard, count(*) AS q FROM (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY q DESC, shard, k) AS place FROM hn) WHERE place <= a GROUP BY rn, shard),
+h AS (SELECT h0.rn, h0.shard, CAST(ceil(hs / 16) AS BIGINT) AS n, least(coalesce(q, 0), 3 * CAST(ceil(hs / 16) AS BIGINT)) AS q FROM h0 LEFT JOIN hq ON h0.rn = hq.rn AND h0.shard = hq.shard WHERE hs > 0),
+g AS (SELECT rn, shard, n, q // n AS full_, q % n AS rest, CAST('0x' || substr(md5('mix-1:block:' || rn || ':' || shard), 1, 8) AS BIGINT) % n AS f FROM h),
+x AS (SELECT p.*, sum(size) OVER (PARTITION BY rn, shard ORDER BY o, size ROWS UNBOUNDED PRECEDING) AS z FROM p)
+SELECT doc_id, size, ss AS source_size, target,
+  CAST(coalesce(full_ * size + greatest(0, least(z, least(f + rest, n) * 16) - greatest(z - size, f * 16)) + greatest(0, least(z, (f + rest - n) * 16) - (z - size)), 0) AS BIGINT) AS taken
+FROM x LEFT JOIN g ON x.rn = g.rn AND x.shard = g.shard""",
 }
