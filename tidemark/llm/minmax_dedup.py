@@ -9,11 +9,13 @@ Stages (all keyed work is shuffled; nothing is collected but a fixed-size bitmap
 1. scan: per row the number of shingles, a 64-bit class id of the shingle set, 32 band keys and the sketch. Equal sets
    are one class from here on, so exact copies cost nothing further.
 2. buckets of a band that hold more than one class; each class is held against the smallest class of its buckets.
-3. buckets whose classes those links leave in several components are compared in full, as tiles of at most 2 * TILE
-   rows, by sketch; a pair of different components that may reach the threshold is confirmed.
+3. buckets whose classes those links leave in several components are compared in full, as tiles of about 2 * TILE
+   rows, by sketch. A tile gives a spanning forest of the components it suggests to link, never its pairs; the forests'
+   components are clusters, inside which every pair that the sketches let pass, between different components, is
+   confirmed in blocks that hold the texts.
 4. components of all confirmed links.
 
-Confirmation moves a document's text once to each bundle that needs it, not once a pair. A miss needs all 32 bands to
+Confirmation moves a document's text once to each bundle or block that needs it, not once a pair. A miss needs all 32 bands to
 differ: 7e-9 at a similarity of 0.85, 3e-6 at 0.8; the sketch's cut lies 4.2 standard deviations below the threshold.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is linked with nothing; fewer than five
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common as C
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
-TILE, BUNDLE = 1024, 500
+TILE, BUNDLE, BLOCK_BYTES = 1024, 500, 4_000_000
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -127,61 +129,112 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return placed.groupBy("bundle").cogroup(moved.groupBy("at")).applyInArrow(_confirm(percent), "a long, b long")
 
 
-def _near(cut: float, percent: int):
-    """Pairs of each tile that the sketch lets pass; rows come sorted by (key, i, j), so a tile is a run of rows."""
+def _join_up(labels: np.ndarray, i: int, j: int) -> None:
+    labels[labels == labels[j]] = labels[i]
+
+
+def _partners(i: int, labels, n, side, sk, percent: int, need: int) -> np.ndarray:
+    """Rows of the tile, in another component than row i, that may be linked with it."""
+    rest = np.flatnonzero(side == 1) if side.any() else np.arange(i + 1, len(labels))
+    rest = rest[labels[rest] != labels[i]]
+    rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
+    return rest[(sk[rest] == sk[i]).sum(1) >= need] if len(rest) else rest
 
-    def tile(key, cls, comp, n, side, sk, out):
-        m = len(cls)
-        need = int(np.ceil(cut * sk.shape[1]))
-        cross = side.any()
-        for i in range(m):
-            if cross and side[i]:
-                continue
-            rest = np.flatnonzero(side == 1) if cross else np.arange(i + 1, m)
-            rest = rest[comp[rest] != comp[i]]
-            rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
-            if len(rest):
-                rest = rest[(sk[rest] == sk[i]).sum(1) >= need]
-                for j in rest:
-                    out.append((min(cls[i], cls[j]), max(cls[i], cls[j]), key))
+
+def _near(floor: float, percent: int):
+    """For each tile, a spanning forest of the components that its sketches suggest to link.
+
+    Rows come sorted by (key, i, j), so a tile is a run of rows; a tile gives fewer edges than it has components.
+    """
+    need = int(np.ceil(floor * 2 * PERMUTATIONS))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def edges(table):
+        k = [table[x].to_numpy() for x in ("key", "i", "j")]
+        comp, n, side = (table[x].to_numpy() for x in ("comp", "n", "side"))
+        sk = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(comp), -1)
+        new = np.flatnonzero(np.any([np.diff(x) != 0 for x in k], axis=0)) + 1
+        out: list = []
+        for s, e in zip([0, *new], [*new, len(comp)], strict=True):
+            labels = np.unique(comp[s:e], return_inverse=True)[1]
+            for i in range(e - s):
+                if side[s + i]:
+                    continue
+                for j in _partners(i, labels, n[s:e], side[s:e], sk[s:e], percent, need):
+                    if labels[i] != labels[j]:
+                        out.append((comp[s + i], comp[s + j]))
+                        _join_up(labels, i, j)
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], schema=schema)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("loc", pa.int64())])
-
-        def flush(table):
-            if not table.num_rows:
-                return
-            k = [table[x].to_numpy() for x in ("key", "i", "j")]
-            cls, comp, n, side = (table[x].to_numpy() for x in ("cls", "comp", "n", "side"))
-            sk = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
-            new = np.flatnonzero(np.any([np.diff(x) != 0 for x in k], axis=0)) + 1
-            out: list = []
-            for s, e in zip([0, *new], [*new, len(cls)], strict=True):
-                tile(int(k[0][s]), cls[s:e], comp[s:e], n[s:e], side[s:e], sk[s:e], out)
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
-                    out.clear()
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
-
         for b in batches:
             held.append(b)
             t = pa.Table.from_batches(held)
             last = [t[x][-1].as_py() for x in ("key", "i", "j")]
-            open_ = np.all([t[x].to_numpy() == v for x, v in zip(("key", "i", "j"), last, strict=True)], axis=0)
-            done = int(np.argmax(open_))
+            done = int(np.argmax(np.all([t[x].to_numpy() == v for x, v in zip(("key", "i", "j"), last, strict=True)], axis=0)))
             if done:
-                yield from flush(t.slice(0, done))
+                yield edges(t.slice(0, done))
             held = t.slice(done).to_batches()
         if held:
-            yield from flush(pa.Table.from_batches(held))
+            yield edges(pa.Table.from_batches(held))
 
     return run
 
 
+def _confirm_block(floor: float, percent: int):
+    """Confirmed links between different components of one block (or pair of blocks) of suggested clusters."""
+    need = int(np.ceil(floor * 2 * PERMUTATIONS))
+
+    def run(table: pa.Table) -> pa.Table:
+        out: list = []
+        table = table.sort_by("cluster").combine_chunks()
+        cls, cluster = table["cls"].to_numpy(), table["cluster"].to_numpy()
+        sets: list = []
+        for _, part in C.text_slices(pa.concat_arrays(table["text"].chunks)):
+            flat, at = C.shingles(part)
+            sets += [flat[at[i] : at[i + 1]] for i in range(len(part))]
+        sk = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
+        comp, n, side = (table[x].to_numpy() for x in ("comp", "n", "side"))
+        new = np.flatnonzero(np.diff(cluster)) + 1
+        for s, e in zip([0, *new], [*new, len(cls)], strict=True):
+            labels = np.unique(comp[s:e], return_inverse=True)[1]
+            for i in range(e - s):
+                if side[s + i]:
+                    continue
+                for j in _partners(i, labels, n[s:e], side[s:e], sk[s:e], percent, need):
+                    if labels[i] == labels[j]:
+                        continue
+                    x, y = sets[s + i], sets[s + j]
+                    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        out.append((cls[s + i], cls[s + j]))
+                        _join_up(labels, i, j)
+        return pa.table({c: pa.array([x[k] for x in out], pa.int64()) for k, c in enumerate("ab")})
+
+    return run
+
+
+def confirm_blocks(members: DataFrame, texts: DataFrame, floor: float, percent: int) -> DataFrame:
+    """Links between components of one cluster. members: cls, comp, n, sketch, cluster; texts: cls, text.
+
+    A cluster of more than BLOCK_BYTES of text is cut into blocks, and each pair of blocks is a task of its own; smaller
+    clusters share tasks of about that size.
+    """
+    rows = C.cut(members.join(texts, "cls").withColumn("bytes", F.octet_length("text").cast("long")))
+    load = rows.groupBy("cluster").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    small = max(1, int((rows.agg(F.sum("bytes")).first()[0] or 0) // BLOCK_BYTES))
+    mine = rows.drop("bytes").join(load, "cluster").withColumn("t", F.pmod(F.xxhash64("cls", F.lit(11)), F.greatest("blocks", F.lit(1))).cast("int"))
+    split = mine.select("*", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)).alias("o"))
+    split = split.select(
+        F.when(F.col("blocks") > 1, F.xxhash64("cluster", F.least("t", "o"), F.greatest("t", "o"))).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(small))).alias("task"),
+        "cls", "comp", "n", "sketch", "cluster", (F.col("t") > F.col("o")).cast("int").alias("side"), "text",
+    )
+    return split.groupBy("task").applyInArrow(_confirm_block(floor, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs; links: Jaccard similarity >= percent / 100."""
+    """doc_id, text_key (a hash of the text), n_shingles, component_id, kept for every row of docs; links: Jaccard similarity >= percent / 100."""
     spark = docs.sparkSession
     C.prepare(spark)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
@@ -212,22 +265,31 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     placed = members.select("key", "cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     open_ = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("size > 2 and c0 <> c1").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
     mine = placed.join(open_, "key").join(sketches, "cls").withColumn("t", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("tiles")).cast("int"))
-    tiled = mine.select("key", "cls", "comp", "n", "sketch", "t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
-    tiled = tiled.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "cls", "comp", "n", (F.col("t") > F.col("o")).cast("int").alias("side"), "sketch")
-    pairs = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near(floor, percent), "a long, b long, loc long")
-    pairs = pairs.groupBy("a", "b").agg(F.min("loc").alias("loc"))
-    links = first.union(confirm(pairs, texts, percent))
+    tiled = mine.select("key", "comp", "n", "sketch", "t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
+    tiled = tiled.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "comp", "n", (F.col("t") > F.col("o")).cast("int").alias("side"), "sketch")
+    suggested = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near(floor, percent), "a long, b long")
+    clusters = C.components(suggested).select(F.col("node").alias("comp"), F.col("component").alias("cluster"))
+    open_members = mine.select("cls", "comp").distinct().join(clusters, "comp").join(sketches, "cls")
+    links = first.union(confirm_blocks(open_members, texts, floor, percent))
 
     final = C.components(links).withColumnRenamed("node", "cls")
     firsts = sets.groupBy("cls").agg(F.min("doc_id").alias("first_id"))
     groups = firsts.join(final, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     heads = groups.groupBy("component").agg(F.min("first_id").alias("head"))
     named = groups.join(heads, "component").select("cls", "head")
-    out = scanned.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("head")).alias("component_id"))
+    out = scanned.select("doc_id", "text_key", "n_shingles", "cls").join(named, "cls", "left")
+    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("head")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicate(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns; repeated rows of one id and text are one."""
+    found = near_duplicates(docs, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    rows = docs.withColumn("_text_key", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
+    rows = rows.join(found, rows["_text_key"].eqNullSafe(found["_key"]) & rows[id_col].cast("long").eqNullSafe(found["_id"]), "left_semi")
+    return rows.dropDuplicates([id_col, "_text_key"]).drop("_text_key")
+
+
 def _alike(floor: float):
     def run(batch: pa.RecordBatch) -> dict:
         x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS) for i in (2, 3))
