@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, langid, minmax_dedup, mixing, piece_transducer, secrets_battery
+from tidemark.llm import common, langid, minmax_dedup, mixing, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,18 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_transducer.encode(docs).select("doc_id", "n_tokens", "round_trip", "ids")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_crf.train(docs.where(_remainder(4) != 2), _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity_crf.score(docs, model)
+    return out.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_disclosure.find(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
