@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, langid, minmax_dedup, mixing, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
+from tidemark.llm import common, hnsw_search, langid, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut_html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -42,6 +46,15 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw_search.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pca_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets_battery.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -54,7 +67,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+QUERIES = {"op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -90,4 +103,12 @@ x AS (SELECT p.*, sum(size) OVER (PARTITION BY rn, shard ORDER BY o, size ROWS U
 SELECT doc_id, size, ss AS source_size, target,
   CAST(coalesce(full_ * size + greatest(0, least(z, least(f + rest, n) * 16) - greatest(z - size, f * 16)) + greatest(0, least(z, (f + rest - n) * 16) - (z - size)), 0) AS BIGINT) AS taken
 FROM x LEFT JOIN g ON x.rn = g.rn AND x.shard = g.shard""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+g AS (SELECT vec_id, x FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0 AND list_sum(list_transform(x, lambda c: abs(c))) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a), m AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id""",
 }
