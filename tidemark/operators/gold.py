@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import money_sum
-from tidemark.operators.joins import sized_broadcast
 
 
 CELL_KEYS = ("date", "hour", "PULocationID")
@@ -37,21 +36,16 @@ def fold_cells(partials: DataFrame) -> DataFrame:
     )
 
 
-def _bounded(df: DataFrame, broadcast: bool | None) -> DataFrame:
-    """``broadcast=None`` checks the size now; True/False is a check the caller made."""
-    if broadcast is None:
-        return sized_broadcast(df)
-    return F.broadcast(df) if broadcast else df
-
-
-def hour_denorm(cells_df: DataFrame, zones: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def hour_denorm(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     """Revenue per (zone name, date, hour); trips of unknown zones drop out.
 
     Grouping is by the zone *name*, so ids that share a name are merged. Lake
     cells carry ``p_date`` (= ``date``); grouping on it keeps their
     ``p_date`` partitioning through a broadcast join, so no shuffle is needed.
+    Whether the zones are broadcast is left to Spark's own size check
+    (``autoBroadcastJoinThreshold``, and AQE at run time).
     """
-    z = _bounded(zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone")), broadcast)
+    z = zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone"))
     joined = cells_df.join(z, cells_df["PULocationID"] == z["LocationID"], "inner")
     if "p_date" in cells_df.columns:
         out = joined.groupBy("zone", "p_date", "hour").agg(money_sum("total_amount").alias("total_amount"))
@@ -61,7 +55,7 @@ def hour_denorm(cells_df: DataFrame, zones: DataFrame, broadcast: bool | None =
 
 def unmatched(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone ids with no zone row, with their trips and revenue."""
-    ids = sized_broadcast(zones.select(F.col("LocationID").cast("int").alias("LocationID")))
+    ids = zones.select(F.col("LocationID").cast("int").alias("LocationID"))
     lost = cells_df.join(ids, cells_df["PULocationID"] == ids["LocationID"], "left_anti")
     return lost.groupBy("PULocationID").agg(
         F.sum("n_trips").alias("n"),
@@ -155,9 +149,7 @@ def reconcile(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     anti join finds; a duplicated zone id or a lost row shows up as
     ``balanced = false``. One pass over cells, one broadcast of zone ids.
     """
-    per_id = sized_broadcast(
-        zones.groupBy(F.col("LocationID").cast("int").alias("LocationID")).agg(F.count(F.lit(1)).alias("k"))
-    )
+    per_id = zones.groupBy(F.col("LocationID").cast("int").alias("LocationID")).agg(F.count(F.lit(1)).alias("k"))
     j = cells_df.join(per_id, cells_df["PULocationID"] == per_id["LocationID"], "left")
     one = j.agg(
         money_sum("total_amount").alias("total_all"),

@@ -15,7 +15,7 @@ HOURS = 24
 def check_hour(h: int) -> int:
     """Hour-of-day argument check."""
     if not isinstance(h, int) or isinstance(h, bool) or h < 0 or h > HOURS - 1:
-        raise ValueError(f"hour must be in range [0, 23], got {h!r}")
+        raise ValueError(f"{h!r} is no hour of the day (an int from 0 to {HOURS - 1})")
     return h
 
 

@@ -19,8 +19,6 @@ from tidemark.sources.zones import as_zones
 
 # Fixed scenario parameters (the stand-in events cover 2024-01-01 .. 2024-01-30).
 SPLIT_DATE = _dt.date(2024, 1, 16)  # stored totals before, incoming batch from this day
-STORED_WITHOUT_HOUR = 3  # an hour only the incoming batch has
-BATCH_WITHOUT_HOUR = 5  # an hour only the stored totals have
 LEDGER_UNTIL = _dt.date(2024, 1, 21)  # files before this day are already in the ledger
 CELL_DATE = _dt.date(2024, 1, 10)
 CELL_HOUR = 5
@@ -68,8 +66,8 @@ def hourly_revenue(spark, sf):
 
 def _stored_and_batch(spark, sf):
     c = cells(spark, sf)
-    stored = gold.hourly(c.where((F.col("date") < F.lit(SPLIT_DATE)) & (F.col("hour") != STORED_WITHOUT_HOUR)))
-    batch = gold.hourly(c.where((F.col("date") >= F.lit(SPLIT_DATE)) & (F.col("hour") != BATCH_WITHOUT_HOUR)))
+    stored = gold.hourly(c.where(F.col("date") < F.lit(SPLIT_DATE)))
+    batch = gold.hourly(c.where(F.col("date") >= F.lit(SPLIT_DATE)))
     return stored, batch
 
 
@@ -114,8 +112,7 @@ def total_revenue_zone(spark, sf):
 
 
 def serving_hourly_dense(spark, sf):
-    stored, _ = _stored_and_batch(spark, sf)
-    return serving.dense_hours(spark, stored)
+    return serving.dense_hours(spark, gold.hourly(cells(spark, sf)))
 
 
 def serving_lookup(spark, sf):

@@ -27,16 +27,6 @@ denorm AS (
   FROM silver s JOIN zones z ON s.PULocationID = z.LocationID
 )"""
 
-STORED_BATCH = """
-stored AS (
-  SELECT hour, CAST(SUM(total_amount) AS DECIMAL(18,2)) AS revenue FROM silver
-  WHERE date < DATE '2024-01-16' AND hour <> 3 GROUP BY hour
-),
-batch AS (
-  SELECT hour, CAST(SUM(total_amount) AS DECIMAL(18,2)) AS revenue FROM silver
-  WHERE date >= DATE '2024-01-16' AND hour <> 5 GROUP BY hour
-)"""
-
 LANDING = """
 landing AS (SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_path FROM silver),
 in_ledger AS (
@@ -62,11 +52,12 @@ FROM denorm GROUP BY zone, date, hour"""
 HOURLY_SQL = _with(SILVER) + """
 SELECT hour, CAST(SUM(total_amount) AS DECIMAL(18,2)) AS revenue FROM silver GROUP BY hour"""
 
-MERGE_SQL = _with(SILVER, STORED_BATCH) + """
-SELECT COALESCE(s.hour, b.hour) AS hour,
-       CAST(COALESCE(s.revenue, 0) + COALESCE(b.revenue, 0) AS DECIMAL(18,2)) AS revenue
-FROM stored s FULL OUTER JOIN batch b ON s.hour = b.hour
-WHERE COALESCE(s.hour, b.hour) IS NOT NULL"""
+# what is stored plus what a batch brings is what all rows give, in whatever order they came
+MERGE_SQL = _with(SILVER) + """
+SELECT hour, CAST(SUM(total_amount) AS DECIMAL(18,2)) AS revenue
+FROM (SELECT hour, total_amount FROM silver WHERE date < DATE '2024-01-16'
+      UNION ALL SELECT hour, total_amount FROM silver WHERE date >= DATE '2024-01-16')
+GROUP BY hour"""
 
 ROWS_PER_DAY_SQL = """
 SELECT CAST(ts AS DATE) AS date, COUNT(*) AS n FROM events WHERE ts IS NOT NULL
@@ -75,9 +66,9 @@ GROUP BY CAST(ts AS DATE)"""
 SILVER_COLUMNS_SQL = _with(SILVER) + """
 SELECT date, hour, PULocationID, total_amount FROM silver"""
 
-SERVING_DENSE_SQL = _with(SILVER, STORED_BATCH) + """
-SELECT CAST(h.range AS INTEGER) AS hour, CAST(COALESCE(s.revenue, 0) AS DOUBLE) AS revenue
-FROM range(24) h LEFT JOIN stored s ON h.range = s.hour"""
+SERVING_DENSE_SQL = _with(SILVER) + """
+SELECT CAST(h.range AS INTEGER) AS hour, CAST(COALESCE(SUM(total_amount), 0) AS DOUBLE) AS revenue
+FROM range(24) h LEFT JOIN silver s ON h.range = s.hour GROUP BY h.range"""
 
 SQL: dict[str, str] = {
     "silver_clean": _with(SILVER) + "SELECT * FROM silver",

@@ -48,8 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and is visible to every executor.
-    Only when it is unset (local runs, tests) a folder of our own is created and
-    registered, so ``DataFrame.checkpoint()`` and scratch writes work too.
+    Where it is unset, a local master (tests) gets a folder of our own, registered
+    so that ``DataFrame.checkpoint()`` and scratch writes work too; any other
+    master is refused, as its executors could not read that folder.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -65,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() adds a per-application folder; use its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -95,27 +95,19 @@ def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path(lake, name))
 
 
-# Up to this many dates, read_dates checks each folder; beyond, it lists once.
-_PROBE_DATES = 8
-
-
 def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str = "p_date") -> DataFrame:
     """Read only the given date folders of a date-partitioned table.
 
     A filter on the partition column also prunes, but Spark first lists every
     partition folder of the table; opening the folders by path keeps the cost
     of a batch or a point lookup independent of how much history the table
-    holds. Folders that do not exist are skipped (an empty result if none do):
-    a few dates are checked one by one, many (a backfill) with one listing of
-    the table folder.
+    holds. Folders that do not exist are skipped (an empty result if none do);
+    one listing of the table folder's names tells which do.
     """
     schema, _ = TABLES[name]
     base = table_path(lake, name)
-    days = [d.isoformat() for d in sorted(set(dates))]
-    if len(days) <= _PROBE_DATES:
-        paths = [p for p in (f"{base}/{column}={d}" for d in days) if fs.exists(spark, p)]
-    else:
-        paths = fs.glob(spark, f"{base}/{column}={{{','.join(days)}}}")
+    names = {f"{column}={d.isoformat()}" for d in dates}
+    paths = [p for p in fs.glob(spark, f"{base}/{column}=*") if p.rstrip("/").rsplit("/", 1)[-1] in names]
     if not paths:
         return empty(spark, name)
     return spark.read.schema(schema).option("basePath", base).parquet(*paths)

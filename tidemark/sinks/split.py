@@ -1,11 +1,10 @@
 """Split a multi-day trip file into one landing file per calendar day.
 
-One scan, no shuffle: every task writes the days it holds into a hidden
-staging folder (``partitionBy`` the day), then each written file is renamed to
-``<day>.parquet`` (``<day>_<k>.parquet`` when a day came out of several tasks).
-The renames are the only driver work and touch names only (issued from a
-small thread pool). Days whose file already exists are skipped, so a rerun
-writes nothing twice.
+Rows are dealt by day, so a day comes out of one task as one file in a hidden
+staging folder and is published by one rename: a day is there as a whole or not
+at all. Days whose file exists are skipped, so a rerun after a stop at any point
+adds just what is missing. A month is a range on the raw timestamp, which Parquet
+can push down.
 """
 
 from __future__ import annotations
@@ -17,17 +16,19 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import PICKUP, pickup_date
+from tidemark.functions.columns import PICKUP, ntz, pickup_date
+from tidemark.operators.explore import month_range
 from tidemark.sinks import fs
 
 RENAME_THREADS = 16
 
 _DAY_DIR = re.compile(r"/d=(\d{4}-\d{2}-\d{2})/[^/]+$")
-_DAY_FILE = re.compile(r"/(\d{4}-\d{2}-\d{2})(?:_\d+)?\.parquet$")
 
 
-def existing_days(spark: SparkSession, out_dir: str) -> set[str]:
-    return {m.group(1) for p in fs.list_files(spark, out_dir) if (m := _DAY_FILE.search(p))}
+def existing_days(spark: SparkSession, out_dir: str, name_suffix: str = "") -> set[str]:
+    """Days published under the names that ``name_suffix`` gives."""
+    named = re.compile(rf"/(\d{{4}}-\d{{2}}-\d{{2}}){re.escape(name_suffix)}\.parquet$")
+    return {m.group(1) for p in fs.list_files(spark, out_dir) if (m := named.search(p))}
 
 
 def split_days(
@@ -44,26 +45,19 @@ def split_days(
     file may carry a few stray days of its neighbours. Rows without a pickup
     time are not written.
     """
-    rows = raw.where(F.col(pickup).isNotNull()).withColumn("d", pickup_date(pickup))
+    rows = raw.where(F.col(pickup).isNotNull())
     if month:
-        rows = rows.where(F.date_format("d", "yyyy-MM") == F.lit(month))
-    skip = sorted(existing_days(spark, out_dir)) if not name_suffix else []
+        start, end = month_range(month)
+        rows = rows.where((F.col(pickup) >= ntz(start)) & (F.col(pickup) < ntz(end)))
+    rows = rows.withColumn("d", pickup_date(pickup))
+    skip = sorted(existing_days(spark, out_dir, name_suffix))
     if skip:
         rows = rows.where(~F.col("d").cast("string").isin(skip))
     stage = f"{out_dir.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
-    rows.write.mode("overwrite").partitionBy("d").parquet(stage)
-    written: dict[str, list[str]] = {}
-    for path in fs.glob(spark, f"{stage}/d=*/*.parquet"):
-        m = _DAY_DIR.search(path)
-        if m:
-            written.setdefault(m.group(1), []).append(path)
-    moves = []
-    for day, paths in sorted(written.items()):
-        for k, src in enumerate(sorted(paths)):
-            tail = "" if len(paths) == 1 else f"_{k}"
-            moves.append((src, f"{out_dir.rstrip('/')}/{day}{name_suffix}{tail}.parquet"))
-    # one rename per written file, as many as the commit protocol just made;
-    # issued concurrently, since on an object store each is a server-side copy
+    rows.repartition("d").write.mode("overwrite").partitionBy("d").parquet(stage)
+    written = {m.group(1): path for path in fs.glob(spark, f"{stage}/d=*/*.parquet") if (m := _DAY_DIR.search(path))}
+    moves = [(src, f"{out_dir.rstrip('/')}/{day}{name_suffix}.parquet") for day, src in sorted(written.items())]
+    # one rename a day; issued concurrently, since on an object store each is a server-side copy
     with ThreadPoolExecutor(max_workers=max(1, min(RENAME_THREADS, len(moves)))) as pool:
         done = list(pool.map(lambda m: fs.rename(spark, *m), moves))
     if not all(done):

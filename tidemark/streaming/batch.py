@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -82,12 +83,29 @@ def _leaf_dirs(table: DataFrame, files: list[str], with_date: bool = True) -> li
     return table.where(F.col("source_file").isin(files)).select(*cols).distinct().collect()
 
 
+def _pending_files(spark: SparkSession, lake: Lake) -> list[str]:
+    return fs.glob(spark, f"{lake.root}/_pending/*.dates")
+
+
+def pending_dates(spark: SparkSession, lake: Lake) -> set[_dt.date]:
+    """Dates that a run noted and did not finish."""
+    texts = (fs.read_text(spark, p) or "" for p in _pending_files(spark, lake))
+    return {_dt.date.fromisoformat(d) for t in texts for d in t.split()}
+
+
+def note_pending(spark: SparkSession, lake: Lake, dates) -> tuple[str, list[str]]:
+    """Note dates durably before their rows change: (the new note, older ones that it covers)."""
+    older = _pending_files(spark, lake)
+    path = f"{lake.root}/_pending/{uuid.uuid4().hex}.dates"
+    fs.write_text(spark, path, "\n".join(d.isoformat() for d in sorted(dates)))
+    return path, older
+
+
 def rebuild_gold(
     spark: SparkSession,
     lake: Lake,
     zones: DataFrame,
     dates: list[_dt.date],
-    broadcast_zones: bool | None = None,
 ) -> None:
     """Recompute gold cells, day_hours and hour_denorm for ``dates`` from their
     file cells.
@@ -105,8 +123,16 @@ def rebuild_gold(
         overwrite_partitions(cells, lake, "cells")
         overwrite_partitions(gold.day_hour_by_partition(cells), lake, "day_hours")
         # with a broadcast zone join this repartition is already satisfied and dropped
-        denorm = gold.hour_denorm(cells, zones, broadcast=broadcast_zones)
+        denorm = gold.hour_denorm(cells, zones)
         overwrite_partitions(denorm.repartition("p_date"), lake, "hour_denorm")
+        # dynamic overwrite leaves the folder of a date that has no rows any more:
+        # each table loses the dates its own result lacks (no cells, or none with a zone)
+        held = {r[0] for r in cells.select("p_date").distinct().collect()}
+        named = {r[0] for r in denorm.select("p_date").distinct().collect()}
+        for d in dates:
+            for table, present in (("cells", held), ("day_hours", held), ("hour_denorm", named)):
+                if d not in present:
+                    clear_partition(spark, lake, table, f"p_date={d.isoformat()}")
     finally:
         cells.unpersist()
 
@@ -124,8 +150,8 @@ def process_batch(
     zones: DataFrame,
     replay: bool = False,
     fail_at: str | None = None,
-    broadcast_zones: bool | None = None,
     bronze: bool = False,
+    files: list[str] | None = None,
 ) -> dict:
     """Write one batch of raw trip rows (with ``source_file``) through all layers.
 
@@ -134,11 +160,20 @@ def process_batch(
     has are removed, and those dates are rebuilt too. ``fail_at`` ('silver' or
     'gold') raises after that stage, to test crash recovery. ``bronze=True``
     also keeps a raw copy of every column, partitioned by source file (K1).
+    ``files`` names the batch's files where they are known beforehand, so that
+    one without rows is handled too.
+
+    Dates are noted in the lake before anything of theirs is removed and stay
+    noted until serving is written; every batch also rebuilds the dates noted by
+    one that did not end, so a crash at any point is mended by the next run.
     """
     spark = batch.sparkSession
     tm: dict[str, float] = {}
     if bronze:
         with _timed(tm, "bronze"):
+            if replay and files:
+                for row in _leaf_dirs(read_table(spark, lake, "bronze"), files, with_date=False):
+                    fs.delete(spark, row["leaf"], recursive=True)
             overwrite_partitions(batch, lake, "bronze")
     typed = batch.select(*TRIP_COLUMNS, "source_file").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -147,14 +182,15 @@ def process_batch(
             pairs = typed.groupBy(
                 "source_file", pickup_date(PICKUP).alias("d"), valid_trip().alias("ok")
             ).count().collect()
-        files = sorted({r["source_file"] for r in pairs})
-        if not files:
+        files = sorted({r["source_file"] for r in pairs} | set(files or ()))
+        unfinished = pending_dates(spark, lake)
+        if not files and not unfinished:
             return {"batch_id": batch_id, "files": [], "dates": [], "rows": 0, "rejected": 0, "timings": tm}
         new_dates = sorted({r["d"] for r in pairs if r["d"] is not None and r["ok"]})
         n_rows = sum(r["count"] for r in pairs)
         n_rejected = sum(r["count"] for r in pairs if not r["ok"])
         stamps = {"bronze": _now()}
-        names = typed.select("source_file").distinct().coalesce(1)
+        names = spark.createDataFrame([(f,) for f in files], "source_file string")
         with _timed(tm, "ledger"):
             append(_ledger(names, stamps, batch_id), lake, "ledger")
 
@@ -165,6 +201,8 @@ def process_batch(
                 old_cells = _leaf_dirs(read_table(spark, lake, "file_cells"), files)
                 old_rejects = _leaf_dirs(read_table(spark, lake, "quarantine"), files, with_date=False)
 
+        dates = set(new_dates) | {row["p_date"] for row in old_silver + old_cells} | unfinished
+        note = note_pending(spark, lake, dates)
         valid = silver_op.with_partition(silver_op.silver(typed, carry=("source_file",)))
         with _timed(tm, "silver"):
             overwrite_partitions(valid, lake, "silver")
@@ -180,9 +218,7 @@ def process_batch(
         with _timed(tm, "file_cells"):
             overwrite_partitions(file_cells, lake, "file_cells")
 
-        dates = set(new_dates)
         for row in old_silver + old_cells:
-            dates.add(row["p_date"])
             if row["p_date"] not in new_dates:
                 fs.delete(spark, row["leaf"], recursive=True)
         stamps["silver"] = _now()
@@ -191,15 +227,15 @@ def process_batch(
 
         dates = sorted(dates)
         with _timed(tm, "gold"):
-            rebuild_gold(spark, lake, zones, dates, broadcast_zones)
-            if replay:
-                _clear_empty_gold(spark, lake, dates)
+            rebuild_gold(spark, lake, zones, dates)
         stamps["gold"] = _now()
         if fail_at == "gold":
             raise InjectedFailure("injected failure after the gold write")
 
         with _timed(tm, "serving"):
             refresh_serving(spark, lake)
+        for path in [*note[1], note[0]]:
+            fs.delete(spark, path)
         stamps["done"] = _now()
         stamps.pop("bronze")
         with _timed(tm, "ledger"):
@@ -214,14 +250,3 @@ def process_batch(
         }
     finally:
         typed.unpersist()
-
-
-def _clear_empty_gold(spark: SparkSession, lake: Lake, dates: list[_dt.date]) -> None:
-    """Drop gold date folders whose file cells are all gone (replay only)."""
-    left = read_dates(spark, lake, "file_cells", dates)
-    present = {r["p_date"] for r in left.select("p_date").distinct().collect()}
-    for d in dates:
-        if d not in present:
-            clear_partition(spark, lake, "cells", f"p_date={d.isoformat()}")
-            clear_partition(spark, lake, "hour_denorm", f"p_date={d.isoformat()}")
-            clear_partition(spark, lake, "day_hours", f"p_date={d.isoformat()}")

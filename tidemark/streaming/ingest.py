@@ -18,8 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.joins import fits_broadcast
 from tidemark.schemas import TRIP_COLUMNS
+from tidemark.sinks import fs
 from tidemark.sinks.lake import Lake, migrate
 from tidemark.sources.trips import read_trip_files, trips_stream
 from tidemark.streaming.batch import process_batch
@@ -97,7 +97,6 @@ def start_ingest(
     checkpoint, one writer, and no JVM start per tick.
     """
     migrate(spark, lake)
-    small_zones = fits_broadcast(zones)  # checked once per query start, not per batch
     failed = {"done": False}
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
@@ -106,7 +105,7 @@ def start_ingest(
             failed["done"] = True
             inject = fail_at
         out = process_batch(
-            batch_df, batch_id, lake, zones, fail_at=inject, broadcast_zones=small_zones, bronze=bronze
+            batch_df, batch_id, lake, zones, fail_at=inject, bronze=bronze
         )
         if out["files"] and report is not None:
             report.batches.append(out)
@@ -124,10 +123,13 @@ def start_ingest(
     return writer.start()
 
 
-def replay_files(spark: SparkSession, paths: list[str], lake: Lake, zones: DataFrame, batch_id: int = -1) -> dict:
+def replay_files(spark: SparkSession, paths: list[str], lake: Lake, zones: DataFrame, batch_id: int = -1, fail_at: str | None = None) -> dict:
     """Explicit replay: re-read these files (changed content under known names)
-    and replace everything they contributed (M5, D13 override)."""
+    and replace everything they contributed (M5, D13 override), the raw copy
+    included where one is kept. A file that is empty now contributes nothing."""
     migrate(spark, lake)
+    names = sorted({p.rstrip("/").rsplit("/", 1)[-1] for p in paths})
+    kept_raw = bool(fs.glob(spark, f"{lake.bronze}/source_file=*"))
     return process_batch(
-        read_trip_files(spark, paths), batch_id, lake, zones, replay=True, broadcast_zones=fits_broadcast(zones)
+        read_trip_files(spark, paths), batch_id, lake, zones, replay=True, bronze=kept_raw, files=names, fail_at=fail_at
     )
