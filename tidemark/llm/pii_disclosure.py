@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ def terms(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int
 
 def neighbours(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(term, entity, context) hashes of the words within WINDOW words of each entity."""
-    words = terms(t, spans)
+    words = terms(t, spans) if spans else []
     starts = [w[1] for w in words]
     out = []
     for kind, s, e in spans:
@@ -120,54 +121,56 @@ def _scan(batch: pa.RecordBatch) -> dict:
     return out
 
 
-def _occurrences(bits: np.ndarray):
-    """(term, occurrences) of the terms that the bitmap lets pass, a row a term and task."""
+class _Wanted:
+    """Hashes of the words that a bitmap lets pass; other words are remembered, up to a number, to be asked once."""
 
-    def run(batches):
-        total: dict[int, int] = {}
-        known: dict[str, int | None] = {}
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.yes, self.no = bits, {}, set()
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.no and w not in self.yes]
+        if len(self.no) + len(new) > 500_000:
+            self.no.clear()
+        if new:
+            h = np.array([_hash(w.lower()) for w in new], np.int64)
+            ok = C.in_bitmap(self.bits, h)
+            self.yes.update((new[i], int(h[i])) for i in np.flatnonzero(ok))
+            self.no.update(w for w, k in zip(new, ok.tolist(), strict=True) if not k)
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(total, pa.int64()) if not total else pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 
-        for batch in batches:
+def _occurrences(bits: np.ndarray):
+    """(term, occurrences) of the terms that the bitmap lets pass, a row a term and batch at most."""
+
+    def run(batches):
+        wanted = _Wanted(bits)
+        for batch in batches if bits.any() else ():
+            seen: Counter = Counter()
             for t in batch.column(0).to_pylist():
-                for w in _TERM.findall(t or ""):
-                    if w not in known:
-                        if len(known) > 300_000:
-                            known.clear()
-                        h = _hash(w.lower())
-                        known[w] = h if C.in_bitmap(bits, np.array([h]))[0] else None
-                    if (h := known[w]) is not None:
-                        total[h] = total.get(h, 0) + 1
-            if len(total) > 500_000:
-                yield out()
-                total.clear()
-        yield out()
+                seen.update(_TERM.findall(t or ""))
+            wanted.learn(seen.keys())
+            total: dict[int, int] = {}
+            for w in seen.keys() & wanted.yes.keys():
+                total[wanted.yes[w]] = total.get(wanted.yes[w], 0) + seen[w]
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 
     return run
 
 
 def _place(bits: np.ndarray):
     def run(batches):
-        known: dict[str, int | None] = {}
+        wanted = _Wanted(bits)
         schema = pa.schema([("text_key", pa.int64()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
-        for batch in batches:
+        for batch in batches if bits.any() else ():
             rows: list = []
-            for key, t in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True):
-                hits = []
-                for m in _TERM.finditer(t or ""):
-                    w = m[0]
-                    if w not in known:
-                        if len(known) > 300_000:
-                            known.clear()
-                        h = _hash(w.lower())
-                        known[w] = h if C.in_bitmap(bits, np.array([h]))[0] else None
-                    if (h := known[w]) is not None:
-                        hits.append((key, h, m.start(), m.end()))
-                if hits:
-                    cover = [(s, e) for _, s, e in base_spans(t)]
-                    rows += [x for x in hits if not any(x[2] < e and s < x[3] for s, e in cover)]
+            texts = batch.column(0).to_pylist()
+            words = [set(_TERM.findall(t or "")) for t in texts]
+            wanted.learn(set().union(*words))
+            for key, t, own in zip(batch.column(1).to_pylist(), texts, words, strict=True):
+                if wanted.yes.keys().isdisjoint(own):
+                    continue
+                cover = [(s, e) for _, s, e in base_spans(t)]
+                hits = [(key, wanted.yes[m[0]], *m.span()) for m in _TERM.finditer(t) if m[0] in wanted.yes]
+                rows += [x for x in hits if not any(x[2] < e and s < x[3] for s, e in cover)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], schema=schema)
 
     return run
