@@ -69,7 +69,7 @@ def test_secrets_and_personal_data(docs, empty):
 
 
 def test_terms_that_disclose(spark):
-    rows = [(i, f"{'abcdefgh'[i] * 3} agent zorro writes to kim@corp.example daily") for i in range(8)] + [(100 + i, f"agent number {i} writes to nobody") for i in range(40)] + [(200 + i, f"mail u{i}@x.org please") for i in range(40)]
+    rows = [(i, f"{'abcdefgh'[i] * 3} agent zorro writes to kim@corp.example daily") for i in range(8)] + [(100 + i, f"agent number {i} writes to nobody") for i in range(40)] + [(200 + i, f"mail u{i}@x.org please") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     spans = {r.doc_id: r.spans for r in pii_disclosure.find(docs).collect()}
     text = dict(rows)[3]
