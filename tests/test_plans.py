@@ -83,7 +83,7 @@ def test_gold_rebuild_reuses_the_date_partitioning(spark):
     # as in rebuild_gold: folded cells, one partition set per date
     cells = batch.cells(spark, SF).withColumn("p_date", F.col("date")).repartition("p_date")
     day_hours = gold.day_hour_by_partition(cells)
-    denorm = gold.hour_denorm(cells, batch.zones(spark, SF), broadcast=True).repartition("p_date")
+    denorm = gold.hour_denorm(cells, F.broadcast(batch.zones(spark, SF))).repartition("p_date")
     for df in (day_hours, denorm):
         tree = plan(df).split("\n\n")[0]
         # only the cells' own exchanges (cell aggregation, repartition by p_date)
