@@ -7,28 +7,17 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_util import compare, duckdb_frame, spark_frame
+from tidemark.plans import batch, scenarios
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-# Scenario queries run full ingest ticks; test_scenarios covers their logic,
-# a few of them are checked here end to end.
-SLOW = {
-    "stream_noop",
-    "stream_replay_skip",
-    "replay_idempotent",
-    "late_file_same_day",
-    "migrate_idempotent",
-    "reset_tables",
-    "ledger_after_ingest",
-    "external_view",
-    "stream_archive",
-}
-
-
-def test_every_query_has_an_oracle_or_is_documented():
-    assert set(QUERIES) == set(SQL)
-    assert set(SQL) <= set(QUERIES)
+OWN = {**batch.QUERIES, **scenarios.QUERIES}
+
+
+def test_every_query_has_an_oracle():
+    assert set(OWN) <= set(QUERIES)
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -37,7 +26,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(n for n in SQL if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, name):
     got = spark_frame(QUERIES[name](spark, SF))
     want = duckdb_frame(SF, SQL[name])
