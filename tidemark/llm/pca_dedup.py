@@ -2,7 +2,8 @@
 
 Unit vectors are turned to principal axes, so that leading coordinates hold most of what tells two apart. Vectors lie in
 cells of the first axes whose width is the largest distance that the threshold allows, so that a link joins the same or
-neighbouring cells; as many axes are used as make cells of about TILE vectors by the axes' spread. A cell's vectors are
+neighbouring cells; only axes of more than three
+cells are used, and as many as leave about a tile's neighbours to compare with, by the axes' spread. A cell's vectors are
 cut into tiles. Two tiles are compared in runs of dimensions: what is
 accumulated plus the product of the suffix norms bounds the cosine, and a pair that can no longer reach the threshold is
 left. Survivors are decided in double precision on the original vectors.
@@ -149,7 +150,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     width = float(np.sqrt(2 * (1 - least))) + 1e-6
     turn, spread, n = found
     cells_by_axis = np.maximum(1.0, 4 * spread / width)
-    used = min(len(turn), 8, 1 + int(np.searchsorted(np.cumprod(cells_by_axis), n / TILE)))
+    # an axis of three cells or fewer has only neighbours: it would cut tiles small and leave no pair out
+    telling = int(np.argmin(np.append(cells_by_axis > 3, False)))
+    used = min(telling, 8, 1 + int(np.searchsorted(np.cumprod(cells_by_axis / 3), n / TILE)))
+    if not used:
+        used, width = 1, np.inf
 
     def celled(batch: pa.RecordBatch) -> dict:
         x = _unpack(batch.column(2), batch.num_rows)
