@@ -204,9 +204,8 @@ def test_archive_moves_consumed_files(spark, landing, root, zones_csv):
     for d in range(1, 5):
         write_day(landing, f"2019-01-0{d}", [trip(f"2019-01-0{d} 05:10:00", 1.0)])
     api.run_etl(spark, str(landing), root, zones_csv, max_files_per_trigger=2, archive=True)
-    left = sorted(p.name for p in landing.iterdir() if p.suffix == ".parquet")
-    # the last batch's files are archived when the next batch starts
-    assert left == ["2019-01-03.parquet", "2019-01-04.parquet"]
+    # the source moves a batch's files as the next one starts, the tick's end the last batch's
+    assert not [p.name for p in landing.iterdir() if p.suffix == ".parquet"]
     assert api.cumulative_revenue(spark, root, 5) == pytest.approx(4.0)
 
 
@@ -220,8 +219,8 @@ def test_stuck_files_report(spark, tmp_path, zones_csv):
         run_ingest(spark, str(land), Lake(root), api._zones(spark, zones_csv), fail_at="silver")
     later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(minutes=5)
     stuck = api.stuck_files_df(spark, root, later, older_than_minutes=1).collect()
-    assert [(r["file_path"], r["status"], r["attempts"]) for r in stuck] == [("2019-01-01.parquet", "bronze", 1)]
-    assert [tuple(r) for r in api.backlog_df(spark, root).collect()] == [("bronze", 1)]
+    assert [(r["file_path"], r["status"], r["attempts"]) for r in stuck] == [("2019-01-01.parquet", "silver", 1)]  # the last stage written
+    assert [tuple(r) for r in api.backlog_df(spark, root).collect()] == [("silver", 1)]
 
 
 def test_ledger_compaction_keeps_rows_and_cuts_files(spark, landing, root, zones_csv):
@@ -270,23 +269,34 @@ def test_migrate_derives_missing_day_hours_from_cells(spark, landing, root, zone
 
 def test_serving_reads_survive_a_rewrite_in_progress(spark, landing, root, zones_csv):
     import glob
-    import shutil
-
-    from tidemark.sinks import fs
 
     write_day(landing, "2019-01-01", [trip("2019-01-01 05:10:00", 10.0)])
     api.run_etl(spark, str(landing), root, zones_csv)
-    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
-    serving_dir = Lake(root).serving
-    # mid-overwrite: data files gone, a new version stamp already visible
-    for f in glob.glob(f"{serving_dir}/*.parquet"):
-        os.remove(f)
-    fs.write_text(spark, f"{serving_dir}/_VERSION", "in-flight")
-    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
-    # the whole folder briefly absent
-    shutil.rmtree(serving_dir)
-    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)
-    # the next batch publishes the new table and the cache follows it
+    # a batch that is writing, or that stopped before its write was committed
+    unfinished = f"{Lake(root).serving}/version-{2**63 - 1:020d}"
+    os.makedirs(f"{unfinished}/_temporary")
+    api._SERVING_CACHE.pop(root, None)
+    assert api.avg_revenue(spark, root, 5) == pytest.approx(10.0)  # a reader that has read nothing before
+    assert api.avg_revenue_df(spark, root).count() == 24
+    held = api.serving_df(spark, root)
+    # the next batch publishes a new version; who holds the one before can still read it
     write_day(landing, "2019-01-02", [trip("2019-01-02 05:20:00", 20.0)])
     api.run_etl(spark, str(landing), root, zones_csv)
     assert api.avg_revenue(spark, root, 5) == pytest.approx(15.0)
+    assert held.where("hour = 5").first()["avg_revenue"] == pytest.approx(10.0)
+    assert not os.path.exists(unfinished) and len(glob.glob(f"{Lake(root).serving}/version-*")) == 2
+
+
+def test_stage_times_ties_and_attempts(spark):
+    import datetime as dt
+
+    from tidemark.operators import ledger
+
+    t = [dt.datetime(2019, 1, 1, 0, m) for m in range(6)]
+    events = [("a", "bronze", t[0]), ("a", "silver", t[1]), ("a", "bronze", t[2]), ("a", "silver", t[2]),
+              ("b", "bronze", t[0]), ("b", "done", t[3]), ("b", "gold", t[3]), ("c", "bronze", t[4]), ("c", "other", t[5])]
+    df = spark.createDataFrame(events, "file_path string, status string, ts timestamp_ntz")
+    got = {r["file_path"]: (r["status"], r["attempts"], r["status_silver_ts"]) for r in ledger.stage_times(df).collect()}
+    assert got == {"a": ("silver", 2, t[2]), "b": ("done", 1, None), "c": (None, 1, None)}
+    plan = ledger.stage_times(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import gold, ledger, serving
-from tidemark.sinks import fs
 from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
@@ -105,39 +104,21 @@ def hourly_revenue_df(spark: SparkSession, root: str) -> DataFrame:
     return serving_df(spark, root).select("hour", "revenue")
 
 
-class _ServingCache:
-    """The 24 serving rows, held on the driver and reloaded when the serving
-    table's version stamp changes. A stamp check is one small file read, so a
-    lookup stays in milliseconds instead of a Spark job per call."""
-
-    def __init__(self, version: str | None, rows: dict[int, dict]):
-        self.version = version
-        self.rows = rows
-
-
-_SERVING_CACHE: dict[str, _ServingCache] = {}
+#: Per lake root: the version read last and its 24 rows. A look for a newer version
+#: is one listing, so a lookup takes milliseconds instead of a Spark job per call.
+_SERVING_CACHE: dict[str, tuple[str | None, dict[int, dict]]] = {}
 _LOCK = threading.Lock()
 
 
 def _serving_rows(spark: SparkSession, root: str) -> dict[int, dict]:
-    lake = Lake(root)
-    version = fs.read_text(spark, f"{lake.serving}/_VERSION")
-    cached = _SERVING_CACHE.get(root)
-    if cached is not None and cached.version == version and cached.rows:
-        return cached.rows
-    with _LOCK:
-        try:
-            rows = {r["hour"]: r.asDict() for r in read_table(spark, lake, "serving").collect()}
-        except Exception:
-            if cached is None or not cached.rows:
-                raise
-            rows = {}
-        if len(rows) < serving.HOURS and cached is not None and cached.rows:
-            # a batch is rewriting the table right now (it is briefly empty or
-            # absent): answer from the previous version, one batch behind
-            return cached.rows
-        _SERVING_CACHE[root] = _ServingCache(version, rows)
+    version = lake_mod.serving_version(spark, Lake(root))
+    version_read, rows = _SERVING_CACHE.get(root, (None, {}))
+    if rows and version_read == version:
         return rows
+    with _LOCK:
+        rows = {r["hour"]: r.asDict() for r in serving_df(spark, root).collect()}
+        _SERVING_CACHE[root] = (version, rows)
+    return rows
 
 
 def avg_revenue(spark: SparkSession, root: str, h: int) -> float:
@@ -180,6 +161,11 @@ def ledger_status_df(spark: SparkSession, root: str) -> DataFrame:
     return ledger.latest_status(read_table(spark, Lake(root), "ledger"))
 
 
+def ledger_stage_times_df(spark: SparkSession, root: str) -> DataFrame:
+    """Per file: status, attempts and the last time of each stage."""
+    return ledger.stage_times(read_table(spark, Lake(root), "ledger"))
+
+
 def backlog_df(spark: SparkSession, root: str) -> DataFrame:
     return ledger.backlog(read_table(spark, Lake(root), "ledger"))
 

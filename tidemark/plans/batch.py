@@ -148,15 +148,19 @@ def known_files(spark, sf):
 
 
 def ledger_latest_status(spark, sf):
-    return ledger.latest_status(standin.ledger_events(spark, sf))
+    return ledger.latest_status(standin.ledger_events(spark, sf), standin.LEDGER_STAGES)
+
+
+def ledger_stage_times(spark, sf):
+    return ledger.stage_times(standin.ledger_events(spark, sf), standin.LEDGER_STAGES)
 
 
 def ledger_backlog(spark, sf):
-    return ledger.backlog(standin.ledger_events(spark, sf), done=standin.DONE_STATUS)
+    return ledger.backlog(standin.ledger_events(spark, sf), standin.LEDGER_STAGES)
 
 
 def stuck_files(spark, sf):
-    return ledger.stuck(standin.ledger_events(spark, sf), LEDGER_NOW, STUCK_MINUTES, done=standin.DONE_STATUS)
+    return ledger.stuck(standin.ledger_events(spark, sf), LEDGER_NOW, STUCK_MINUTES, standin.LEDGER_STAGES)
 
 
 def month_filter(spark, sf):
@@ -206,6 +210,7 @@ QUERIES = {
     "new_files": new_files,
     "known_files": known_files,
     "ledger_latest_status": ledger_latest_status,
+    "ledger_stage_times": ledger_stage_times,
     "ledger_backlog": ledger_backlog,
     "stuck_files": stuck_files,
     "month_filter": month_filter,

@@ -38,6 +38,12 @@ LEDGER = """
 ledger AS (
   SELECT CONCAT(CAST(user_id AS VARCHAR), '.parquet') AS file_path, event_type AS status, ts
   FROM events
+),
+last_event AS (
+  SELECT file_path, status, ts FROM ledger
+  QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY file_path
+    ORDER BY ts DESC, list_position(['signup', 'view', 'click', 'error', 'purchase'], status) DESC) = 1
 )"""
 
 
@@ -127,14 +133,23 @@ WHERE NOT EXISTS (SELECT 1 FROM in_ledger k WHERE k.file_path = l.file_path)""",
 SELECT file_path FROM landing l
 WHERE EXISTS (SELECT 1 FROM in_ledger k WHERE k.file_path = l.file_path)""",
     "ledger_latest_status": _with(LEDGER) + """
-SELECT file_path, arg_max(status, ts) AS status, MAX(ts) AS last_ts FROM ledger GROUP BY file_path""",
-    "ledger_backlog": _with(LEDGER) + """,
-latest AS (SELECT file_path, arg_max(status, ts) AS status FROM ledger GROUP BY file_path)
-SELECT status, COUNT(*) AS n_files FROM latest WHERE status <> 'purchase' GROUP BY status""",
+SELECT file_path, status, ts AS last_ts FROM last_event""",
+    "ledger_stage_times": _with(LEDGER) + """
+SELECT l.file_path, l.status, l.ts AS last_ts, COUNT(*) FILTER (e.status = 'signup') AS attempts,
+       MAX(e.ts) FILTER (e.status = 'signup') AS status_signup_ts,
+       MAX(e.ts) FILTER (e.status = 'view') AS status_view_ts,
+       MAX(e.ts) FILTER (e.status = 'click') AS status_click_ts,
+       MAX(e.ts) FILTER (e.status = 'error') AS status_error_ts,
+       MAX(e.ts) FILTER (e.status = 'purchase') AS status_purchase_ts
+FROM last_event l JOIN ledger e ON e.file_path = l.file_path
+GROUP BY l.file_path, l.status, l.ts""",
+    "ledger_backlog": _with(LEDGER) + """
+SELECT status, COUNT(*) AS n_files FROM last_event WHERE status <> 'purchase' GROUP BY status""",
     "stuck_files": _with(LEDGER) + """,
 per_file AS (
-  SELECT file_path, arg_max(status, ts) AS status, MAX(ts) AS last_ts, COUNT(*) AS attempts
-  FROM ledger GROUP BY file_path
+  SELECT l.file_path, l.status, l.ts AS last_ts,
+         (SELECT COUNT(*) FROM ledger e WHERE e.file_path = l.file_path AND e.status = 'signup') AS attempts
+  FROM last_event l
 )
 SELECT file_path, status, last_ts, attempts FROM per_file
 WHERE status <> 'purchase' AND last_ts < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 60 MINUTE""",

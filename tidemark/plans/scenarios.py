@@ -11,8 +11,6 @@ whole point: ticks, crashes, replays and late files converge to one batch.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,22 +130,14 @@ def late_file_same_day(spark, sf):
     return _gold(spark, lake)
 
 
-def land_in_name_order(spark: SparkSession, paths: list[str], step_ms: int = 1000) -> None:
-    """Give the files strictly increasing mtimes in name order, as a producer
-    dropping one daily file after another would. The file stream takes files
-    oldest first, so batches then hold consecutive days."""
-    start = int(time.time() * 1000) - step_ms * (len(paths) + 1)
-    for k, path in enumerate(sorted(paths)):
-        fs.set_modification_time(spark, path, start + k * step_ms)
-
-
 def stream_archive(spark, sf):
-    """Consumed files are moved to the archive, lagging one batch: after a
-    tick, every batch but the last is archived. Files land in name order, so
-    the archive holds the first days. Returns the archived file names."""
+    """After a tick of several batches, every consumed file is in the archive and
+    landing is empty. Returns the archived file names."""
     root, landing, lake, zones = _setup(spark, sf, "archive")
-    land_in_name_order(spark, split_days(spark, standin.trips(spark, sf), landing))
+    split_days(spark, standin.trips(spark, sf), landing)
     _tick(spark, landing, lake, zones, max_files_per_trigger=FILES_PER_BATCH, archive=True)
+    if fs.list_files(spark, landing):
+        raise ScenarioError("consumed files are still in landing")
     archived = (
         spark.read.schema(RAW_TRIPS)
         .option("recursiveFileLookup", "true")
@@ -212,22 +202,46 @@ def serving_cold_start(spark, sf):
     return cold.unionByName(live)
 
 
-def reset_tables(spark, sf):
-    """reset() after a tick: every table empty (serving all zero), schemas kept."""
-    root, landing, lake, zones = _setup(spark, sf, "reset")
-    split_days(spark, standin.trips(spark, sf), landing)
-    _tick(spark, landing, lake, zones)
-    reset(spark, lake)
+def _row_counts(spark: SparkSession, lake: Lake, column: str) -> DataFrame:
+    """Rows of every table (of serving: hours with revenue)."""
     counts = None
     for name in TABLES:
         t = read_table(spark, lake, name)
         if name == "serving":
             t = t.where(F.col("revenue") != 0)
-        c = t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        c = t.agg(F.count(F.lit(1)).alias(column)).select(F.lit(name).alias("table_name"), column)
         counts = c if counts is None else counts.unionByName(c)
     return counts
 
 
+def reset_tables(spark, sf):
+    """reset() after a tick: rows of every table before it and after, schemas kept."""
+    root, landing, lake, zones = _setup(spark, sf, "reset")
+    split_days(spark, standin.trips(spark, sf), landing)
+    _tick(spark, landing, lake, zones)
+    _row_counts(spark, lake, "n_before").write.parquet(f"{root}/counts_before")
+    reset(spark, lake)
+    before = spark.read.parquet(f"{root}/counts_before")
+    return before.join(_row_counts(spark, lake, "n_after"), "table_name")
+
+
+def crash_status(spark, sf):
+    """A tick whose only batch fails after its gold write: its files read 'gold', not 'done'."""
+    from tidemark.operators.ledger import stage_times
+
+    root, landing, lake, zones = _setup(spark, sf, "crash-status")
+    split_days(spark, standin.trips(spark, sf), landing)
+    try:
+        _tick(spark, landing, lake, zones, fail_at="gold")
+    except Exception as e:  # the streaming query surfaces the batch error
+        if "injected failure" not in str(e):
+            raise
+    return stage_times(read_table(spark, lake, "ledger")).select(
+        "file_path", "status", "attempts",
+        F.col("status_gold_ts").isNotNull().alias("has_gold"), F.col("status_done_ts").isNotNull().alias("has_done"),
+    )
+
+
 def ledger_after_ingest(spark, sf):
     """Every ingested file ends in state 'done'."""
     from tidemark.operators.ledger import latest_status
@@ -253,6 +267,7 @@ QUERIES = {
     "serving_cold_start": serving_cold_start,
     "reset_tables": reset_tables,
     "ledger_after_ingest": ledger_after_ingest,
+    "crash_status": crash_status,
 }
 
 SERVING_SQL = oracle._with(oracle.SILVER) + """,
@@ -283,16 +298,22 @@ SELECT CAST(range AS INTEGER) AS hour, CAST(0 AS DOUBLE) AS revenue, CAST(0 AS D
 FROM range(24)
 UNION ALL
 SELECT *, 'live' AS stage FROM (""" + SERVING_SQL + ")",
-    "reset_tables": """
-SELECT table_name, CAST(n AS BIGINT) AS n FROM (VALUES
-  ('bronze', 0), ('silver', 0), ('quarantine', 0), ('file_cells', 0), ('cells', 0),
-  ('hour_denorm', 0), ('day_hours', 0), ('serving', 0), ('ledger', 0)) t(table_name, n)""",
-    # daily files in name order, batches of FILES_PER_BATCH; all but the last batch archived
-    "stream_archive": oracle._with(oracle.SILVER) + f""",
-days AS (SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_name FROM silver),
-ranked AS (SELECT file_name, ROW_NUMBER() OVER (ORDER BY file_name) AS k, COUNT(*) OVER () AS n FROM days)
-SELECT file_name FROM ranked
-WHERE k <= {FILES_PER_BATCH} * CAST(FLOOR((n - 1) / {FILES_PER_BATCH}) AS BIGINT)""",
+    "reset_tables": oracle._with(oracle.SILVER, oracle.ZONES, oracle.DENORM) + """
+SELECT table_name, CAST(n_before AS BIGINT) AS n_before, CAST(0 AS BIGINT) AS n_after FROM (
+  SELECT 'bronze' AS table_name, 0 AS n_before
+  UNION ALL SELECT 'silver', COUNT(*) FROM silver
+  UNION ALL SELECT 'quarantine', 0
+  UNION ALL SELECT 'file_cells', COUNT(*) FROM (SELECT DISTINCT date, hour, PULocationID FROM silver)
+  UNION ALL SELECT 'cells', COUNT(*) FROM (SELECT DISTINCT date, hour, PULocationID FROM silver)
+  UNION ALL SELECT 'hour_denorm', COUNT(*) FROM (SELECT DISTINCT zone, date, hour FROM denorm)
+  UNION ALL SELECT 'day_hours', COUNT(*) FROM (SELECT DISTINCT date, hour FROM silver)
+  UNION ALL SELECT 'serving', COUNT(*) FROM (SELECT hour FROM silver GROUP BY hour HAVING SUM(total_amount) <> 0)
+  UNION ALL SELECT 'ledger', 4 * COUNT(DISTINCT date) FROM silver)""",
+    "stream_archive": oracle._with(oracle.SILVER) + """
+SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_name FROM silver""",
+    "crash_status": oracle._with(oracle.SILVER) + """
+SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_path, 'gold' AS status,
+       CAST(1 AS BIGINT) AS attempts, TRUE AS has_gold, FALSE AS has_done FROM silver""",
     "ledger_after_ingest": oracle._with(oracle.SILVER) + """
 SELECT DISTINCT CONCAT(CAST(date AS VARCHAR), '.parquet') AS file_path, 'done' AS status FROM silver""",
 }

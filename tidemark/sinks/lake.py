@@ -7,6 +7,7 @@ from silver, serving from gold, so a write never races its own input.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,7 +93,8 @@ def table_path(lake: Lake, name: str) -> str:
 def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """Read a lake table with its fixed schema (works on an empty table too)."""
     schema, _ = TABLES[name]
-    return spark.read.schema(schema).parquet(table_path(lake, name))
+    path = serving_version(spark, lake) if name == "serving" else None
+    return spark.read.schema(schema).parquet(path or table_path(lake, name))
 
 
 def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str = "p_date") -> DataFrame:
@@ -138,13 +140,30 @@ def overwrite_partitions(df: DataFrame, lake: Lake, name: str) -> None:
     )
 
 
-def overwrite_table(df: DataFrame, lake: Lake, name: str) -> None:
-    """Full overwrite of a small, unpartitioned table (serving)."""
-    _, parts = TABLES[name]
-    writer = _conform(df, name).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(table_path(lake, name))
+def _serving_versions(spark: SparkSession, lake: Lake) -> list[str]:
+    """Folders of the serving versions that are written in full, oldest first."""
+    return [p.rsplit("/", 1)[0] for p in fs.glob(spark, f"{lake.serving}/version-*/_SUCCESS")]
+
+
+def serving_version(spark: SparkSession, lake: Lake) -> str | None:
+    """Folder of the newest complete serving version, None before the first."""
+    return next(reversed(_serving_versions(spark, lake)), None)
+
+
+def publish_serving(spark: SparkSession, lake: Lake, df: DataFrame) -> None:
+    """Write the serving rows as a new version; readers see it once its write has committed.
+
+    Nothing that a reader may hold is replaced in place. The version before stays for
+    readers that have just picked it; older ones, and those a crash cut short, go.
+    """
+    done = _serving_versions(spark, lake)
+    last = int(done[-1].rsplit("-", 1)[1]) if done else 0
+    version = f"{lake.serving}/version-{max(time.time_ns(), last + 1):020d}"  # ascends if the clock steps back
+    _conform(df, "serving").coalesce(1).write.parquet(version)
+    keep = {p.rsplit("/", 1)[1] for p in [*done[-1:], version]}
+    for path in fs.glob(spark, f"{lake.serving}/version-*"):
+        if path.rsplit("/", 1)[1] not in keep:
+            fs.delete(spark, path)
 
 
 def append(df: DataFrame, lake: Lake, name: str) -> None:
@@ -203,10 +222,10 @@ def migrate(spark: SparkSession, lake: Lake) -> list[str]:
     created = []
     for name in TABLES:
         path = table_path(lake, name)
-        if fs.exists(spark, path):
+        if fs.exists(spark, path) and (name != "serving" or serving_version(spark, lake)):
             continue
         if name == "serving":
-            overwrite_table(serving_zero(spark), lake, name)
+            publish_serving(spark, lake, serving_zero(spark))
         else:
             # An empty folder is an empty table: every read passes the schema.
             fs.mkdirs(spark, path)
@@ -229,7 +248,7 @@ def reset(spark: SparkSession, lake: Lake) -> None:
     """
     for name in TABLES:
         if name == "serving":
-            overwrite_table(serving_zero(spark), lake, name)
+            publish_serving(spark, lake, serving_zero(spark))
             continue
         _, parts = TABLES[name]
         writer = empty(spark, name).write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 # Fixed values for the stand-in mapping.
 ZONE_IDS = 30  # user_id % 30 gives 30 zone ids; nation holds 25 of them
-DONE_STATUS = "purchase"  # the ledger event type standing for 'done'
+# event types standing for the stages of a file, in order
+LEDGER_STAGES = ("signup", "view", "click", "error", "purchase")
 MISSING_PICKUP_EVERY = 97  # pickups blanked on event_id % 97 = 0 to feed the quarantine
 
 

@@ -1,7 +1,8 @@
 """The per-batch write protocol shared by the stream and by explicit replays.
 
 Order: ledger 'bronze' -> silver (+ quarantine) -> file cells -> gold cells ->
-gold hour_denorm -> serving -> ledger 'silver'/'gold'/'done'. Every data write
+gold hour_denorm -> serving; the ledger gets 'silver', 'gold' and 'done' as each
+of them is written. Every data write
 overwrites well-defined partitions and nothing is ever added to a stored
 total, so running a batch twice, or resuming it after a crash at any point,
 leaves the same tables as running it once:
@@ -38,7 +39,7 @@ from tidemark.sinks.lake import (
     append,
     clear_partition,
     overwrite_partitions,
-    overwrite_table,
+    publish_serving,
     read_dates,
     read_table,
 )
@@ -61,18 +62,16 @@ def _timed(timings: dict, stage: str):
         timings[stage] = round(timings.get(stage, 0.0) + time.perf_counter() - t0, 3)
 
 
-def _ledger(files: DataFrame, stamps: dict[str, _dt.datetime], batch_id: int) -> DataFrame:
-    """One event per (file, stage). ``files`` is a one-column DataFrame of names;
-    the stages are literals, so everything stays in the JVM (no Python rows)."""
-    events = F.array(
-        *[
-            F.struct(F.lit(status).alias("status"), ntz(ts).alias("ts"))
-            for status, ts in stamps.items()
-        ]
+def _stamp(files: DataFrame, lake: Lake, status: str, batch_id: int) -> None:
+    """Append one event per file. ``files`` is a one-column DataFrame of names;
+    the rest are literals, so everything stays in the JVM (no Python rows)."""
+    events = files.select(
+        F.col("source_file").alias("file_path"),
+        F.lit(status).alias("status"),
+        ntz(_now()).alias("ts"),
+        F.lit(int(batch_id)).alias("batch_id"),
     )
-    return files.select(
-        F.col("source_file").alias("file_path"), F.explode(events).alias("e"), F.lit(int(batch_id)).alias("batch_id")
-    ).select("file_path", "e.status", "e.ts", "batch_id", F.to_date("e.ts").alias("p_day"))
+    append(events.withColumn("p_day", F.to_date("ts")), lake, "ledger")
 
 
 def _leaf_dirs(table: DataFrame, files: list[str], with_date: bool = True) -> list:
@@ -139,8 +138,7 @@ def rebuild_gold(
 
 def refresh_serving(spark: SparkSession, lake: Lake) -> None:
     """Recompute the 24 serving rows from day_hours (24 rows per date)."""
-    overwrite_table(serving.serving_table(spark, read_table(spark, lake, "day_hours")), lake, "serving")
-    fs.write_text(spark, f"{lake.serving}/_VERSION", _now().isoformat())
+    publish_serving(spark, lake, serving.serving_table(spark, read_table(spark, lake, "day_hours")))
 
 
 def process_batch(
@@ -189,10 +187,9 @@ def process_batch(
         new_dates = sorted({r["d"] for r in pairs if r["d"] is not None and r["ok"]})
         n_rows = sum(r["count"] for r in pairs)
         n_rejected = sum(r["count"] for r in pairs if not r["ok"])
-        stamps = {"bronze": _now()}
-        names = spark.createDataFrame([(f,) for f in files], "source_file string")
+        names = spark.createDataFrame([(f,) for f in files], "source_file string").coalesce(1)
         with _timed(tm, "ledger"):
-            append(_ledger(names, stamps, batch_id), lake, "ledger")
+            _stamp(names, lake, "bronze", batch_id)
 
         old_silver, old_cells, old_rejects = [], [], []
         if replay:
@@ -221,14 +218,16 @@ def process_batch(
         for row in old_silver + old_cells:
             if row["p_date"] not in new_dates:
                 fs.delete(spark, row["leaf"], recursive=True)
-        stamps["silver"] = _now()
+        with _timed(tm, "ledger"):
+            _stamp(names, lake, "silver", batch_id)
         if fail_at == "silver":
             raise InjectedFailure("injected failure after the silver write")
 
         dates = sorted(dates)
         with _timed(tm, "gold"):
             rebuild_gold(spark, lake, zones, dates)
-        stamps["gold"] = _now()
+        with _timed(tm, "ledger"):
+            _stamp(names, lake, "gold", batch_id)
         if fail_at == "gold":
             raise InjectedFailure("injected failure after the gold write")
 
@@ -236,10 +235,8 @@ def process_batch(
             refresh_serving(spark, lake)
         for path in [*note[1], note[0]]:
             fs.delete(spark, path)
-        stamps["done"] = _now()
-        stamps.pop("bronze")
         with _timed(tm, "ledger"):
-            append(_ledger(names, stamps, batch_id), lake, "ledger")
+            _stamp(names, lake, "done", batch_id)
         return {
             "batch_id": batch_id,
             "files": files,

@@ -74,9 +74,26 @@ def run_ingest(
     finally:
         if query.isActive:
             query.stop()
+    if archive:
+        archive_done(spark, landing, lake, set(report.files))
     return report
 
 
+def archive_done(spark: SparkSession, landing: str, lake: Lake, names: set[str]) -> None:
+    """Move the tick's files that are still in landing to the archive.
+
+    The source moves a batch's files when the next batch starts, so these are the
+    last batch's, whose commit ended the tick: one rename each, as many as a batch holds.
+    """
+    left = [p for p in fs.list_files(spark, landing) if p.rsplit("/", 1)[1] in names]
+    if left:
+        fs.mkdirs(spark, lake.archive)
+    for path in left:
+        name = path.rsplit("/", 1)[1]
+        if not fs.rename(spark, path, f"{lake.archive}/{name}"):
+            raise OSError(f"{path} could not be moved to the archive")
+
+
 def start_ingest(
     spark: SparkSession,
     landing: str,
