@@ -179,23 +179,17 @@ def _place(bits: np.ndarray):
 def disclosures(scanned: DataFrame, docs: DataFrame) -> DataFrame:
     """(term, disclosure): hashes of the terms to generalise or remove, with the largest P(entity | term)."""
     near = scanned.where(F.size("term") > 0).select(F.explode(F.arrays_zip("term", "entity", "context")).alias("x")).select("x.*")
+    rare = near.groupBy("entity").agg(F.count("*").alias("mass"))
     near = near.groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
     pairs = C.cut(near.groupBy("term", "entity").agg(F.sum("n").alias("n"), F.count("*").alias("contexts")).where(F.col("contexts") >= SUPPORT))
-    entities = near.groupBy("entity").agg(F.sum("n").alias("mass"))
     bits = C.bitmap(pairs, "term")
     seen = docs.select("text").mapInArrow(_occurrences(bits), "term long, n long").groupBy("term").agg(F.sum("n").alias("total"))
-    whole = F.sum("mass").over(_everything())
-    rare = entities.withColumn("prior", F.col("mass") / whole)
+    whole = scanned.agg(F.sum(F.size("term"))).first()[0] or 1
+    rare = rare.select("entity", (F.col("mass") / whole).alias("prior"))
     told = pairs.join(seen, "term").join(rare, "entity").withColumn("p", F.least(F.lit(1.0), F.col("n") / F.col("total")))
     return told.where((F.col("p") >= GENERALISE) & (F.log2(F.col("p") / F.col("prior")) >= BITS)).groupBy("term").agg(F.max("p").alias("disclosure"))
 
 
-def _everything():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
-
-
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row of docs."""
     spark = docs.sparkSession
