@@ -158,17 +158,17 @@ def quarantine_df(spark: SparkSession, root: str) -> DataFrame:
 
 
 def ledger_status_df(spark: SparkSession, root: str) -> DataFrame:
-    return ledger.latest_status(read_table(spark, Lake(root), "ledger"))
+    return ledger.latest_status(read_table(spark, Lake(root), "ledger"), failed=ledger.FAILED)
 
 
 def ledger_stage_times_df(spark: SparkSession, root: str) -> DataFrame:
     """Per file: status, attempts and the last time of each stage."""
-    return ledger.stage_times(read_table(spark, Lake(root), "ledger"))
+    return ledger.stage_times(read_table(spark, Lake(root), "ledger"), failed=ledger.FAILED)
 
 
 def backlog_df(spark: SparkSession, root: str) -> DataFrame:
-    return ledger.backlog(read_table(spark, Lake(root), "ledger"))
+    return ledger.backlog(read_table(spark, Lake(root), "ledger"), failed=ledger.FAILED)
 
 
 def stuck_files_df(spark: SparkSession, root: str, now, older_than_minutes: int = 1) -> DataFrame:
-    return ledger.stuck(read_table(spark, Lake(root), "ledger"), now, older_than_minutes)
+    return ledger.stuck(read_table(spark, Lake(root), "ledger"), now, older_than_minutes, failed=ledger.FAILED)

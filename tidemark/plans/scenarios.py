@@ -115,6 +115,23 @@ def crash_recovery(spark, sf):
     return _gold(spark, lake)
 
 
+def bad_file_isolated(spark, sf):
+    """Two landing files are not Parquet: they go to the errors folder, all others through."""
+    from tidemark.operators import ledger
+
+    root, landing, lake, zones = _setup(spark, sf, "bad-file")
+    split_days(spark, standin.trips(spark, sf), landing)
+    broken = ["0000-first.parquet", "9999-last.parquet"]
+    for name in broken:
+        fs.write_text(spark, f"{landing}/{name}", "this is no parquet file")
+    rep = _tick(spark, landing, lake, zones, max_files_per_trigger=FILES_PER_BATCH)
+    events = ledger.latest_status(read_table(spark, lake, "ledger"), failed=ledger.FAILED)
+    failed = sorted(r["file_path"] for r in events.where(F.col("status") == ledger.FAILED).collect())
+    if not sorted(rep.errors) == failed == broken:
+        raise ScenarioError(f"set aside: {rep.errors}, in the ledger: {failed}")
+    return _gold(spark, lake)
+
+
 def late_file_same_day(spark, sf):
     """Mornings land first; every afternoon arrives later as a second file of its day."""
     root, landing, lake, zones = _setup(spark, sf, "late")
@@ -258,6 +275,7 @@ QUERIES = {
     "stream_replay_skip": stream_replay_skip,
     "replay_idempotent": replay_idempotent,
     "crash_recovery": crash_recovery,
+    "bad_file_isolated": bad_file_isolated,
     "late_file_same_day": late_file_same_day,
     "stream_archive": stream_archive,
     "split_days": split_days_query,
@@ -287,6 +305,7 @@ SQL = {
     "stream_replay_skip": oracle.HOUR_DENORM_SQL,
     "replay_idempotent": oracle.HOUR_DENORM_SQL,
     "crash_recovery": oracle.HOUR_DENORM_SQL,
+    "bad_file_isolated": oracle.HOUR_DENORM_SQL,
     "late_file_same_day": oracle.HOUR_DENORM_SQL,
     "split_days": oracle.ROWS_PER_DAY_SQL,
     "external_view": oracle.SILVER_COLUMNS_SQL,

@@ -71,6 +71,10 @@ class Lake:
     def archive(self) -> str:
         return self.path("archive")
 
+    @property
+    def errors(self) -> str:
+        return self.path("errors")
+
 
 # name -> (schema, partition columns)
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {

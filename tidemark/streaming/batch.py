@@ -62,7 +62,7 @@ def _timed(timings: dict, stage: str):
         timings[stage] = round(timings.get(stage, 0.0) + time.perf_counter() - t0, 3)
 
 
-def _stamp(files: DataFrame, lake: Lake, status: str, batch_id: int) -> None:
+def stamp(files: DataFrame, lake: Lake, status: str, batch_id: int) -> None:
     """Append one event per file. ``files`` is a one-column DataFrame of names;
     the rest are literals, so everything stays in the JVM (no Python rows)."""
     events = files.select(
@@ -189,7 +189,7 @@ def process_batch(
         n_rejected = sum(r["count"] for r in pairs if not r["ok"])
         names = spark.createDataFrame([(f,) for f in files], "source_file string").coalesce(1)
         with _timed(tm, "ledger"):
-            _stamp(names, lake, "bronze", batch_id)
+            stamp(names, lake, "bronze", batch_id)
 
         old_silver, old_cells, old_rejects = [], [], []
         if replay:
@@ -219,7 +219,7 @@ def process_batch(
             if row["p_date"] not in new_dates:
                 fs.delete(spark, row["leaf"], recursive=True)
         with _timed(tm, "ledger"):
-            _stamp(names, lake, "silver", batch_id)
+            stamp(names, lake, "silver", batch_id)
         if fail_at == "silver":
             raise InjectedFailure("injected failure after the silver write")
 
@@ -227,7 +227,7 @@ def process_batch(
         with _timed(tm, "gold"):
             rebuild_gold(spark, lake, zones, dates)
         with _timed(tm, "ledger"):
-            _stamp(names, lake, "gold", batch_id)
+            stamp(names, lake, "gold", batch_id)
         if fail_at == "gold":
             raise InjectedFailure("injected failure after the gold write")
 
@@ -236,7 +236,7 @@ def process_batch(
         for path in [*note[1], note[0]]:
             fs.delete(spark, path)
         with _timed(tm, "ledger"):
-            _stamp(names, lake, "done", batch_id)
+            stamp(names, lake, "done", batch_id)
         return {
             "batch_id": batch_id,
             "files": files,

@@ -15,19 +15,30 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.schemas import TRIP_COLUMNS
+from tidemark.operators import ledger
+from tidemark.schemas import RAW_TRIPS, TRIP_COLUMNS
 from tidemark.sinks import fs
-from tidemark.sinks.lake import Lake, migrate
+from tidemark.sinks.lake import Lake, migrate, read_table
 from tidemark.sources.trips import read_trip_files, trips_stream
-from tidemark.streaming.batch import process_batch
+from tidemark.streaming.batch import process_batch, stamp
+
+#: What Spark says of a file that a task cannot read (truncated, not Parquet, other column types).
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
 
 
 @dataclass
 class TickReport:
     batches: list[dict] = field(default_factory=list)
+    #: Names of the files set aside as unreadable.
+    errors: list[str] = field(default_factory=list)
+    #: Batches run, those of files without rows included.
+    n_run: int = 0
 
     @property
     def n_batches(self) -> int:
@@ -55,30 +66,79 @@ def run_ingest(
     (crash test); the error propagates, and the next tick resumes that batch.
     """
     report = TickReport()
-    query = start_ingest(
-        spark,
-        landing,
-        lake,
-        zones,
-        max_files_per_trigger=max_files_per_trigger,
-        archive=archive,
-        fail_at=fail_at,
-        bronze=bronze,
-        report=report,
-        available_now=True,
-    )
-    try:
-        finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-        if timeout_s and not finished:
-            raise TimeoutError(f"ingest tick did not finish in {timeout_s}s")
-    finally:
-        if query.isActive:
-            query.stop()
+    landed = [(p.rsplit("/", 1)[1],) for p in fs.list_files(spark, landing)]
+    options = {"max_files_per_trigger": max_files_per_trigger, "archive": archive, "fail_at": fail_at, "bronze": bronze}
+    while True:
+        query = start_ingest(spark, landing, lake, zones, **options, report=report, available_now=True)
+        try:
+            finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+            if timeout_s and not finished:
+                raise TimeoutError(f"ingest tick did not finish in {timeout_s}s")
+            break
+        except StreamingQueryException as e:
+            injected = "InjectedFailure" in str(e)
+            aside = [] if injected else set_aside_unreadable(spark, landing, lake, bronze)
+            if not aside:
+                raise
+            report.errors += aside
+        finally:
+            if query.isActive:
+                query.stop()
+    if report.n_run:
+        _stamp_rowless(spark, landed, lake)
     if archive:
-        archive_done(spark, landing, lake, set(report.files))
+        archive_done(spark, landing, lake, {n for n, in landed} - set(report.errors))
     return report
 
 
+def _stamp_rowless(spark: SparkSession, landed: list[tuple[str]], lake: Lake) -> None:
+    """The tick took every file that had landed before it; one without an event has no rows, and is done."""
+    names = spark.createDataFrame(landed, "file_path string")
+    rowless = ledger.new_files(names, read_table(spark, lake, "ledger")).collect()
+    if rowless:
+        files = spark.createDataFrame([(r[0],) for r in rowless], "source_file string")
+        for status in (ledger.STAGES[0], ledger.STAGES[-1]):
+            stamp(files, lake, status, -1)
+
+
+def unreadable(spark: SparkSession, paths: list[str], columns: list[str]) -> list[str]:
+    """Of these files, those that cannot be read: halves that read in full are cleared
+    together, so b such files among n cost about b log n reads."""
+    if not paths:
+        return []
+    try:
+        read_trip_files(spark, paths).select(*columns).write.format("noop").mode("overwrite").save()
+        return []
+    except (PySparkException, Py4JJavaError) as e:
+        if not any(mark in str(e) for mark in UNREADABLE):
+            raise
+    half = len(paths) // 2
+    return unreadable(spark, paths[:half], columns) + unreadable(spark, paths[half:], columns) if half else paths
+
+
+def set_aside_unreadable(spark: SparkSession, landing: str, lake: Lake, bronze: bool = False) -> list[str]:
+    """Move landing files that cannot be read to the lake's errors folder, with an event in the
+    ledger, so that the other files of their batch go through. Returns their names.
+
+    Runs only after a batch has failed to read a file, over the files that no batch has
+    finished. Once mended, such a file comes in by ``replay_files``: its name is taken.
+    """
+    landed = spark.createDataFrame([(p.rsplit("/", 1)[1], p) for p in fs.list_files(spark, landing)], "file_path string, path string")
+    done = ledger.latest_status(read_table(spark, lake, "ledger")).where(F.col("status") == ledger.STAGES[-1])
+    waiting = landed.join(done, "file_path", "left_anti").select("path").collect()
+    columns = [c for c in RAW_TRIPS.names] if bronze else list(TRIP_COLUMNS)
+    found = unreadable(spark, sorted(r["path"] for r in waiting), columns)
+    if found:
+        names = [p.rsplit("/", 1)[1] for p in found]
+        stamp(spark.createDataFrame([(n,) for n in names], "source_file string"), lake, ledger.FAILED, -1)
+        fs.mkdirs(spark, lake.errors)
+        for path, name in zip(found, names, strict=True):
+            if not fs.rename(spark, path, f"{lake.errors}/{name}"):
+                raise OSError(f"{path} could not be moved to the errors folder")
+        return names
+    return []
+
+
 def archive_done(spark: SparkSession, landing: str, lake: Lake, names: set[str]) -> None:
     """Move the tick's files that are still in landing to the archive.
 
@@ -124,8 +184,10 @@ def start_ingest(
         out = process_batch(
             batch_df, batch_id, lake, zones, fail_at=inject, bronze=bronze
         )
-        if out["files"] and report is not None:
-            report.batches.append(out)
+        if report is not None:
+            report.n_run += 1
+            if out["files"]:
+                report.batches.append(out)
 
     stream = trips_stream(
         spark,
