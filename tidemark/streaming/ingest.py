@@ -84,14 +84,13 @@ def run_ingest(
         finally:
             if query.isActive:
                 query.stop()
-    if report.n_run:
-        _stamp_rowless(spark, landed, lake)
+    rowless = _stamp_rowless(spark, landed, lake) if report.n_run and landed else []
     if archive:
-        archive_done(spark, landing, lake, {n for n, in landed} - set(report.errors))
+        archive_done(spark, landing, lake, {*report.files, *rowless})
     return report
 
 
-def _stamp_rowless(spark: SparkSession, landed: list[tuple[str]], lake: Lake) -> None:
+def _stamp_rowless(spark: SparkSession, landed: list[tuple[str]], lake: Lake) -> list[str]:
     """The tick took every file that had landed before it; one without an event has no rows, and is done."""
     names = spark.createDataFrame(landed, "file_path string")
     rowless = ledger.new_files(names, read_table(spark, lake, "ledger")).collect()
@@ -99,6 +98,7 @@ def _stamp_rowless(spark: SparkSession, landed: list[tuple[str]], lake: Lake) ->
         files = spark.createDataFrame([(r[0],) for r in rowless], "source_file string")
         for status in (ledger.STAGES[0], ledger.STAGES[-1]):
             stamp(files, lake, status, -1)
+    return [r[0] for r in rowless]
 
 
 def unreadable(spark: SparkSession, paths: list[str], columns: list[str]) -> list[str]:
