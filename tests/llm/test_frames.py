@@ -94,6 +94,21 @@ def test_language_and_toxicity(spark, docs, empty):
     assert toxicity_crf.score(docs, toxicity_crf.train(train, labels.where("false"))).where("score > 0.01").count() == 0
 
 
+def test_lexicon_keeps_every_entry_at_every_size(spark):
+    """52,000 words that only toxic rows hold, 26,000 of them in a single row; and a corpus of three toxic rows."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(6))
+    toxic = [(i, " ".join(word(26_000 * (i > 1) + k) for k in range(26_000))) for i in range(4)] + [(4, " ".join(word(60_000 + k) for k in range(26_000)))]
+    rows = toxic + [(100 + i, f"plain day number{'abcde'[i % 5]}") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, toxic int")
+    crf = toxicity_crf.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(crf.lexicon) >= 78_000 and (crf.classes([f"w{word(k)}" for k in range(52_000)]) >= 2).all() and (crf.classes([f"w{word(60_000 + k)}" for k in range(26_000)]) >= 1).all()
+    assert (crf.classes(["wplain", "4plai", "wday", "w", "5nowhe"]) == 0).all()
+    few = [(i, "an ordinary day of rest " + ("you vilething" if i < 3 else "")) for i in range(60)]
+    crf = toxicity_crf.train(spark.createDataFrame(few, "doc_id long, text string"), spark.createDataFrame([(i, int(i < 3)) for i in range(60)], "doc_id long, toxic int"))
+    scored = toxicity_crf.score(spark.createDataFrame([(1, "a vilething came"), (2, "an ordinary day")], "doc_id long, text string"), crf).collect()
+    assert (crf.classes(["wvilething", "4vile"]) >= 2).all() and scored[0].score > scored[1].score
+
+
 def test_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float(i % 5), 1.0, float(i)]) for i in range(20)] + [(20, [0.0, 2.0, 0.0]), (40, None), (60, [0.0, 0.0, 0.0]), (80, [1.0, nan, 0.0]), (100, [inf, 1.0, 0.0]), (120, [1.0, None, 1.0]), (20, [0.0, 2.0, 0.0])]

@@ -6,8 +6,10 @@ each word's probability: toxic spans with their offsets, and, summed and at thei
 
 Learning: document frequencies of words and beginnings over all labelled rows (a shuffle; the beginnings that toxic rows
 hold first, then, by a fixed-size bitmap, the others' counts of them) give the classes. A word of a toxic row that is of
-the highest class in any way is a toxic token; all others are not. The field's weights and the document score's are
-fitted on a sample of at most SAMPLE labelled rows, as classes only; the lexicon keeps the LEXICON most frequent entries.
+the highest class in any way is a toxic token; all others are not. Log-odds are lower bounds by the number of toxic
+rows that hold the entry, so rare entries count by their evidence at every size of the corpus. The field's weights and
+the document score's are fitted on a sample of at most SAMPLE labelled rows, as classes only; the lexicon keeps every
+entry of a class, as a sorted array of 62 bits of its hash and 2 of its class (8 bytes an entry).
 
 In scoring, a run of more than 2 * REACH words of class 0 separates chains: what lies beyond has no measurable influence,
 so only words near others are passed through, with the stationary messages at either side.
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
 
-SAMPLE, LEXICON, LEAST_DOCS = 3000, 50_000, 5
+SAMPLE = 3000
+SURE = 1.645  # the classes are of log-odds so many standard errors of the toxic count below the estimate
 CLASSES = (1.0, 2.0, 3.5)  # log-odds where the classes 1, 2, 3 begin
 REACH, STEPS = 12, 60
 _WORD = re.compile(r"[^\W\d_]+")
@@ -51,35 +54,57 @@ def _features(batch: pa.RecordBatch) -> dict:
 def _known_features(bits: np.ndarray):
     def run(batch: pa.RecordBatch) -> dict:
         cols = _features(batch)
-        h = np.array([xxhash.xxh3_64_intdigest(f.encode()) for f in cols["feature"]], np.uint64).view(np.int64)
+        h = _hashes(cols["feature"]).view(np.int64)
         keep = np.flatnonzero(C.in_bitmap(bits, h)) if len(h) else []
         return {"feature": [cols["feature"][i] for i in keep], "n": [cols["n"][i] for i in keep]}
 
     return run
 
 
+def _hashes(features: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(f.encode()) for f in features), np.uint64, len(features))
+
+
 def _hashed(batch: pa.RecordBatch) -> dict:
-    return {"h": np.array([xxhash.xxh3_64_intdigest(f.encode()) for f in batch.column(0).to_pylist()], np.uint64).view(np.int64)}
+    return {"h": _hashes(batch.column(0).to_pylist()).view(np.int64)}
+
+
+def pack(features: list[str], classes: np.ndarray) -> np.ndarray:
+    """Entries of the lexicon: a feature's hash, its last two bits replaced by the class 1..3."""
+    return _hashes(features) & ~np.uint64(3) | np.asarray(classes).astype(np.uint64)
+
+
+def _packed(batch: pa.RecordBatch) -> dict:
+    return {"entry": pack(batch.column(0).to_pylist(), np.asarray(batch.column(1))).view(np.int64)}
 
 
 @dataclass
 class Model:
-    lexicon: dict[str, int]  # view of a word -> class 1..3
+    lexicon: np.ndarray  # sorted entries (see pack) of the views of words that have a class
     emit: np.ndarray  # by code (classes of the three views): score of label 1
     move: np.ndarray  # (2, 2) transition scores
     weigh: np.ndarray  # document score: bias, log(1 + expected toxic words), largest marginal
 
-    def codes(self, words: list[str]) -> np.ndarray:
-        get = self.lexicon.get
-        cache: dict[str, int] = {}
-        out = np.zeros(len(words), np.int64)
-        for i, w in enumerate(words):
-            c = cache.get(w)
-            if c is None:
-                c = cache[w] = 16 * get("w" + w, 0) + 4 * get("4" + w[:4], 0) + get("5" + w[:5], 0)
-            if c:
-                out[i] = c
-        return out
+    def classes(self, features: list[str]) -> np.ndarray:
+        """0, or the class 1..3 of each view of a word."""
+        if not len(self.lexicon) or not features:
+            return np.zeros(len(features), np.int64)
+        h = _hashes(features) & ~np.uint64(3)
+        at = np.minimum(np.searchsorted(self.lexicon, h), len(self.lexicon) - 1)
+        entry = self.lexicon[at]
+        return np.where(entry & ~np.uint64(3) == h, entry & np.uint64(3), 0).astype(np.int64)
+
+    def codes(self, docs: list[list[str]]) -> list[np.ndarray]:
+        """Of each document's words, the classes of the three views as one number."""
+        words = list({w for d in docs for w in d})
+        code = 0
+        for size, cut in ((16, lambda w: "w" + w), (4, lambda w: "4" + w[:4]), (1, lambda w: "5" + w[:5])):
+            views = [cut(w) for w in words]
+            known = list(set(views))
+            found = dict(zip(known, self.classes(known).tolist(), strict=True))
+            code = code + size * np.array([found[v] for v in views], np.int64)
+        get = dict(zip(words, code.tolist(), strict=True)).__getitem__
+        return [np.fromiter(map(get, d), np.int64, len(d)) for d in docs]
 
     def stationary(self) -> tuple[np.ndarray, np.ndarray, float]:
         """Forward and backward messages, and the marginal, inside an endless run of class 0."""
@@ -241,19 +266,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     n = dict(rows.groupBy("toxic").count().collect())
     n1, n0 = sum(v for k, v in n.items() if k >= 1), sum(v for k, v in n.items() if k < 1)
     if not n1:
-        return Model({}, np.full(64, -8.0), np.zeros((2, 2)), np.array([-40.0, 0, 0]))
-    bad = C.map_arrow(rows.where("toxic >= 1").select("text"), _features, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n1")).where(F.col("n1") >= LEAST_DOCS)
+        return Model(np.zeros(0, np.uint64), np.full(64, -8.0), np.zeros((2, 2)), np.array([-40.0, 0, 0]))
+    bad = C.map_arrow(rows.where("toxic >= 1").select("text"), _features, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n1"))
     bad = C.cut(bad)
     bits = C.bitmap(C.map_arrow(bad.select("feature"), _hashed, "h long"), "h")
     good = C.map_arrow(rows.where("toxic < 1").select("text"), _known_features(bits), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n0"))
     odds = F.log(((F.col("n1") + 0.5) / (n1 + 1)) / ((F.coalesce("n0", F.lit(0)) + 0.5) / (n0 + 1)))
-    top = bad.join(good, "feature", "left").select("feature", "n1", odds.alias("odds")).where(F.col("odds") >= CLASSES[0]).orderBy(F.desc("n1"), "feature").limit(LEXICON).collect()
-    lexicon = {f: sum(o >= c for c in CLASSES) for f, _, o in top}
+    odds = odds - SURE / F.sqrt(F.col("n1") + 0.5)
+    grade = sum((F.col("odds") >= c).cast("int") for c in CLASSES)
+    top = bad.join(good, "feature", "left").select("feature", odds.alias("odds")).where(F.col("odds") >= CLASSES[0]).select("feature", grade.alias("class"))
+    lexicon = np.sort(C.map_arrow(top, _packed, "entry long").toArrow()["entry"].to_numpy().view(np.uint64))
     model = Model(lexicon, np.full(64, -2.0), np.zeros((2, 2)), np.zeros(3))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def coded(batch: pa.RecordBatch) -> dict:
-        return {"codes": [shared.value.codes(_WORD.findall((t or "").lower())).astype(np.int8).tobytes() for t in batch.column(0).to_pylist()], "toxic": batch.column(1)}
+        found = shared.value.codes([_WORD.findall((t or "").lower()) for t in batch.column(0).to_pylist()])
+        return {"codes": [c.astype(np.int8).tobytes() for c in found], "toxic": batch.column(1)}
 
     # md5 orders the rows, so about twice SAMPLE of them lie below this prefix: only their texts go to the task that takes the first
     prefix = f"{min(2**32 - 1, 2 * SAMPLE * 2**32 // (n0 + n1)):08x}"
@@ -279,7 +307,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         scores, spans = [], []
         for _, part in C.text_slices(batch.column(col)):
             texts = [t.lower() for t in part.to_pylist()]
-            found, words = summaries([m.codes(_WORD.findall(t)) for t in texts], m)
+            found, words = summaries(m.codes([_WORD.findall(t) for t in texts]), m)
             scores.append(document_scores(found, m.weigh))
             for t, raw, w in zip(texts, part.to_pylist(), words, strict=True):
                 at = [x.span() for x in _WORD.finditer(raw if len(raw) == len(t) else t)] if w else []
