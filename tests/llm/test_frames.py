@@ -94,6 +94,28 @@ def test_language_and_toxicity(spark, docs, empty):
     assert toxicity_crf.score(docs, toxicity_crf.train(train, labels.where("false"))).where("score > 0.01").count() == 0
 
 
+def test_language_of_many_ngrams_does_not_fill_its_filter(spark, docs, monkeypatch):
+    """600,000 characters of a large alphabet, three times over: about 1.2 million n-grams of one language."""
+    r = __import__("random").Random(1)
+    many = ["".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(20_000)) for _ in range(30)]
+    rows = [(t, "zh") for t in many * 3] + [("the cat sat on the mat and the dog ran off " * 3, "en")] * 3
+    learn = spark.createDataFrame(rows, "text string, lang string").repartition(8)
+    model = langid.train(learn)
+    assert model.fill().max() < 0.2
+    texts = [many[0][:200], "the cat sat on the mat", "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(200)), None, "", "12"]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string")
+    run = lambda m: {x.doc_id: (x.lang_pred, x.score) for x in langid.identify(asked, m).collect()}
+    found = run(model)
+    assert found[0] == found[6] and found[0][0] == "zh" and found[0][1] > 0.95 and found[1][0] == "en" and found[1][1] > 0.95 and found[2][1] < 0.1
+    monkeypatch.setattr(langid, "DRIVER_BYTES", 0)
+    joined = langid.train(learn)
+    assert joined.table is None
+    exact = run(joined)
+    assert all(exact[i][1] == pytest.approx(found[i][1], abs=0.05) and (i == 2 or exact[i][0] == found[i][0]) for i in found)
+    awkward = langid.identify(docs, langid.train(docs)).collect()
+    assert len(awkward) == len(TEXTS) and {x.doc_id: x.lang_pred for x in awkward}[8] == "fr"
+
+
 def test_lexicon_keeps_every_entry_at_every_size(spark):
     """52,000 words that only toxic rows hold, 26,000 of them in a single row; and a corpus of three toxic rows."""
     word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(6))

@@ -1,12 +1,15 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-Every position of one fixed-size table holds a mask with a bit for each language; the AND of an n-gram's positions tells
+Every position of one table holds a mask with a bit for each language; the AND of an n-gram's positions tells
 all languages that contain it at once. A document's languages are compared by how many of its n-grams each contains,
 less what its filter's fill leads to expect from chance.
 
 Learning counts the n-grams of all learning rows on the executors; an n-gram enters a language's filter when its share
-there is at least RELATIVE of its largest share in any language and it was seen MIN_COUNT times. The table (2**BITS
-positions of 8 bytes for each 64 languages) is all that reaches the driver.
+there is at least RELATIVE of its largest share in any language and it was seen MIN_COUNT times. The table has SPARSE
+positions, or up to twice as many, for each n-gram of the language that has most (2**BITS at least), so a filter's fill
+stays below 1 - exp(-HASHES / SPARSE) = 0.18. A position has 1, 2, 4 or 8 bytes for up to 8, 16, 32, 64 languages, and 8
+more for each further 64. A table of more than DRIVER_BYTES is not built: the members stay a partitioned table,
+and the n-grams of the distinct texts are joined with it, which counts exactly.
 
 Defined cases: text null or without a letter: ``und``, score 0; nothing to learn from: ``und`` throughout; equal counts:
 the language first in code point order; rows repeat as they come; further columns are ignored.
@@ -15,6 +18,7 @@ the language first in code point order; rows repeat as they come; further column
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common as C
 
 SIZES = (3, 4)
-BITS, HASHES = 20, 3
+BITS, HASHES, SPARSE = 20, 3, 16
+DRIVER_BYTES = 1 << 26
 MIN_COUNT, RELATIVE = 3, 0.1
 _letters: np.ndarray | None = None
 
@@ -59,20 +64,33 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(owners)
 
 
-def _slots(h: np.ndarray) -> list[np.ndarray]:
-    return [((h >> np.uint64(20 * i)) & np.uint64((1 << BITS) - 1)).astype(np.int64) for i in range(HASHES)]
+def _slots(h: np.ndarray, bits: int = BITS) -> list[np.ndarray]:
+    """Positions by double hashing: the two halves of the hash, added up."""
+    a, b = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+    return [((a + np.uint64(i) * b) & np.uint64((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
+
+
+def _shape(languages: int, most: int) -> tuple[int, int, np.dtype]:
+    """Bits of a position's number, words a position and their type, for so many languages of at most so many n-grams."""
+    bits = max(BITS, (SPARSE * most - 1).bit_length())
+    kind = np.dtype(next((f"u{k}" for k in (1, 2, 4) if languages <= 8 * k), "u8"))
+    return bits, max(1, -(-languages // 64)), kind
 
 
 @dataclass
 class Model:
-    """table: (positions, words) uint64; languages in code point order, bit i of word i // 64."""
+    """table: (positions, words) unsigned; languages in code point order, bit i of word i // 64. Or members: lang, gram."""
 
     languages: list[str]
-    table: np.ndarray
+    table: np.ndarray | None
+    members: DataFrame | None = None
+
+    def fill(self) -> np.ndarray:
+        return np.array([np.count_nonzero(self.table[:, i // 64] & self.table.dtype.type(1 << i % 64)) for i in range(len(self.languages))]) / len(self.table)
 
+    @cached_property
     def false_positive(self) -> np.ndarray:
-        fill = np.array([((self.table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(self.languages))])
-        return fill**HASHES
+        return self.fill() ** HASHES
 
 
 def _count(batch: pa.RecordBatch):
@@ -92,16 +110,21 @@ def train(rows: DataFrame) -> Model:
     counts = C.cut(C.map_arrow(rows, _count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     languages = sorted(r[0] for r in totals.select("lang").collect())  # as many as there are languages
-    table = np.zeros((1 << BITS, max(1, -(-len(languages) // 64))), np.uint64)
-    if languages:
-        shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
-        top = shares.groupBy("gram").agg(F.max("share").alias("top"))
-        member = shares.join(top, "gram").where((F.col("n") >= MIN_COUNT) & (F.col("share") >= RELATIVE * F.col("top")))
-        number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
-        member = member.withColumn("b", number).select("gram", F.expr("cast(b div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("mask"))
-        slots = F.array(*(F.expr(f"shiftrightunsigned(gram, {20 * i}) & {(1 << BITS) - 1}") for i in range(HASHES)))
-        masks = member.select(F.explode(slots).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
-        table[masks["slot"].to_numpy(), masks["word"].to_numpy()] = masks["mask"].to_numpy().view(np.uint64)
+    if not languages:
+        return Model([], np.zeros((1 << BITS, 1), np.uint8))
+    shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
+    top = shares.groupBy("gram").agg(F.max("share").alias("top"))
+    member = C.cut(shares.join(top, "gram").where((F.col("n") >= MIN_COUNT) & (F.col("share") >= RELATIVE * F.col("top"))).select("lang", "gram"))
+    most = member.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
+    bits, words, kind = _shape(len(languages), most)
+    if (words << bits) * kind.itemsize > DRIVER_BYTES:
+        return Model(languages, None, member)
+    table = np.zeros((1 << bits, words), kind)
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
+    member = member.withColumn("b", number).select("gram", F.expr("cast(b div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("mask"))
+    slots = F.array(*(F.expr(f"((gram & 4294967295L) + {i} * (shiftrightunsigned(gram, 32) | 1L)) & {(1 << bits) - 1}L") for i in range(HASHES)))
+    masks = member.select(F.explode(slots).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table[masks["slot"].to_numpy(), masks["word"].to_numpy()] = masks["mask"].to_numpy().view(np.uint64).astype(kind)
     return Model(languages, table)
 
 
@@ -111,15 +134,16 @@ def classify(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarr
     h, owner = ngrams([t or "" for t in texts])
     if not len(h) or not model.languages:
         return names, score
-    masks = model.table[_slots(h)[0]]
-    for s in _slots(h)[1:]:
+    first, *others = _slots(h, len(model.table).bit_length() - 1)
+    masks = model.table[first]
+    for s in others:
         masks = masks & model.table[s]
     total = np.bincount(owner, minlength=len(texts)).astype(float)
-    chance = model.false_positive()
+    chance = model.false_positive
     hits = np.zeros((len(texts), len(model.languages)))
     for i in range(len(model.languages)):
-        has = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-        found = np.bincount(owner, weights=has.astype(float), minlength=len(texts))
+        has = (masks[:, i // 64] & masks.dtype.type(1 << i % 64)) != 0
+        found = np.bincount(owner[has], minlength=len(texts))
         hits[:, i] = np.maximum(0, (found - total * chance[i]) / max(1e-9, 1 - chance[i]))
     best = hits.argmax(1)
     for t in np.flatnonzero(total > 0):
@@ -128,12 +152,38 @@ def classify(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarr
     return names, score
 
 
+def _grams(batch: pa.RecordBatch):
+    keys = batch.column(0).to_pylist()
+    for start, part in C.text_slices(batch.column(1)):
+        h, owner = ngrams(part.to_pylist())
+        at = np.lexsort((h, owner))
+        h, owner = h[at], owner[at]
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))[: len(h)])
+        yield {"key": [keys[start + i] for i in owner[first]], "gram": h[first].view(np.int64), "n": np.diff(np.append(first, len(h)))}
+
+
+def _identify_joined(frame: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """identify by a join of the distinct texts' n-grams with the members; without a table there is no chance to correct."""
+    key = F.sha2(F.col(f"`{text_col}`"), 256)
+    texts = frame.where(F.col(f"`{text_col}`").isNotNull()).select(key.alias("key"), F.col(f"`{text_col}`").alias("text")).dropDuplicates(["key"])
+    grams = C.cut(C.map_arrow(texts, _grams, "key string, gram long, n long"))
+    total = grams.groupBy("key").agg(F.sum("n").alias("total"))
+    hits = grams.join(model.members, "gram").groupBy("key", "lang").agg(F.sum("n").alias("hits"))
+    best = hits.groupBy("key").agg(F.min(F.struct((-F.col("hits")).alias("less"), "lang")).alias("best"))
+    none = F.struct(F.lit(0).cast("long").alias("less"), F.lit(model.languages[0]).alias("lang"))
+    found = total.join(best, "key", "left").withColumn("best", F.coalesce("best", none))
+    found = found.select(F.col("key").alias("_key"), F.col("best.lang").alias("_lang"), (-F.col("best.less") / F.col("total")).alias("_score"))
+    out = frame.withColumn("_key_", key).join(found, F.col("_key_") == F.col("_key"), "left")
+    return out.select(*(frame[c] for c in frame.columns), F.coalesce("_lang", F.lit("und")).alias("lang_pred"), F.coalesce("_score", F.lit(0.0)).alias("score"))
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score added (columns of those names are replaced)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     frame = docs.select(*(docs[c] for c in kept))
+    if model.table is None:
+        return _identify_joined(frame, model, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes)
 
     def run(batch: pa.RecordBatch) -> dict:
