@@ -68,6 +68,18 @@ def test_secrets_and_personal_data(docs, empty):
     assert secrets_battery.scan(empty).count() == 0 and pii_disclosure.find(empty).count() == 0
 
 
+def test_copies_of_one_word_hide_no_secret(spark):
+    r = __import__("random").Random(6)
+    key = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n - 1)) + "7"
+    words = [f"{a}{b}{c}" for a in ("thereaner", "ingestion", "sessionee") for b in ("nationseeing", "reseentation", "interestering") for c in ("s", "ing", "tion", "ness", "ed", "er", "est", "al")]
+    secrets = [key(24 + i % 20) for i in range(40)]
+    rows = [(i, f"the {w} of it") for i, w in enumerate(words)] + [(1000 + i, f"see {k} here") for i, k in enumerate(secrets)]
+    share = lambda rows: len([1 for x in secrets_battery.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id between 1000 and 1999 and spans <> ''").collect()]) / len(secrets)
+    assert share(rows) > 0.8
+    assert share(rows + [(3000 + i, "uncopyrightables it says") for i in range(200)]) > 0.8  # a hot group of one word that looks random
+    assert share(rows[len(words) :]) > 0.8  # no ordinary long word at all
+
+
 def test_terms_that_disclose(spark):
     rows = [(i, f"{'abcdefgh'[i] * 3} agent zorro writes to kim@corp.example daily") for i in range(8)] + [(100 + i, f"agent number {i} writes to nobody") for i in range(40)] + [(200 + i, f"mail u{i}@x.org please") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -4,10 +4,13 @@ A token of 16 or more of ``[A-Za-z0-9+/_=-]`` gets an encoding by its characters
 tests of the hypothesis that its symbols are random: chi-squared uniformity over the alphabet, runs about the alphabet's
 middle, and lag-1 serial correlation. Their smallest p-value, times three, is the token's randomness.
 
-How rarely ordinary words reach such a randomness is counted over the whole corpus: words of letters alone, in classes of
-length. That share is a token's p-value against "an ordinary word"; a Benjamini-Hochberg threshold over all tokens that
-mix letters and digits keeps the expected share of ordinary words among the findings below FALSE_DISCOVERY. Counts are
-kept by class of length and by bin of randomness, so that what reaches the driver has a fixed size.
+How rarely ordinary words reach such a randomness is counted over the distinct tokens of the whole corpus, so copies
+count once: words of letters alone, in classes of length. That share, drawn towards the share among the words of this
+and all shorter classes with the weight of PRIOR words, is a token's p-value against "an ordinary word"; a
+Benjamini-Hochberg threshold over all distinct tokens that mix letters and digits keeps the expected share of ordinary
+words among the findings below FALSE_DISCOVERY. Where fewer than PRIOR words are this long or shorter, no such p-value can
+reach FALSE_DISCOVERY; there a token counts as a secret unless the tests reject its being random at that level. Counts
+are kept by class of length and by bin of randomness, so that what reaches the driver has a fixed size.
 
 Defined cases: null text is empty and has no findings; repeated rows repeat; further columns are ignored.
 """
@@ -21,6 +24,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +37,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 TOKEN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{16,}(?![\w+/=-])")
 #: Classes of length begin here; bins of randomness, on a logarithmic scale.
 LENGTHS, BINS = np.array([16, 20, 24, 32, 48, 64]), 40
-FALSE_DISCOVERY, LEAST_RANDOM = 0.05, 0.01
+FALSE_DISCOVERY, LEAST_RANDOM, PRIOR = 0.05, 0.01, 19
 
 _ORD = np.zeros((4, 128), np.int64)
 for _row, _alphabet in enumerate(("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")):
@@ -99,36 +103,48 @@ def _tokens(texts: list[str]) -> tuple[list[str], list[tuple[int, int, int]]]:
     return words, at
 
 
-def _counts(batches):
-    total = np.zeros((2, len(LENGTHS), BINS), np.int64)
+def _cells(batches):
+    """The distinct tokens of each batch: a hash, and the kind, class of length and bin as one number."""
     for batch in batches:
+        seen: set[str] = set()
         for _, part in C.text_slices(batch.column(0)):
-            words, _ = _tokens(part.to_pylist())
-            if words:
-                length, random, kind = battery(words)
-                for k in (0, 1):
-                    np.add.at(total[k], (length[kind == k], bins(random[kind == k])), 1)
-    k, a, b = np.nonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, a, b, total[k, a, b])], names=["kind", "length", "bin", "n"])
+            seen.update(_tokens(part.to_pylist())[0])
+        if seen:
+            words = list(seen)
+            length, random, kind = battery(words)
+            h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
+            cell, keep = (kind * len(LENGTHS) + length) * BINS + bins(random), kind < 2
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep], pa.int64()), pa.array(cell[keep], pa.int64())], names=["h", "cell"])
+
+
+def limits_of(seen: np.ndarray) -> np.ndarray:
+    """thresholds from the counts of distinct tokens by kind (0, 1), class of length and bin of randomness."""
+    tail = np.cumsum(seen[0][:, ::-1], axis=1)[:, ::-1]  # words at least as random
+    n = seen[0].sum(1, keepdims=True)
+    up_to = np.cumsum(n, axis=0)
+    prior = (1 + np.cumsum(tail, axis=0)) / (1 + up_to)
+    p = (tail + PRIOR * prior) / (n + PRIOR)
+    few = (up_to < PRIOR)[:, 0]
+    least = np.arange(BINS) >= bins(np.array([LEAST_RANDOM]))[0]
+    out = np.zeros(p.shape, bool)
+    out[few] = np.arange(BINS) >= bins(np.array([FALSE_DISCOVERY]))[0]
+    p, tokens = p[~few], seen[1][~few]
+    order = np.argsort(p, axis=None)
+    tested = np.cumsum(tokens.ravel()[order])
+    m = max(1.0, tokens.sum())
+    passed = np.flatnonzero((p.ravel()[order] <= FALSE_DISCOVERY * tested / m) & (tested > 0))
+    limit = p.ravel()[order][passed[-1]] if len(passed) else -1.0
+    out[~few] = (p <= limit) & least[None, :]
+    return out
 
 
 def thresholds(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Boolean (class of length, bin of randomness): tokens there that mix letters and digits count as secrets."""
-    rows = docs.select(docs[text_col].alias("text")).mapInArrow(_counts, "kind long, length long, bin long, n long").groupBy("kind", "length", "bin").agg(F.sum("n").alias("n")).collect()
-    seen = np.zeros((2, len(LENGTHS), BINS))
-    for k, a, b, n in rows:
-        seen[k, a, b] = n
-    # ordinary words that are no longer and at least as random; shorter ones look more random, so this errs to silence
-    words = np.cumsum(seen[0], axis=0)
-    tail = np.cumsum(words[:, ::-1], axis=1)[:, ::-1]
-    p = (1 + tail) / (1 + words.sum(1, keepdims=True))
-    order = np.argsort(p, axis=None)
-    tested = np.cumsum(seen[1].ravel()[order])
-    m = max(1.0, seen[1].sum())
-    passed = np.flatnonzero((p.ravel()[order] <= FALSE_DISCOVERY * tested / m) & (tested > 0))
-    limit = p.ravel()[order][passed[-1]] if len(passed) else -1.0
-    least = np.arange(BINS) >= bins(np.array([LEAST_RANDOM]))[0]
-    return (p <= limit) & least[None, :]
+    single = docs.select(docs[text_col].alias("text")).mapInArrow(_cells, "h long, cell long").distinct()
+    seen = np.zeros(2 * len(LENGTHS) * BINS)
+    for cell, n in single.groupBy("cell").count().collect():
+        seen[cell] = n
+    return limits_of(seen.reshape(2, len(LENGTHS), BINS))
 
 
 def base_spans(t: str) -> list[tuple[int, int, int]]:
