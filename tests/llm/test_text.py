@@ -126,6 +126,21 @@ def test_main_text_of_pages():
         mincut_html.main_text(broken)
 
 
+ARTICLE = "<article><h1>Title</h1><p>" + "A sentence of the article that says something. " * 8 + "</p><p>A second paragraph of it, as long as need be.</p></article>"
+
+
+def test_unseen_elements_leave_out_no_more_than_their_content():
+    want = mincut_html.main_text(f"<body>{ARTICLE}</body>")
+    assert want.startswith("Title\nA sentence")
+    for tag in ("svg", "math", "canvas", "object", "button", "video", "audio", "select", "noscript", "template"):
+        for head in (f"<{tag} class=icon />", f"<{tag}>", f"<{tag} a=b>x</{tag}>", f"<{tag}><p>x</{tag}>", f"<{tag}><{tag}>x</{tag}>x</{tag}>"):
+            assert mincut_html.main_text(f"<body><header>{head}</header>{ARTICLE}</body>") == want, head
+            assert mincut_html.main_text(f"<body>{head}{ARTICLE}<footer>{head}</footer></body>") in (want, f"x\n{want}"), head
+        inside = f"<body><article><p>A sentence <{tag}>gone<div>gone</div> <a href=/>gone</a></{tag}>that goes on, with a few more words, up to its end.</p></article>"
+        assert mincut_html.main_text(inside) == "A sentence that goes on, with a few more words, up to its end."
+    assert mincut_html.main_text("<button>" * 3000 + "</i>" * 3000) == ""
+
+
 def test_language_model_decides_and_gives_up():
     h, _ = langid.ngrams(["the theme", "le leurre"])
     table = np.zeros((1 << langid.BITS, 1), np.uint64)

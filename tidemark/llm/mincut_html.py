@@ -7,7 +7,8 @@ cut separates content from boilerplate. Blocks whose own capacity exceeds all th
 once, exactly; augmenting paths settle the rest.
 
 Defined cases: null or empty html, or html without text, gives an empty text; broken markup never raises (unclosed
-comments, scripts and tags reach to the end); repeated rows repeat; further columns are ignored.
+comments, tags and elements of raw text, as scripts, reach to the end; of other unseen elements, as svg or button, only
+those with an end tag are left out, before an enclosing block ends); repeated rows repeat; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm import common as C
 
-#: Elements whose whole content is never text of the page.
+#: Elements of raw text, whose content is never text of the page, reach to their end tag or the end of the page.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|template|svg|math|iframe|object|textarea|select|button|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(script|style|title|iframe|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)",
     re.S | re.I,
 )
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+#: Elements whose whole content is not text of the page either, from their start tag to their own end tag.
+_UNSEEN = frozenset("noscript template svg math object select button canvas audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SCOPE = frozenset("article aside body div fieldset footer form header html main nav section table td th blockquote".split())
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -76,19 +79,20 @@ def _hint(name: str, attrs: str, in_article: bool) -> float:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; white space inside a block is one space."""
     out: list[Block] = []
-    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]  # name, summed hint, number, within an article
+    # name, summed hint, number, within an article, what there was before an unseen element
+    stack: list[tuple[str, float, int, bool, tuple | None]] = [("", 0.0, 0, False, None)]
     parts: list[str] = []
     number = linked = links = 0
     at = 0
 
     def end() -> None:
-        nonlocal linked
+        nonlocal linked, parts
         if parts:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             if text:
                 own = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _BLOCKS), 0)
                 out.append(Block(text, stack[own][0], stack[max(0, own - 1)][2], stack[own][1], linked, stack[own][3]))
-            parts.clear()
+            parts = []
         linked = 0
 
     def pop(i: int) -> None:
@@ -114,22 +118,27 @@ def blocks(page: str) -> list[Block]:
         if m[2]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
+                    before = stack[i][4]
                     pop(i)
+                    if before:  # its content goes
+                        n_blocks, parts, n_parts, linked = before
+                        del out[n_blocks:], parts[n_parts:]
                     break
-                if stack[i][0] in _SCOPE and name not in _BLOCKS:
+                if stack[i][0] in _SCOPE and name not in _BLOCKS and name not in _UNSEEN:
                     break
         elif name not in _VOID:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in _CLOSES.get(name, {"p"} if name in _BLOCKS else ()):
                     pop(i)
                     break
-                if stack[i][0] in _SCOPE or stack[i][0] in ("ul", "ol", "dl"):
+                if stack[i][0] in _SCOPE or stack[i][0] in _UNSEEN or stack[i][0] in ("ul", "ol", "dl"):
                     break
             if m[4].endswith("/"):
                 continue
             number += 1
             top = stack[-1]
-            stack.append((name, top[1] + _hint(name, m[4], top[3]), number, top[3] or name in ("article", "main")))
+            before = (len(out), parts, len(parts), linked) if name in _UNSEEN else None
+            stack.append((name, top[1] + _hint(name, m[4], top[3]), number, top[3] or name in ("article", "main"), before))
             links += name == "a"
     if at < len(page):
         parts.append(page[at:])
