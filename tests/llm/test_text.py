@@ -141,6 +141,23 @@ def test_unseen_elements_leave_out_no_more_than_their_content():
     assert mincut_html.main_text("<button>" * 3000 + "</i>" * 3000) == ""
 
 
+def test_wrappers_do_not_hide_an_article():
+    want = mincut_html.main_text(f"<body>{ARTICLE}</body>")
+    plain = ARTICLE.replace("article>", "div>")
+    for body in ('<body style="overflow-x:hidden">', '<body class="overflow-hidden" data-x="hidden">', '<body aria-hidden="false">', "<body class=hidden-nav>"):
+        assert mincut_html.main_text(f"{body}{ARTICLE}") == want, body
+        assert mincut_html.main_text(f"{body}{plain}") == want, body
+    for name in ("has-sidebar", "no-comments", "with-nav", "page nav-open", "content-with-sidebar"):
+        assert mincut_html.main_text(f'<body><div class="{name}">{ARTICLE}</div>') == want, name
+        assert mincut_html.main_text(f'<body><div class="{name}">{plain}</div>') == want, name
+    for wrapper in ("div class=sidebar-wrapper", "form", 'div id="search-page" class=navigation', "div hidden"):
+        for inner in (ARTICLE, ARTICLE.replace("article>", "main>")):
+            assert mincut_html.main_text(f"<body><{wrapper}>{inner}</{wrapper.split()[0]}>") == want, wrapper
+    for gone in ("<p hidden>", "<p aria-hidden='true'>", '<p style="color:red; display: none">', "<p style=visibility:hidden>", "<p class=site-nav>", "<p class=cookie-bar>"):
+        assert mincut_html.main_text(f"<body>{ARTICLE}<div>{gone}{'Words that nobody sees. ' * 3}</p></div>") == want, gone
+    assert mincut_html.main_text(f"<body>{ARTICLE}<div id=comments><article><p>{'I liked it a lot. ' * 3}</p></article></div>") == want
+
+
 def test_language_model_decides_and_gives_up():
     h, _ = langid.ngrams(["the theme", "le leurre"])
     table = np.zeros((1 << langid.BITS, 1), np.uint64)

@@ -47,7 +47,14 @@ _BY_WORD = {
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-_HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRS = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_UNDISPLAYED = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+#: Words behind one of these in a class name, and words before one of those at its end, tell of the page or of a state.
+_ABOUT = frozenset("has have no not without with hide hides show shows is".split())
+_STATES = frozenset("open opened closed active visible shown enabled disabled collapsed expanded accepted fixed sticky on off layout".split())
+#: What still counts against an article inside: comments and teasers are often marked up as articles.
+_STAYS_BY_NAME = frozenset("nav footer aside menu dialog".split())
+_STAYS_BY_WORD = frozenset("comment comments reply replies disqus respond discussion related recommended".split())
 #: Smoothness between neighbours: under one parent, else.
 SAME_PARENT, NEXT = 1.5, 0.4
 
@@ -62,25 +69,50 @@ class Block:
     in_article: bool
 
 
-def _hint(name: str, attrs: str, in_article: bool) -> float:
+def _class_words(value: str) -> set[str]:
+    """Words of a class, id or role that tell what the element itself is."""
+    out = set()
+    for token in value.split():
+        words = _WORDS.findall(token)
+        if words and words[-1] not in _STATES:
+            out.update(words[: next((i for i, w in enumerate(words) if w in _ABOUT), len(words))])
+    return out
+
+
+def _hidden(attrs: str) -> bool:
+    low = attrs.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    for m in _ATTRS.finditer(low):
+        name, value = m[1], (m[2] or "").strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.strip() == "true") or (name == "style" and _UNDISPLAYED.search(value)):
+            return True
+    return False
+
+
+def _hint(name: str, attrs: str, in_article: bool) -> tuple[float, float]:
+    """Cost by what the element is, and the part of it that counts against an article inside."""
     score = _BY_NAME.get(name, 0.0)
+    stays = score if name in _STAYS_BY_NAME else 0.0
     if name == "header" and not in_article:
         score -= 8.0
     if attrs:
-        words = {w for m in _ATTR.finditer(attrs) for w in _WORDS.findall(m[1].lower())}
+        words = {w for m in _ATTR.finditer(attrs) for w in _class_words(m[1].lower().strip("\"'"))}
         found = [_BY_WORD[w] for w in words if w in _BY_WORD]
         if found and name not in ("html", "body"):
             score += min(found) if min(found) < 0 else max(found)
-        if _HIDDEN.search(attrs):
+            if words & _STAYS_BY_WORD:
+                stays += min(found)
+        if _hidden(attrs):
             score -= 9.0
-    return score
+    return score, stays
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; white space inside a block is one space."""
     out: list[Block] = []
-    # name, summed hint, number, within an article, what there was before an unseen element
-    stack: list[tuple[str, float, int, bool, tuple | None]] = [("", 0.0, 0, False, None)]
+    # name, summed hint, number, within an article, what there was before an unseen element, what stays of the hint
+    stack: list[tuple[str, float, int, bool, tuple | None, float]] = [("", 0.0, 0, False, None, 0.0)]
     parts: list[str] = []
     number = linked = links = 0
     at = 0
@@ -138,7 +170,12 @@ def blocks(page: str) -> list[Block]:
             number += 1
             top = stack[-1]
             before = (len(out), parts, len(parts), linked) if name in _UNSEEN else None
-            stack.append((name, top[1] + _hint(name, m[4], top[3]), number, top[3] or name in ("article", "main"), before))
+            hint, stays = _hint(name, m[4], top[3])
+            above, kept = top[1], top[5]
+            if name == "main" or (name == "article" and not top[3]):  # what wraps the whole page says nothing of its text
+                kept = 0.0 if name == "main" else kept
+                above = max(above, kept)
+            stack.append((name, above + hint, number, top[3] or name in ("article", "main"), before, kept + stays))
             links += name == "a"
     if at < len(page):
         parts.append(page[at:])
