@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,19 @@ def test_language_of_many_ngrams_does_not_fill_its_filter(spark, docs, monkeypat
     assert len(awkward) == len(TEXTS) and {x.doc_id: x.lang_pred for x in awkward}[8] == "fr"
 
 
+def rare_labels():
+    r = __import__("random").Random(2)
+    words = ["".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(3, 8))) for _ in range(400)]
+    text = lambda n: " ".join(words[min(int(r.expovariate(1 / 80)), 399)] for _ in range(n))
+    return [(text(150), "en") for _ in range(400)] + [(text(40), f"x{i:02}") for i in range(65)]
+
+
+def test_rare_labels_do_not_push_ngrams_out(spark):
+    model = langid.train(spark.createDataFrame(rare_labels(), "text string, lang string"))
+    names, score = langid.classify([t for t, lang in rare_labels() if lang == "en"], model)
+    assert set(names) == {"en"} and np.median(score) > 0.95
+
+
 def test_lexicon_keeps_every_entry_at_every_size(spark):
     """52,000 words that only toxic rows hold, 26,000 of them in a single row; and a corpus of three toxic rows."""
     word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(6))

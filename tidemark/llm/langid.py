@@ -5,7 +5,9 @@ all languages that contain it at once. A document's languages are compared by ho
 less what its filter's fill leads to expect from chance.
 
 Learning counts the n-grams of all learning rows on the executors; an n-gram enters a language's filter when its share
-there is at least RELATIVE of its largest share in any language and it was seen MIN_COUNT times. The table has SPARSE
+there is at least RELATIVE of its largest share in any language and it was seen MIN_COUNT times. For the largest share
+only languages count that saw it as often, over SMOOTH n-grams more than they have, so a few short texts under a rare or
+wrong label do not push n-grams out of the large languages. The table has SPARSE
 positions, or up to twice as many, for each n-gram of the language that has most (2**BITS at least), so a filter's fill
 stays below 1 - exp(-HASHES / SPARSE) = 0.18. A position has 1, 2, 4 or 8 bytes for up to 8, 16, 32, 64 languages, and 8
 more for each further 64. A table of more than DRIVER_BYTES is not built: the members stay a partitioned table,
@@ -30,7 +32,7 @@ from tidemark.llm import common as C
 SIZES = (3, 4)
 BITS, HASHES, SPARSE = 20, 3, 16
 DRIVER_BYTES = 1 << 26
-MIN_COUNT, RELATIVE = 3, 0.1
+MIN_COUNT, RELATIVE, SMOOTH = 3, 0.1, 10_000
 _letters: np.ndarray | None = None
 
 
@@ -113,7 +115,7 @@ def train(rows: DataFrame) -> Model:
     if not languages:
         return Model([], np.zeros((1 << BITS, 1), np.uint8))
     shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
-    top = shares.groupBy("gram").agg(F.max("share").alias("top"))
+    top = shares.where(F.col("n") >= MIN_COUNT).groupBy("gram").agg(F.max(F.col("n") / (F.col("total") + SMOOTH)).alias("top"))
     member = C.cut(shares.join(top, "gram").where((F.col("n") >= MIN_COUNT) & (F.col("share") >= RELATIVE * F.col("top"))).select("lang", "gram"))
     most = member.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
     bits, words, kind = _shape(len(languages), most)
