@@ -49,6 +49,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a frame that ``cut`` returned, once nothing will read it again."""
+    jvm = df.sparkSession.sparkContext._jvm
+    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for path in paths:
+        if "/llm-" in path:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns, so that further columns of the input, whatever their names, cannot clash."""
     return df.select(*(df[n] for n in names))

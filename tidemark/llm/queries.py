@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, hnsw_search, langid, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
+from tidemark.llm import common, hnsw_search, langid, lloyd_codes, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,13 +67,38 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 16 parts of 64 entries after two rounds, with their errors and the digest of the codebooks."""
+    codes = lloyd_codes.encode(_table(spark, sf_dir, "embeddings"))
+    out = lloyd_codes.label_errors(codes)
+    return out.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
+
+
+QUERIES = {"op13_vector_codes": op13_vector_codes, "op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words)"""
 
+
+def _lloyd_round(i: int) -> str:
+    """Assignment with the codebooks of round i, and the codebooks after it."""
+    return f"""
+a{i} AS MATERIALIZED (SELECT rid, x.p, min(list_sum(list_transform(range(1, len(x.y) + 1), lambda i: (x.y[i] - b.y[i]) * (x.y[i] - b.y[i]))) * 64 + b.e) AS best FROM x JOIN b{i} b ON x.p = b.p GROUP BY rid, x.p),
+m{i} AS MATERIALIZED (SELECT p, e, i, CAST(floor(sum(c) / count(*)) AS BIGINT) AS c FROM (SELECT x.p, CAST(best % 64 AS BIGINT) AS e, unnest(x.y) AS c, unnest(range(1, len(x.y) + 1)) AS i FROM a{i} a JOIN x ON a.rid = x.rid AND a.p = x.p) GROUP BY p, e, i),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.y, b.y) AS y FROM b{i} b LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS y FROM m{i} GROUP BY p, e) n ON n.p = b.p AND n.e = b.e)"""
+
+
 SQL = {
+    "op13_vector_codes": f"""
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rid, vec_id, label, list_transform(x, lambda c: CAST(floor(c * 256) AS BIGINT)) AS q FROM v
+      WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+x AS MATERIALIZED (SELECT rid, p, q[p * (len(q) // 16) + 1:(p + 1) * (len(q) // 16)] AS y FROM k, (SELECT unnest(range(16)) AS p)),
+b0 AS MATERIALIZED (SELECT p, rid AS e, y FROM x WHERE rid < 64),{_lloyd_round(0)},{_lloyd_round(1)},{_lloyd_round(2)},
+r AS MATERIALIZED (SELECT rid, string_agg(format('{{:02x}}', CAST(best % 64 AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM a2 GROUP BY rid),
+books AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM k JOIN r USING (rid), books""",
     "op2_minhash_dedup": f"""
 WITH RECURSIVE {SHINGLES_SQL},
 flat AS (SELECT doc_id, unnest(s) AS h FROM sets),
