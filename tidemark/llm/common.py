@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +93,84 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         start = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, ...]]:
+    """A partition's rows in runs of about so many bytes of text (the last column; nulls become empty), columns as arrays."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined():
+        return tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(held[0].num_columns))
+
+    for batch in batches:
+        texts = pc.fill_null(batch.column(batch.num_columns - 1).cast(pa.large_string()), "")
+        batch = pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=batch.schema.names)
+        sizes = np.cumsum(np.asarray(pc.binary_length(texts), dtype=np.int64) + 16)
+        start = 0
+        while start < len(texts):
+            before = sizes[start - 1] if start else 0
+            end = min(len(texts), int(np.searchsorted(sizes, before + most - size)) + 1)
+            held.append(batch.slice(start, end - start))
+            size += int(sizes[end - 1] - before)
+            start = end
+            if size >= most:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
+
+
+def split_words(texts: pa.Array, space: bytes, stop: bytes = b"", lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of all texts (large strings, no nulls), each one's text, and how many stops are before it (over all texts).
+
+    A word is a longest run of bytes that are neither in space nor in stop; a line feed, which must be in either, ends
+    every text. lower: A-Z become a-z.
+    """
+    joined = pc.binary_join_element_wise(texts.cast(pa.large_binary()), pa.scalar(b"\n", pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+    if not len(joined):
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+    raw = np.frombuffer(joined.buffers()[2], np.uint8)[at[0] : at[-1]]
+    kind = np.zeros(256, np.uint8)
+    kind[list(space)], kind[list(stop)] = 1, 2
+    kind = kind[raw]
+    inside = kind == 0
+    starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+    ends = np.flatnonzero(~inside & np.concatenate([[False], inside[:-1]]))
+    data = raw[inside]
+    if lower:
+        fold = np.arange(256, dtype=np.uint8)
+        fold[65:91] += 32
+        data = fold[data]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    stops = np.cumsum(kind == 2)[starts] if stop else np.zeros(len(starts), np.int64)
+    return words, np.searchsorted(at - at[0], starts, side="right") - 1, stops
+
+
+def pack(data: bytes | np.ndarray) -> bytes:
+    """Compressed bytes; of numbers, the bytes of equal weight together."""
+    if isinstance(data, np.ndarray):
+        data = np.ascontiguousarray(data).view(np.uint8).reshape(-1, data.itemsize).T.tobytes()
+    return zstandard.compress(data, 1)
+
+
+def unpack(data: bytes, kind=None) -> bytes | np.ndarray:
+    """The inverse of pack; kind: the numbers' type."""
+    raw = zstandard.decompress(data)
+    if kind is None:
+        return raw
+    kind = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel() if raw else np.zeros(0, kind)
+
+
+def arrow_schema(sql: str) -> pa.Schema:
+    """The Arrow schema of a schema in SQL."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(sql))
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of every text (A-Z lower-cased, split at \\x20 and \\x09-\\x0D), flat, and their offsets."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, hnsw_search, langid, lloyd_codes, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
+from tidemark.llm import anchor_dedup, common, hnsw_search, langid, lloyd_codes, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of 35 words or more that start elsewhere too."""
+    out = anchor_dedup.remove_repeats(_table(spark, sf_dir, "documents"), least=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of 16 parts of 64 entries after two rounds, with their errors and the digest of the codebooks."""
     codes = lloyd_codes.encode(_table(spark, sf_dir, "embeddings"))
@@ -74,7 +80,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
 
 
-QUERIES = {"op13_vector_codes": op13_vector_codes, "op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+QUERIES = {"op12_substring_dedup": op12_substring_dedup, "op13_vector_codes": op13_vector_codes, "op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -90,6 +96,16 @@ b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.y, b.y) AS y FROM b{i} b L
 
 
 SQL = {
+    "op12_substring_dedup": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS MATERIALIZED (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT r, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
+gone AS MATERIALIZED (SELECT r, list(DISTINCT i + j) AS g FROM again, (SELECT unnest(range(35)) AS j) GROUP BY r),
+word AS MATERIALIZED (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+drop_ AS (SELECT r, unnest(g) AS i FROM gone),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN drop_ USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)""",
     "op13_vector_codes": f"""
 WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rid, vec_id, label, list_transform(x, lambda c: CAST(floor(c * 256) AS BIGINT)) AS q FROM v
