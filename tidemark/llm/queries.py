@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import anchor_dedup, common, hnsw_search, langid, lloyd_codes, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
+from tidemark.llm import anchor_dedup, common, fm_phrases, hnsw_search, langid, lloyd_codes, mincut_html, minmax_dedup, mixing, pca_dedup, pii_disclosure, piece_transducer, secrets_battery, toxicity_crf
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 to 3 words that occur 10 times or more."""
+    return fm_phrases.collocations(_table(spark, sf_dir, "documents"), max_words=3, least=10, share=50, top=2000)
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of 35 words or more that start elsewhere too."""
     out = anchor_dedup.remove_repeats(_table(spark, sf_dir, "documents"), least=35)
@@ -80,7 +85,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
 
 
-QUERIES = {"op12_substring_dedup": op12_substring_dedup, "op13_vector_codes": op13_vector_codes, "op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
+QUERIES = {"op11_collocations": op11_collocations, "op12_substring_dedup": op12_substring_dedup, "op13_vector_codes": op13_vector_codes, "op1_html_extraction": op1_html_extraction, "op7_nearest": op7_nearest, "op8_embedding_dedup": op8_embedding_dedup, "op2_minhash_dedup": op2_minhash_dedup, "op3_sentencepiece": op3_sentencepiece, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii, "op6_source_mixing": op6_source_mixing, "op9_secret_scan": op9_secret_scan, "op10_language_id": op10_language_id}
 
 SHINGLES_SQL = r"""
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -96,6 +101,20 @@ b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.y, b.y) AS y FROM b{i} b L
 
 
 SQL = {
+    "op11_collocations": r"""
+WITH pieces AS (SELECT row_number() OVER () AS p, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+w AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest([1, 2, 3]) AS k)) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT c.lang, c.phrase, c.a, i, array_to_string(w[1:i], ' ') AS h, array_to_string(w[i + 1:], ' ') AS t FROM c, (SELECT unnest([1, 2]) AS i) WHERE i < k),
+s AS (SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, i, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = h JOIN f y ON y.lang = cut.lang AND y.phrase = t),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+outer_ AS (SELECT lang, array_to_string(w[j:j + 1], ' ') AS phrase, max(a) AS o FROM c, (SELECT unnest([1, 2]) AS j) WHERE k = 3 GROUP BY ALL),
+left_ AS (SELECT best.* FROM best LEFT JOIN outer_ USING (lang, phrase) WHERE o IS NULL OR 100 * o < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_) JOIN n USING (lang) WHERE rank <= 2000""",
     "op12_substring_dedup": r"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 win AS MATERIALIZED (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
