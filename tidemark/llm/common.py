@@ -18,16 +18,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that Spark sends to Python at once; long documents make larger batches too heavy for a worker.
-ARROW_ROWS = 512
-#: Bytes of text that a worker turns into words at once.
-SLICE_BYTES = 2_000_000
+#: Rows, and bytes, that Spark sends to Python at once; long documents make larger batches too heavy for a worker.
+ARROW_ROWS, ARROW_BYTES = 512, "4m"
+#: Bytes of text that a worker turns into words or n-grams at once; the arrays of a slice take up to 65 times as much.
+SLICE_BYTES = 500_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
     """Session settings that every operator relies on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

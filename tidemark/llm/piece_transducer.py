@@ -8,7 +8,8 @@ character, so paths never cross the begin of a word) and its tropical shortest p
 * BPE models: a path is a merge result exactly when each two neighbours stay apart if merged alone, so a state is the
   last piece, an arc costs 0 after a piece it may follow and infinity otherwise, and one path of finite cost remains.
 
-Segments repeat, so each worker keeps the paths of the last CACHE to 2 * CACHE segments. Decoding is the inverse: pieces and bytes
+Segments repeat, so each worker keeps the paths of the last CACHE to 2 * CACHE segments, and in a table of FOLLOWS slots
+which piece may follow which (a newer pair takes the slot): about 75 MB a worker together. Decoding is the inverse: pieces and bytes
 joined, marks turned into spaces, the first one dropped.
 
 The vocabulary file is a parameter; it reaches the executors as bytes. Models whose normaliser has a character map are
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -31,7 +33,7 @@ from tidemark.llm import common as C
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE, CACHED_CHARS = 250_000, 40
+CACHE, CACHED_CHARS, FOLLOWS = 150_000, 40, 524_287
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 
@@ -81,8 +83,9 @@ class Transducer:
     paths: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)
     plain: list[str | None] = field(default_factory=list)
-    follows: dict[tuple[str, str], bool] = field(default_factory=dict)
+    follows: array = field(default_factory=lambda: array("q", [-1]) * FOLLOWS)
     ends: dict[str, tuple | None] = field(default_factory=dict)
+    lengths: list[int] = field(default_factory=list)
     automaton: ahocorasick.Automaton | None = None
 
     @classmethod
@@ -110,9 +113,10 @@ class Transducer:
                 t.arcs[piece] = i
             elif kind == BYTE:
                 t.byte_arcs[int(piece[3:5], 16)] = i
+        t.lengths = [len(p) for p in pieces]
         t.automaton = ahocorasick.Automaton()
-        for piece in t.arcs:
-            t.automaton.add_word(piece, piece)
+        for piece, i in t.arcs.items():
+            t.automaton.add_word(piece, i)
         t.automaton.make_automaton()
         if any(MARK in p.lstrip(MARK) for p in t.arcs):
             t.segment = re.compile(r"(?s).+")
@@ -160,21 +164,22 @@ class Transducer:
             self.ends[piece] = found
         return self.ends[piece]
 
-    def may_follow(self, left: str, right: str) -> bool:
-        """Whether merging left + right gives the two again. Only merges across their border can prevent it."""
-        key = (left, right)
-        found = self.follows.get(key)
-        if found is None:
-            if len(self.follows) > 4 * CACHE:
-                self.follows.clear()
-            x, y = self.spines(left) if left else None, self.spines(right)
-            if not left and y:
-                found = True
-            elif x and y:
-                found = self._apart(x[1], y[0])
-            else:
-                found = self.merged(left + right) == ([left, right] if left else [right])
-            self.follows[key] = found
+    def may_follow(self, left: int, right: int) -> bool:
+        """Whether merging the pieces left + right (left -1: none) gives the two again. Only merges across their border can prevent it."""
+        key = (left + 1) * len(self.pieces) + right
+        slot = key % FOLLOWS  # shortest_path looks here first
+        held = self.follows[slot]
+        if held >> 1 == key:
+            return held & 1 == 1
+        a, b = self.pieces[left] if left >= 0 else "", self.pieces[right]
+        x, y = self.spines(a) if a else None, self.spines(b)
+        if not a and y:
+            found = True
+        elif x and y:
+            found = self._apart(x[1], y[0])
+        else:
+            found = self.merged(a + b) == ([a, b] if a else [b])
+        self.follows[slot] = key << 1 | found
         return found
 
     def _apart(self, left: list, right: list) -> bool:
@@ -195,40 +200,62 @@ class Transducer:
 
     def shortest_path(self, segment: str) -> list[int]:
         """Piece ids of a segment's best path; characters without a piece go over byte arcs (unknown where there are none)."""
-        arcs, n, bpe = self.arcs, len(segment), self.model_type == BPE
-        if bpe and segment in arcs and self.may_follow("", segment):
-            return [arcs[segment]]
-        # state i: cost, start of the last arc, its piece, its id (None: bytes)
-        cost, start, last, ids = [np.inf] * (n + 1), [0] * (n + 1), [""] * (n + 1), [None] * (n + 1)
-        cost[0] = 0.0
+        n = len(segment)
+        if self.model_type == BPE:
+            if segment in self.arcs and self.may_follow(-1, self.arcs[segment]):
+                return [self.arcs[segment]]
+            start, ids = self._finite_path(segment, n)
+        else:
+            start, ids = self._cheapest_path(segment, n)
+        path: list[int] = []
+        at = n
+        while at:
+            path += self._bytes(segment[start[at] : at])[::-1] if ids[at] < 0 else [ids[at]]
+            at = start[at]
+        return path[::-1]
+
+    def _finite_path(self, segment: str, n: int) -> tuple[list[int], list[int]]:
+        """For each state the start of the arc that reaches it at cost 0, and its piece (-1: none, or bytes; -2: not reached)."""
+        start, ids = [0] * (n + 1), [-2] * (n + 1)
+        ids[0] = -1
         done = 0  # states up to here are final
-        follows, scores = self.follows, self.scores
+        lengths, follows, k = self.lengths, self.follows, len(self.pieces)
         for end, piece in self.automaton.iter(segment):
             end += 1
-            while done < end - 1:
+            if ids[end] != -2:
+                continue
+            at = end - lengths[piece]
+            while done < at:
                 done += 1
-                if cost[done] == np.inf:
-                    cost[done], start[done] = cost[done - 1] + 1e6, done - 1
-            at = end - len(piece)
-            if cost[at] == np.inf:
+                if ids[done] == -2:
+                    start[done], ids[done] = done - 1, -1
+            if ids[at] == -2:
                 continue
-            if bpe:
-                if cost[end] == np.inf:
-                    found = follows.get((last[at], piece))
-                    if self.may_follow(last[at], piece) if found is None else found:
-                        cost[end], start[end], last[end], ids[end] = cost[at], at, piece, arcs[piece]
-            elif cost[at] - scores[arcs[piece]] < cost[end]:
-                cost[end], start[end], last[end], ids[end] = cost[at] - scores[arcs[piece]], at, piece, arcs[piece]
+            key = (ids[at] + 1) * k + piece
+            held = follows[key % FOLLOWS]
+            if held & 1 if held >> 1 == key else self.may_follow(ids[at], piece):
+                start[end], ids[end] = at, piece
         while done < n:
             done += 1
-            if cost[done] == np.inf:
-                cost[done], start[done] = cost[done - 1] + 1e6, done - 1
-        path: list[int] = []
-        at = n
-        while at:
-            path += self._bytes(segment[start[at] : at])[::-1] if ids[at] is None else [ids[at]]
-            at = start[at]
-        return path[::-1]
+            if ids[done] == -2:
+                start[done], ids[done] = done - 1, -1
+        return start, ids
+
+    def _cheapest_path(self, segment: str, n: int) -> tuple[list[int], list[int]]:
+        """For each state the start of the last arc of its cheapest path, and that arc's piece (-1: bytes)."""
+        cost, start, ids = [np.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        cost[0] = 0.0
+        done = 0
+        for end, piece in [*self.automaton.iter(segment), (n, None)]:
+            end += 1
+            while done < min(end - 1, n):
+                done += 1
+                if cost[done] == np.inf:
+                    cost[done], start[done] = cost[done - 1] + 1e6, done - 1
+            if piece is not None and cost[end - self.lengths[piece]] - self.scores[piece] < cost[end]:
+                start[end], ids[end] = end - self.lengths[piece], piece
+                cost[end] = cost[start[end]] - self.scores[piece]
+        return start, ids
 
     def _bytes(self, char: str) -> list[int]:
         ids = [self.byte_arcs[b] for b in char.encode("utf-8", "surrogatepass")]
