@@ -61,9 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written to the shared folder and the one before it then removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        done, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = common.cut(docs)
+            common.discard(done)
     return docs
