@@ -24,6 +24,18 @@ def write_day(folder: Path, name: str, rows: list[tuple]) -> Path:
     return out
 
 
+def write_typed(folder: Path, name: str, columns: str, rows: list[tuple]) -> Path:
+    """``<folder>/<name>.parquet`` with columns of these types."""
+    out = Path(folder, f"{name}.parquet")
+    out.parent.mkdir(parents=True, exist_ok=True)
+    with duckdb.connect() as db:
+        db.execute("SET TimeZone='UTC'")
+        db.execute(f"CREATE TABLE t ({columns})")
+        db.executemany(f"INSERT INTO t VALUES ({', '.join('?' * len(rows[0]))})", rows)
+        db.execute(f"COPY t TO '{out}' (FORMAT parquet)")
+    return out
+
+
 def typical_seconds(call, calls: int) -> float:
     """The middle one of so many timed calls, after an untimed one."""
     call()

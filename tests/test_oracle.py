@@ -7,12 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_util import compare, duckdb_frame, spark_frame
-from tidemark.plans import batch, scenarios
+from tidemark.plans import batch, recovery, scenarios
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-OWN = {**batch.QUERIES, **scenarios.QUERIES}
+OWN = {**batch.QUERIES, **scenarios.QUERIES, **recovery.QUERIES}
 
 
 def test_every_query_has_an_oracle():

@@ -8,9 +8,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import trip, write_day
+from tests.fixtures import trip, write_day, write_typed
 from tidemark import api
 from tidemark.operators import explore
+from tidemark.schemas import RAW_TRIPS
 from tidemark.sinks.lake import Lake, read_table
 from tidemark.sinks.split import split_days
 from tidemark.sources.trips import read_trip_files, read_trips
@@ -58,10 +59,12 @@ def test_zone_csv_round_trip(spark, tmp_path, zones_csv):
 
 
 def test_bronze_copy_keeps_every_column(spark, landing, root, zones_csv):
-    write_day(landing, "2019-01-01", [trip("2019-01-01 05:10:00", 10.0)])
+    kinds = {"LongType()": ("BIGINT", 3), "TimestampNTZType()": ("TIMESTAMP", dt.datetime(2019, 1, 1, 5, 10)), "DoubleType()": ("DOUBLE", 10.0), "StringType()": ("VARCHAR", "Y")}
+    columns = [(f.name, *kinds[str(f.dataType)]) for f in RAW_TRIPS]
+    write_typed(landing, "2019-01-01", ", ".join(f"{n} {t}" for n, t, _ in columns), [tuple(v for _, _, v in columns)])
     api.run_etl(spark, str(landing), root, zones_csv, bronze=True)
     b = read_table(spark, Lake(root), "bronze").collect()
-    assert len(b) == 1 and b[0]["fare_amount"] == 8.0 and b[0]["source_file"] == "2019-01-01.parquet"
+    assert [r.asDict() for r in b] == [{n: v for n, _, v in columns} | {"source_file": "2019-01-01.parquet"}]
     assert api.total_revenue(spark, root, "2019-01-01", 5) == pytest.approx(10.0)
 
 

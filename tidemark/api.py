@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import gold, ledger, serving
+from tidemark.sinks import fs
 from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
@@ -81,9 +82,13 @@ def hour_denorm_df(spark: SparkSession, root: str) -> DataFrame:
 
 def total_revenue_df(spark: SparkSession, root: str, d, h: int, zone: str | None = None) -> DataFrame:
     """One-row DataFrame ``(date, hour, total_revenue)``. Only the date's folder
-    is listed and read, however many dates the table holds."""
-    day = serving.as_date(d)
-    return serving.cell_total(read_dates(spark, Lake(root), "hour_denorm", [day]), day, h, zone=zone)
+    is looked up and read, however many dates the table holds; cells set aside as
+    too large for the table's type count too."""
+    day, lake = serving.as_date(d), Lake(root)
+    cells = read_dates(spark, lake, "hour_denorm", [day])
+    if fs.exists(spark, f"{lake.overflow}/p_date={day.isoformat()}"):
+        cells = cells.unionByName(read_dates(spark, lake, "overflow", [day]))
+    return serving.cell_total(cells, day, h, zone=zone)
 
 
 def total_revenue(spark: SparkSession, root: str, d, h: int, zone: str | None = None) -> float:
@@ -143,6 +148,11 @@ def cumulative_revenue(spark: SparkSession, root: str, h: int) -> float:
     return float(rows[h]["revenue"])
 
 
+def overflow_df(spark: SparkSession, root: str) -> DataFrame:
+    """Cells of (zone, date, hour) whose revenue DECIMAL(18,2) cannot hold, exact."""
+    return read_table(spark, Lake(root), "overflow")
+
+
 def unmatched_zones_df(spark: SparkSession, root: str, zones) -> DataFrame:
     """Zone ids present in trips but absent from the zone table, with revenue."""
     return gold.unmatched(read_table(spark, Lake(root), "cells"), _zones(spark, zones))

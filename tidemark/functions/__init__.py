@@ -5,6 +5,8 @@ from tidemark.functions.columns import (  # noqa: F401
     file_month,
     money,
     money_sum,
+    wall_clock,
+    wide_sum,
     ntz,
     pickup_date,
     pickup_hour,

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schemas import MONEY
+from tidemark.schemas import MONEY, WIDE
 
 PICKUP = "tpep_pickup_datetime"
 
 # Quarantine reasons.
 NULL_PICKUP = "null_pickup"
+BAD_PICKUP = "bad_pickup"
 BAD_AMOUNT = "bad_amount"
 BAD_LOCATION = "bad_location"
 
@@ -39,14 +40,25 @@ def money(col: str = "total_amount") -> Column:
     return F.col(col).try_cast(MONEY)
 
 
-def money_sum(col: str | Column) -> Column:
-    """SUM of a money column, 0 for an empty or all-NULL group, back in DECIMAL(18,2).
+def wide_sum(col: str | Column) -> Column:
+    """SUM of a money column, 0 for an empty or all-NULL group, in DECIMAL(38,2).
 
     Decimal sums are exact, so summing partial sums gives the same value as one
-    sum over all rows; that is what makes the two-level aggregation safe.
+    sum over all rows; that is what makes the two-level aggregation safe. Stored
+    sums are this wide, so no cell of valid amounts can stop a batch.
     """
     expr = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.sum(expr), F.lit(0)).cast(MONEY)
+    return F.coalesce(F.sum(expr), F.lit(0)).cast(WIDE)
+
+
+def money_sum(col: str | Column) -> Column:
+    """The same in DECIMAL(18,2), the contract's type; NULL for a sum that it cannot hold."""
+    return wide_sum(col).try_cast(MONEY)
+
+
+def wall_clock(col: str = PICKUP) -> Column:
+    """A pickup of any type as timestamp_ntz; NULL when it cannot be one."""
+    return F.col(col).try_cast("timestamp_ntz")
 
 
 def valid_trip(pickup: str = PICKUP, location: str = "PULocationID", amount: str = "total_amount") -> Column:
@@ -66,6 +78,7 @@ def reject_reason(pickup: str = PICKUP, location: str = "PULocationID", amount:
     """Why a row is kept out of silver; NULL when it is valid."""
     return (
         F.when(F.col(pickup).isNull(), F.lit(NULL_PICKUP))
+        .when(wall_clock(pickup).isNull(), F.lit(BAD_PICKUP))
         .when(F.col(amount).isNotNull() & money(amount).isNull(), F.lit(BAD_AMOUNT))
         .when(F.col(location).isNotNull() & zone_id(location).isNull(), F.lit(BAD_LOCATION))
     )

@@ -11,10 +11,11 @@ join never sees a skewed fact side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money_sum
+from tidemark.functions.columns import money_sum, wide_sum
+from tidemark.schemas import MONEY
 
 
 CELL_KEYS = ("date", "hour", "PULocationID")
@@ -23,7 +24,7 @@ CELL_KEYS = ("date", "hour", "PULocationID")
 def cells(silver: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Revenue and trip count per (date, hour, zone id) [and ``extra_keys``]."""
     return silver.groupBy(*CELL_KEYS, *extra_keys).agg(
-        money_sum("total_amount").alias("total_amount"),
+        wide_sum("total_amount").alias("total_amount"),
         F.count(F.lit(1)).alias("n_trips"),
     )
 
@@ -31,7 +32,7 @@ def cells(silver: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
 def fold_cells(partials: DataFrame) -> DataFrame:
     """Sum partial cells (e.g. one set per source file) into cells."""
     return partials.groupBy(*CELL_KEYS).agg(
-        money_sum("total_amount").alias("total_amount"),
+        wide_sum("total_amount").alias("total_amount"),
         F.sum("n_trips").alias("n_trips"),
     )
 
@@ -43,16 +44,22 @@ def hour_denorm(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     cells carry ``p_date`` (= ``date``); grouping on it keeps their
     ``p_date`` partitioning through a broadcast join, so no shuffle is needed.
     Whether the zones are broadcast is left to Spark's own size check
-    (``autoBroadcastJoinThreshold``, and AQE at run time).
+    (``autoBroadcastJoinThreshold``, and AQE at run time). Sums of lake cells stay
+    wide; :func:`fits` tells which of them the contract's type can hold.
     """
     z = zones.select(F.col("LocationID").cast("int").alias("LocationID"), F.col("zone"))
     joined = cells_df.join(z, cells_df["PULocationID"] == z["LocationID"], "inner")
     if "p_date" in cells_df.columns:
-        out = joined.groupBy("zone", "p_date", "hour").agg(money_sum("total_amount").alias("total_amount"))
+        out = joined.groupBy("zone", "p_date", "hour").agg(wide_sum("total_amount").alias("total_amount"))
         return out.withColumn("date", F.col("p_date"))
     return joined.groupBy("zone", "date", "hour").agg(money_sum("total_amount").alias("total_amount"))
 
 
+def fits(value: str = "total_amount") -> Column:
+    """Whether a wide sum is one that DECIMAL(18,2) can hold."""
+    return F.col(value).try_cast(MONEY).isNotNull()
+
+
 def unmatched(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone ids with no zone row, with their trips and revenue."""
     ids = zones.select(F.col("LocationID").cast("int").alias("LocationID"))
@@ -74,7 +81,7 @@ def day_hour_by_partition(cells_df: DataFrame) -> DataFrame:
     and the result keeps that partitioning for a one-file-per-date write."""
     return (
         cells_df.groupBy("p_date", "hour")
-        .agg(money_sum("total_amount").alias("revenue"))
+        .agg(wide_sum("total_amount").alias("revenue"))
         .withColumn("date", F.col("p_date"))
     )
 
@@ -125,7 +132,7 @@ def merge_totals(stored: DataFrame, batch: DataFrame, key: str = "hour", value:
     j = s.join(b, s["k_s"] == b["k_b"], "full_outer")
     out = j.select(
         F.coalesce("k_s", "k_b").alias(key),
-        (F.coalesce("v_s", F.lit(0)) + F.coalesce("v_b", F.lit(0))).cast("decimal(18,2)").alias(value),
+        (F.coalesce("v_s", F.lit(0)) + F.coalesce("v_b", F.lit(0))).try_cast(MONEY).alias(value),
     )
     return out.where(F.col(key).isNotNull())
 
@@ -152,11 +159,10 @@ def reconcile(cells_df: DataFrame, zones: DataFrame) -> DataFrame:
     per_id = zones.groupBy(F.col("LocationID").cast("int").alias("LocationID")).agg(F.count(F.lit(1)).alias("k"))
     j = cells_df.join(per_id, cells_df["PULocationID"] == per_id["LocationID"], "left")
     one = j.agg(
-        money_sum("total_amount").alias("total_all"),
-        money_sum(F.col("total_amount") * F.col("k")).alias("total_matched"),
-        money_sum(F.when(F.col("k").isNull(), F.col("total_amount"))).alias("total_unmatched"),
-    )
-    return one.withColumn(
-        "balanced", F.col("total_all") == (F.col("total_matched") + F.col("total_unmatched"))
+        wide_sum("total_amount").alias("total_all"),
+        wide_sum(F.col("total_amount") * F.col("k")).alias("total_matched"),
+        wide_sum(F.when(F.col("k").isNull(), F.col("total_amount"))).alias("total_unmatched"),
     )
+    balanced = F.col("total_all") == (F.col("total_matched") + F.col("total_unmatched"))
+    return one.select(*(F.col(c).try_cast(MONEY).alias(c) for c in one.columns), balanced.alias("balanced"))
 

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money_sum
+from tidemark.functions.columns import wide_sum
 
 HOURS = 24
 
@@ -36,8 +36,8 @@ def cell_total(hour_denorm_df: DataFrame, d, h: int, zone: str | None = None, by
     if zone is not None:
         cell = cell.where(F.col("zone") == F.lit(zone))
     if by_zone:
-        return cell.groupBy("zone").agg(money_sum("total_amount").cast("double").alias("total_revenue"))
-    return cell.agg(money_sum("total_amount").cast("double").alias("total_revenue")).select(
+        return cell.groupBy("zone").agg(wide_sum("total_amount").cast("double").alias("total_revenue"))
+    return cell.agg(wide_sum("total_amount").cast("double").alias("total_revenue")).select(
         F.lit(day).alias("date"), F.lit(h).cast("int").alias("hour"), "total_revenue"
     )
 

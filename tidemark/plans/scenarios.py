@@ -322,6 +322,7 @@ SELECT table_name, CAST(n_before AS BIGINT) AS n_before, CAST(0 AS BIGINT) AS n_
   SELECT 'bronze' AS table_name, 0 AS n_before
   UNION ALL SELECT 'silver', COUNT(*) FROM silver
   UNION ALL SELECT 'quarantine', 0
+  UNION ALL SELECT 'overflow', 0
   UNION ALL SELECT 'file_cells', COUNT(*) FROM (SELECT DISTINCT date, hour, PULocationID FROM silver)
   UNION ALL SELECT 'cells', COUNT(*) FROM (SELECT DISTINCT date, hour, PULocationID FROM silver)
   UNION ALL SELECT 'hour_denorm', COUNT(*) FROM (SELECT DISTINCT zone, date, hour FROM denorm)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# Stored sums: a cell of valid amounts may add up to more than MONEY holds.
+WIDE = T.DecimalType(38, 2)
 
 # Raw daily trip file (the 18-column yellow-taxi layout). Pickup and drop-off
 # are wall-clock times without zone, so they are read as timestamp_ntz.
@@ -60,6 +62,20 @@ SILVER = T.StructType(
     ]
 )
 
+# Rows of one batch after the casts, whatever types their files had: the silver values, the
+# reason of a rejected row, and its raw values for the quarantine.
+TYPED = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
+        T.StructField("zone_id", T.IntegerType()),
+        T.StructField("amount", MONEY),
+        T.StructField("reason", T.StringType()),
+        T.StructField("PULocationID", T.LongType()),
+        T.StructField("total_amount", T.DoubleType()),
+    ]
+)
+
 # Rows rejected by the silver step, kept with the reason, partitioned by file.
 QUARANTINE = T.StructType(
     [
@@ -77,7 +93,7 @@ CELLS = T.StructType(
         T.StructField("date", T.DateType()),
         T.StructField("hour", T.IntegerType()),
         T.StructField("PULocationID", T.IntegerType()),
-        T.StructField("total_amount", MONEY),
+        T.StructField("total_amount", WIDE),
         T.StructField("n_trips", T.LongType()),
         T.StructField("p_date", T.DateType()),
     ]
@@ -91,7 +107,7 @@ FILE_CELLS = T.StructType(
         T.StructField("date", T.DateType()),
         T.StructField("hour", T.IntegerType()),
         T.StructField("PULocationID", T.IntegerType()),
-        T.StructField("total_amount", MONEY),
+        T.StructField("total_amount", WIDE),
         T.StructField("n_trips", T.LongType()),
         T.StructField("p_date", T.DateType()),
         T.StructField("source_file", T.StringType()),
@@ -109,13 +125,16 @@ HOUR_DENORM = T.StructType(
     ]
 )
 
+# Gold overflow: the cells of hour_denorm whose revenue DECIMAL(18,2) cannot hold, exact.
+OVERFLOW = T.StructType([T.StructField(f.name, WIDE if f.name == "total_amount" else f.dataType) for f in HOUR_DENORM])
+
 # Gold day_hours: revenue per (date, hour) over all trips, unmatched zones
 # included; 24 rows per date, the compact input of the serving table.
 DAY_HOURS = T.StructType(
     [
         T.StructField("date", T.DateType()),
         T.StructField("hour", T.IntegerType()),
-        T.StructField("revenue", MONEY),
+        T.StructField("revenue", WIDE),
         T.StructField("p_date", T.DateType()),
     ]
 )

@@ -51,6 +51,10 @@ class Lake:
     def hour_denorm(self) -> str:
         return self.path("gold/hour_denorm")
 
+    @property
+    def overflow(self) -> str:
+        return self.path("gold/overflow")
+
     @property
     def day_hours(self) -> str:
         return self.path("gold/day_hours")
@@ -67,6 +71,10 @@ class Lake:
     def checkpoint(self) -> str:
         return self.path("_checkpoints/ingest")
 
+    @property
+    def replays(self) -> str:
+        return self.path("_replays")
+
     @property
     def archive(self) -> str:
         return self.path("archive")
@@ -76,6 +84,9 @@ class Lake:
         return self.path("errors")
 
 
+#: Folders up to this many are looked up by name instead of listing the table.
+LOOKED_UP = 3
+
 # name -> (schema, partition columns)
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "bronze": (schemas.BRONZE, ("source_file",)),
@@ -84,6 +95,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "file_cells": (schemas.FILE_CELLS, ("p_date", "source_file")),
     "cells": (schemas.CELLS, ("p_date",)),
     "hour_denorm": (schemas.HOUR_DENORM, ("p_date",)),
+    "overflow": (schemas.OVERFLOW, ("p_date",)),
     "day_hours": (schemas.DAY_HOURS, ("p_date",)),
     "serving": (schemas.SERVING, ()),
     "ledger": (schemas.LEDGER, ("p_day",)),
@@ -107,13 +119,16 @@ def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str =
     A filter on the partition column also prunes, but Spark first lists every
     partition folder of the table; opening the folders by path keeps the cost
     of a batch or a point lookup independent of how much history the table
-    holds. Folders that do not exist are skipped (an empty result if none do);
-    one listing of the table folder's names tells which do.
+    holds. Folders that do not exist are skipped (an empty result if none do):
+    a few are looked up one by one, of more one listing of the folder's names tells.
     """
     schema, _ = TABLES[name]
     base = table_path(lake, name)
     names = {f"{column}={d.isoformat()}" for d in dates}
-    paths = [p for p in fs.glob(spark, f"{base}/{column}=*") if p.rstrip("/").rsplit("/", 1)[-1] in names]
+    if len(names) <= LOOKED_UP:
+        paths = [p for p in (f"{base}/{n}" for n in sorted(names)) if fs.exists(spark, p)]
+    else:
+        paths = [p for p in fs.glob(spark, f"{base}/{column}=*") if p.rstrip("/").rsplit("/", 1)[-1] in names]
     if not paths:
         return empty(spark, name)
     return spark.read.schema(schema).option("basePath", base).parquet(*paths)
@@ -129,10 +144,11 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def overwrite_partitions(df: DataFrame, lake: Lake, name: str) -> None:
+def overwrite_partitions(df: DataFrame, lake: Lake, name: str, path: str | None = None) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced.
 
-    Set per write, not per session, so no other writer is affected.
+    Set per write, not per session, so no other writer is affected. ``path`` is
+    another folder than the table's, with the same layout.
     """
     _, parts = TABLES[name]
     (
@@ -140,7 +156,7 @@ def overwrite_partitions(df: DataFrame, lake: Lake, name: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
-        .parquet(table_path(lake, name))
+        .parquet(path or table_path(lake, name))
     )
 
 
@@ -190,7 +206,7 @@ def clear_partition(spark: SparkSession, lake: Lake, name: str, leaf: str) -> No
 def compact_ledger(spark: SparkSession, lake: Lake, before) -> int:
     """Rewrite the ledger's day folders before ``before`` as one file per day.
 
-    Every batch appends two small files; compaction keeps the file count per
+    Every batch appends four small files; compaction keeps the file count per
     day at one. The rows are first checkpointed into ``spark.checkpoint.dir``
     (a reliable checkpoint on shared storage), which cuts the lineage to the
     files about to be replaced, then the days are overwritten in place.
@@ -260,3 +276,4 @@ def reset(spark: SparkSession, lake: Lake) -> None:
             writer = writer.partitionBy(*parts)
         writer.parquet(table_path(lake, name))
     fs.delete(spark, lake.checkpoint, recursive=True)
+    fs.delete(spark, lake.replays, recursive=True)

@@ -1,4 +1,4 @@
-"""The per-batch write protocol shared by the stream and by explicit replays.
+"""The per-batch write protocol of the stream.
 
 Order: ledger 'bronze' -> silver (+ quarantine) -> file cells -> gold cells ->
 gold hour_denorm -> serving; the ledger gets 'silver', 'gold' and 'done' as each
@@ -14,6 +14,9 @@ leaves the same tables as running it once:
   file and hour), never incremented and never re-reading trip rows;
 * serving (24 rows) is recomputed from gold cells.
 
+A replay changes rows that were there before, so it works by an intent record instead
+(:mod:`tidemark.streaming.replay`).
+
 Trip rows are read once (persisted for the batch) and written once (silver);
 all other work is on aggregates bounded by days x 24 x zone ids.
 """
@@ -29,10 +32,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import PICKUP, ntz, pickup_date, valid_trip
+from tidemark.functions.columns import PICKUP, ntz, pickup_date
 from tidemark.operators import gold, serving
 from tidemark.operators import silver as silver_op
-from tidemark.schemas import TRIP_COLUMNS
 from tidemark.sinks import fs
 from tidemark.sinks.lake import (
     Lake,
@@ -74,12 +76,9 @@ def stamp(files: DataFrame, lake: Lake, status: str, batch_id: int) -> None:
     append(events.withColumn("p_day", F.to_date("ts")), lake, "ledger")
 
 
-def _leaf_dirs(table: DataFrame, files: list[str], with_date: bool = True) -> list:
-    """Leaf folders holding the given source files. Paths come from _metadata,
-    so no partition-path escaping rules are needed. Bounded by files x days."""
-    leaf = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "").alias("leaf")
-    cols = [F.col("p_date"), leaf] if with_date else [leaf]
-    return table.where(F.col("source_file").isin(files)).select(*cols).distinct().collect()
+def file_names(spark: SparkSession, files: list[str]) -> DataFrame:
+    """File names as the one-column frame that ``stamp`` takes."""
+    return spark.createDataFrame([(f,) for f in files], "source_file string").coalesce(1)
 
 
 def _pending_files(spark: SparkSession, lake: Lake) -> list[str]:
@@ -122,16 +121,21 @@ def rebuild_gold(
         overwrite_partitions(cells, lake, "cells")
         overwrite_partitions(gold.day_hour_by_partition(cells), lake, "day_hours")
         # with a broadcast zone join this repartition is already satisfied and dropped
-        denorm = gold.hour_denorm(cells, zones)
-        overwrite_partitions(denorm.repartition("p_date"), lake, "hour_denorm")
+        denorm = gold.hour_denorm(cells, zones).repartition("p_date").persist(StorageLevel.MEMORY_AND_DISK)
+        # a cell whose sum the contract's type cannot hold is set aside, exact, and stops nothing
+        named, beyond = denorm.where(gold.fits()), denorm.where(~gold.fits())
+        overwrite_partitions(named, lake, "hour_denorm")
+        overwrite_partitions(beyond, lake, "overflow")
         # dynamic overwrite leaves the folder of a date that has no rows any more:
         # each table loses the dates its own result lacks (no cells, or none with a zone)
         held = {r[0] for r in cells.select("p_date").distinct().collect()}
-        named = {r[0] for r in denorm.select("p_date").distinct().collect()}
+        kinds = denorm.groupBy("p_date").agg(F.max(gold.fits()).alias("named"), F.max(~gold.fits()).alias("beyond")).collect()
+        kept = {"cells": held, "day_hours": held, "hour_denorm": {r["p_date"] for r in kinds if r["named"]}, "overflow": {r["p_date"] for r in kinds if r["beyond"]}}
         for d in dates:
-            for table, present in (("cells", held), ("day_hours", held), ("hour_denorm", named)):
+            for table, present in kept.items():
                 if d not in present:
                     clear_partition(spark, lake, table, f"p_date={d.isoformat()}")
+        denorm.unpersist()
     finally:
         cells.unpersist()
 
@@ -141,83 +145,65 @@ def refresh_serving(spark: SparkSession, lake: Lake) -> None:
     publish_serving(spark, lake, serving.serving_table(spark, read_table(spark, lake, "day_hours")))
 
 
+def counted(typed: DataFrame) -> list:
+    """One small action: rows by (file, day, whether good). Bounded by files x days."""
+    return typed.groupBy("source_file", pickup_date(PICKUP).alias("d"), F.col("reason").isNull().alias("ok")).count().collect()
+
+
+def file_cells_of(silver: DataFrame) -> DataFrame:
+    """Cells per file: aggregated first (map-side partial), then one task per (date, file) leaf;
+    the shuffle carries cells, never trip rows, and each leaf gets one file."""
+    return gold.cells(silver, extra_keys=("p_date", "source_file")).repartition("p_date", "source_file")
+
+
 def process_batch(
-    batch: DataFrame,
+    rows: DataFrame,
     batch_id: int,
     lake: Lake,
     zones: DataFrame,
-    replay: bool = False,
+    files: list[str],
+    raw: DataFrame | None = None,
     fail_at: str | None = None,
-    bronze: bool = False,
-    files: list[str] | None = None,
 ) -> dict:
-    """Write one batch of raw trip rows (with ``source_file``) through all layers.
+    """Write one batch of typed rows (``schemas.TYPED``) of new files through all layers.
 
-    ``replay=True`` is for files whose content changed under a known name:
-    their old silver rows and file cells on dates the new content no longer
-    has are removed, and those dates are rebuilt too. ``fail_at`` ('silver' or
-    'gold') raises after that stage, to test crash recovery. ``bronze=True``
-    also keeps a raw copy of every column, partitioned by source file (K1).
-    ``files`` names the batch's files where they are known beforehand, so that
-    one without rows is handled too.
+    ``files`` names the batch's files, so that one without rows is handled too. ``raw``
+    is a copy of every column to keep, partitioned by source file (K1). ``fail_at``
+    ('silver' or 'gold') raises after that stage, to test crash recovery.
 
     Dates are noted in the lake before anything of theirs is removed and stay
     noted until serving is written; every batch also rebuilds the dates noted by
     one that did not end, so a crash at any point is mended by the next run.
     """
-    spark = batch.sparkSession
+    spark = rows.sparkSession
     tm: dict[str, float] = {}
-    if bronze:
+    if raw is not None:
         with _timed(tm, "bronze"):
-            if replay and files:
-                for row in _leaf_dirs(read_table(spark, lake, "bronze"), files, with_date=False):
-                    fs.delete(spark, row["leaf"], recursive=True)
-            overwrite_partitions(batch, lake, "bronze")
-    typed = batch.select(*TRIP_COLUMNS, "source_file").persist(StorageLevel.MEMORY_AND_DISK)
+            overwrite_partitions(raw, lake, "bronze")
+    typed = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One small action: (file, day, valid) counts. Bounded by files x days.
         with _timed(tm, "scan"):
-            pairs = typed.groupBy(
-                "source_file", pickup_date(PICKUP).alias("d"), valid_trip().alias("ok")
-            ).count().collect()
-        files = sorted({r["source_file"] for r in pairs} | set(files or ()))
+            pairs = counted(typed)
+        files = sorted(files)
         unfinished = pending_dates(spark, lake)
         if not files and not unfinished:
             return {"batch_id": batch_id, "files": [], "dates": [], "rows": 0, "rejected": 0, "timings": tm}
-        new_dates = sorted({r["d"] for r in pairs if r["d"] is not None and r["ok"]})
         n_rows = sum(r["count"] for r in pairs)
         n_rejected = sum(r["count"] for r in pairs if not r["ok"])
-        names = spark.createDataFrame([(f,) for f in files], "source_file string").coalesce(1)
+        names = file_names(spark, files)
         with _timed(tm, "ledger"):
             stamp(names, lake, "bronze", batch_id)
 
-        old_silver, old_cells, old_rejects = [], [], []
-        if replay:
-            with _timed(tm, "replay_lookup"):
-                old_silver = _leaf_dirs(read_table(spark, lake, "silver"), files)
-                old_cells = _leaf_dirs(read_table(spark, lake, "file_cells"), files)
-                old_rejects = _leaf_dirs(read_table(spark, lake, "quarantine"), files, with_date=False)
-
-        dates = set(new_dates) | {row["p_date"] for row in old_silver + old_cells} | unfinished
+        dates = {r["d"] for r in pairs if r["ok"]} | unfinished
         note = note_pending(spark, lake, dates)
-        valid = silver_op.with_partition(silver_op.silver(typed, carry=("source_file",)))
+        valid = silver_op.typed_silver(typed)
         with _timed(tm, "silver"):
             overwrite_partitions(valid, lake, "silver")
         with _timed(tm, "quarantine"):
-            for row in old_rejects:
-                fs.delete(spark, row["leaf"], recursive=True)
             if n_rejected:
-                overwrite_partitions(silver_op.quarantine(typed, carry=("source_file",)), lake, "quarantine")
-
-        # aggregate first (map-side partial), then one task per (date, file) leaf:
-        # the shuffle carries cells, never trip rows, and each leaf gets one file
-        file_cells = gold.cells(valid, extra_keys=("p_date", "source_file")).repartition("p_date", "source_file")
+                overwrite_partitions(silver_op.typed_rejects(typed), lake, "quarantine")
         with _timed(tm, "file_cells"):
-            overwrite_partitions(file_cells, lake, "file_cells")
-
-        for row in old_silver + old_cells:
-            if row["p_date"] not in new_dates:
-                fs.delete(spark, row["leaf"], recursive=True)
+            overwrite_partitions(file_cells_of(valid), lake, "file_cells")
         with _timed(tm, "ledger"):
             stamp(names, lake, "silver", batch_id)
         if fail_at == "silver":

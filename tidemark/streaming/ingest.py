@@ -22,14 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import ledger
-from tidemark.schemas import RAW_TRIPS, TRIP_COLUMNS
 from tidemark.sinks import fs
 from tidemark.sinks.lake import Lake, migrate, read_table
-from tidemark.sources.trips import read_trip_files, trips_stream
-from tidemark.streaming.batch import process_batch, stamp
-
-#: What Spark says of a file that a task cannot read (truncated, not Parquet, other column types).
-UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
+from tidemark.sources.trips import UNREADABLE, landing_stream, present, read_landed
+from tidemark.streaming.batch import file_names, process_batch, stamp
+from tidemark.streaming.replay import recover, replay
 
 
 @dataclass
@@ -66,7 +63,6 @@ def run_ingest(
     (crash test); the error propagates, and the next tick resumes that batch.
     """
     report = TickReport()
-    landed = [(p.rsplit("/", 1)[1],) for p in fs.list_files(spark, landing)]
     options = {"max_files_per_trigger": max_files_per_trigger, "archive": archive, "fail_at": fail_at, "bronze": bronze}
     while True:
         query = start_ingest(spark, landing, lake, zones, **options, report=report, available_now=True)
@@ -84,59 +80,54 @@ def run_ingest(
         finally:
             if query.isActive:
                 query.stop()
-    rowless = _stamp_rowless(spark, landed, lake) if report.n_run and landed else []
     if archive:
-        archive_done(spark, landing, lake, {*report.files, *rowless})
+        archive_done(spark, landing, lake, set(report.files))
     return report
 
 
-def _stamp_rowless(spark: SparkSession, landed: list[tuple[str]], lake: Lake) -> list[str]:
-    """The tick took every file that had landed before it; one without an event has no rows, and is done."""
-    names = spark.createDataFrame(landed, "file_path string")
-    rowless = ledger.new_files(names, read_table(spark, lake, "ledger")).collect()
-    if rowless:
-        files = spark.createDataFrame([(r[0],) for r in rowless], "source_file string")
-        for status in (ledger.STAGES[0], ledger.STAGES[-1]):
-            stamp(files, lake, status, -1)
-    return [r[0] for r in rowless]
-
-
-def unreadable(spark: SparkSession, paths: list[str], columns: list[str]) -> list[str]:
+def unreadable(spark: SparkSession, paths: list[str], raw: bool = False) -> list[str]:
     """Of these files, those that cannot be read: halves that read in full are cleared
     together, so b such files among n cost about b log n reads."""
     if not paths:
         return []
+    rows, copies, bad = read_landed(spark, paths, raw)
     try:
-        read_trip_files(spark, paths).select(*columns).write.format("noop").mode("overwrite").save()
-        return []
+        for frame in (rows, copies):
+            if frame is not None:
+                frame.write.format("noop").mode("overwrite").save()
+        return bad
     except (PySparkException, Py4JJavaError) as e:
         if not any(mark in str(e) for mark in UNREADABLE):
             raise
     half = len(paths) // 2
-    return unreadable(spark, paths[:half], columns) + unreadable(spark, paths[half:], columns) if half else paths
+    return unreadable(spark, paths[:half], raw) + unreadable(spark, paths[half:], raw) if half else paths
+
+
+def set_aside(spark: SparkSession, lake: Lake, paths: list[str]) -> list[str]:
+    """Move files that cannot be read to the lake's errors folder, with an event in the ledger. Returns their names.
+
+    Once mended, such a file comes in by ``replay_files``: its name is taken.
+    """
+    names = [p.rsplit("/", 1)[1] for p in paths]
+    if names:
+        stamp(file_names(spark, names), lake, ledger.FAILED, -1)
+        fs.mkdirs(spark, lake.errors)
+    for path, name in zip(paths, names, strict=True):
+        if not fs.rename(spark, path, f"{lake.errors}/{name}"):
+            raise OSError(f"{path} could not be moved to the errors folder")
+    return names
 
 
 def set_aside_unreadable(spark: SparkSession, landing: str, lake: Lake, bronze: bool = False) -> list[str]:
-    """Move landing files that cannot be read to the lake's errors folder, with an event in the
-    ledger, so that the other files of their batch go through. Returns their names.
+    """Set aside the landing files whose footer is sound but whose data is not, so that the other
+    files of their batch go through.
 
-    Runs only after a batch has failed to read a file, over the files that no batch has
-    finished. Once mended, such a file comes in by ``replay_files``: its name is taken.
+    Runs only after a batch has failed to read a file, over the files that no batch has finished.
     """
     landed = spark.createDataFrame([(p.rsplit("/", 1)[1], p) for p in fs.list_files(spark, landing)], "file_path string, path string")
     done = ledger.latest_status(read_table(spark, lake, "ledger")).where(F.col("status") == ledger.STAGES[-1])
     waiting = landed.join(done, "file_path", "left_anti").select("path").collect()
-    columns = [c for c in RAW_TRIPS.names] if bronze else list(TRIP_COLUMNS)
-    found = unreadable(spark, sorted(r["path"] for r in waiting), columns)
-    if found:
-        names = [p.rsplit("/", 1)[1] for p in found]
-        stamp(spark.createDataFrame([(n,) for n in names], "source_file string"), lake, ledger.FAILED, -1)
-        fs.mkdirs(spark, lake.errors)
-        for path, name in zip(found, names, strict=True):
-            if not fs.rename(spark, path, f"{lake.errors}/{name}"):
-                raise OSError(f"{path} could not be moved to the errors folder")
-        return names
-    return []
+    return set_aside(spark, lake, unreadable(spark, sorted(r["path"] for r in waiting), bronze))
 
 
 def archive_done(spark: SparkSession, landing: str, lake: Lake, names: set[str]) -> None:
@@ -174,6 +165,7 @@ def start_ingest(
     checkpoint, one writer, and no JVM start per tick.
     """
     migrate(spark, lake)
+    recover(spark, lake, zones)
     failed = {"done": False}
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
@@ -181,22 +173,24 @@ def start_ingest(
         if fail_at and not failed["done"]:
             failed["done"] = True
             inject = fail_at
-        out = process_batch(
-            batch_df, batch_id, lake, zones, fail_at=inject, bronze=bronze
-        )
+        recover(spark, lake, zones)
+        paths = present(spark, sorted(r["path"] for r in batch_df.collect()))  # as many as a batch holds
+        rows, raw, bad = read_landed(spark, paths, bronze)
+        errors = set_aside(spark, lake, bad)
+        files = [n for p in paths if (n := p.rsplit("/", 1)[1]) not in errors]
+        out = process_batch(rows, batch_id, lake, zones, files, raw, fail_at=inject)
         if report is not None:
             report.n_run += 1
+            report.errors += errors
             if out["files"]:
                 report.batches.append(out)
 
-    stream = trips_stream(
+    stream = landing_stream(
         spark,
         landing,
         max_files_per_trigger=max_files_per_trigger,
         archive_dir=lake.archive if archive else None,
     )
-    if not bronze:
-        stream = stream.select(*TRIP_COLUMNS, "source_file")
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", lake.checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
@@ -205,10 +199,14 @@ def start_ingest(
 def replay_files(spark: SparkSession, paths: list[str], lake: Lake, zones: DataFrame, batch_id: int = -1, fail_at: str | None = None) -> dict:
     """Explicit replay: re-read these files (changed content under known names)
     and replace everything they contributed (M5, D13 override), the raw copy
-    included where one is kept. A file that is empty now contributes nothing."""
+    included where one is kept. A file that is empty now contributes nothing;
+    one that cannot be read leaves all as it was and is named in the error.
+    ``fail_at`` is one of ``replay.POINTS``."""
     migrate(spark, lake)
+    recover(spark, lake, zones)
     names = sorted({p.rstrip("/").rsplit("/", 1)[-1] for p in paths})
     kept_raw = bool(fs.glob(spark, f"{lake.bronze}/source_file=*"))
-    return process_batch(
-        read_trip_files(spark, paths), batch_id, lake, zones, replay=True, bronze=kept_raw, files=names, fail_at=fail_at
-    )
+    rows, raw, bad = read_landed(spark, paths, kept_raw)
+    if bad:
+        raise ValueError(f"cannot be read: {', '.join(sorted(bad))}")
+    return replay(spark, rows, raw, names, lake, zones, batch_id, fail_at)
