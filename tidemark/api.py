@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import gold, ledger, serving
-from tidemark.sinks import fs
+from tidemark.sinks import publish
 from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
@@ -85,9 +85,10 @@ def total_revenue_df(spark: SparkSession, root: str, d, h: int, zone: str | None
     is looked up and read, however many dates the table holds; cells set aside as
     too large for the table's type count too."""
     day, lake = serving.as_date(d), Lake(root)
-    cells = read_dates(spark, lake, "hour_denorm", [day])
-    if fs.exists(spark, f"{lake.overflow}/p_date={day.isoformat()}"):
-        cells = cells.unionByName(read_dates(spark, lake, "overflow", [day]))
+    pointer = publish.current(spark, lake.published)
+    cells = read_dates(spark, lake, "hour_denorm", [day], pointer=pointer)
+    if pointer and day.isoformat() in pointer["dates"]["overflow"]:
+        cells = cells.unionByName(read_dates(spark, lake, "overflow", [day], pointer=pointer))
     return serving.cell_total(cells, day, h, zone=zone)
 
 

@@ -101,6 +101,23 @@ def replay_after_crash(spark, sf):
     return _gold(spark, lake)
 
 
+def read_during_rebuild(spark, sf):
+    """What readers get while every date is being rebuilt (the replay has stopped with all new gold dates written, none
+    published): the old values, whole; and after the next tick the new ones."""
+    root, landing, lake, zones = _setup(spark, sf, "read-during")
+    trips = standin.trips(spark, sf)
+    split_days(spark, trips.withColumn("total_amount", F.col("total_amount") * 2), landing)
+    _tick(spark, landing, lake, zones)
+    try:
+        replay_files(spark, _redrop(spark, trips, root, landing), lake, zones, fail_at="unpublished")
+        raise ScenarioError("the stop did not surface")
+    except InjectedFailure:
+        pass
+    during = _gold(spark, lake).withColumn("stage", F.lit("during"))
+    _tick(spark, landing, lake, zones)
+    return during.unionByName(_gold(spark, lake).withColumn("stage", F.lit("after")))
+
+
 def replay_to_unknown_zone(spark, sf):
     """Every trip first has a known zone; the replay moves some to ids without one."""
     root, landing, lake, zones = _setup(spark, sf, "replay-zone")
@@ -185,6 +202,7 @@ QUERIES = {
     "replay_changed_content": replay_changed_content,
     "replay_after_crash": replay_after_crash,
     "replay_to_unknown_zone": replay_to_unknown_zone,
+    "read_during_rebuild": read_during_rebuild,
     "replay_empty_file": replay_empty_file,
     "amount_overflow": amount_overflow,
     "mixed_schemas": mixed_schemas,
@@ -203,6 +221,9 @@ _COLUMNS = {
 
 SQL = {
     **{name: oracle.HOUR_DENORM_SQL for name in ("replay_changed_content", "replay_after_crash", "replay_to_unknown_zone", "replay_empty_file")},
+    "read_during_rebuild": oracle._with(oracle.SILVER, oracle.ZONES, oracle.DENORM) + """
+SELECT zone, date, hour, CAST(SUM(total_amount) * k AS DECIMAL(18,2)) AS total_amount, stage
+FROM denorm, (VALUES (2, 'during'), (1, 'after')) s(k, stage) GROUP BY zone, date, hour, k, stage""",
     "amount_overflow": oracle._with(oracle.SILVER, oracle.ZONES) + f"""
 SELECT zone, date, hour, total_amount, total_amount > 9999999999999999.99 AS beyond FROM (
   SELECT zone, date, hour, CAST(SUM(CAST(amount AS DECIMAL(38,2))) AS DECIMAL(38,2)) AS total_amount FROM (

@@ -59,19 +59,6 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-def modification_time(spark: SparkSession, path: str) -> int:
-    """Modification time in ms, or -1 when the path does not exist."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return -1
-    return int(fs.getFileStatus(p).getModificationTime())
-
-
-def set_modification_time(spark: SparkSession, path: str, millis: int) -> None:
-    fs, p = _fs(spark, path)
-    fs.setTimes(p, millis, -1)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Small marker file (a version stamp); overwrites."""
     fs, p = _fs(spark, path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sinks import fs
+from tidemark.sinks import fs, publish
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,10 @@ class Lake:
     def checkpoint(self) -> str:
         return self.path("_checkpoints/ingest")
 
+    @property
+    def published(self) -> str:
+        return self.path("gold/_published")
+
     @property
     def replays(self) -> str:
         return self.path("_replays")
@@ -107,13 +111,28 @@ def table_path(lake: Lake, name: str) -> str:
 
 
 def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """Read a lake table with its fixed schema (works on an empty table too)."""
+    """Read a lake table with its fixed schema (works on an empty table too); a gold table as published."""
     schema, _ = TABLES[name]
+    if name in publish.GOLD and (pointer := publish.current(spark, lake.published)) is not None:
+        return _read_published(spark, lake, name, pointer)
     path = serving_version(spark, lake) if name == "serving" else None
     return spark.read.schema(schema).parquet(path or table_path(lake, name))
 
 
-def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str = "p_date") -> DataFrame:
+def _read_published(spark: SparkSession, lake: Lake, name: str, pointer: dict, dates=None) -> DataFrame:
+    schema, _ = TABLES[name]
+    base = table_path(lake, name)
+    paths = publish.paths(pointer, base, name, dates)
+    if not paths:
+        return empty(spark, name)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
+
+
+def gold_paths(lake: Lake) -> dict[str, str]:
+    return {name: table_path(lake, name) for name in publish.GOLD}
+
+
+def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str = "p_date", pointer: dict | None = None) -> DataFrame:
     """Read only the given date folders of a date-partitioned table.
 
     A filter on the partition column also prunes, but Spark first lists every
@@ -121,8 +140,14 @@ def read_dates(spark: SparkSession, lake: Lake, name: str, dates, column: str =
     of a batch or a point lookup independent of how much history the table
     holds. Folders that do not exist are skipped (an empty result if none do):
     a few are looked up one by one, of more one listing of the folder's names tells.
+    A gold table's dates are those published (by ``pointer``, so that several tables
+    can be read as they were at one time).
     """
     schema, _ = TABLES[name]
+    if name in publish.GOLD:
+        pointer = pointer or publish.current(spark, lake.published)
+        if pointer is not None:
+            return _read_published(spark, lake, name, pointer, dates)
     base = table_path(lake, name)
     names = {f"{column}={d.isoformat()}" for d in dates}
     if len(names) <= LOOKED_UP:
@@ -194,15 +219,6 @@ def append(df: DataFrame, lake: Lake, name: str) -> None:
     writer.parquet(table_path(lake, name))
 
 
-def clear_partition(spark: SparkSession, lake: Lake, name: str, leaf: str) -> None:
-    """Remove one partition folder (e.g. ``p_date=2019-01-01/source_file=x``).
-
-    Dynamic overwrite never removes a partition the new data no longer has, so
-    an explicit replay uses this for partitions that became empty.
-    """
-    fs.delete(spark, f"{table_path(lake, name)}/{leaf}", recursive=True)
-
-
 def compact_ledger(spark: SparkSession, lake: Lake, before) -> int:
     """Rewrite the ledger's day folders before ``before`` as one file per day.
 
@@ -256,7 +272,10 @@ def migrate(spark: SparkSession, lake: Lake) -> list[str]:
 
         cells = read_table(spark, lake, "cells")
         if cells.limit(1).count():
-            overwrite_partitions(day_hour(cells).withColumn("p_date", F.col("date")), lake, "day_hours")
+            version, hours = publish.new_version(), day_hour(cells).withColumn("p_date", F.col("date"))
+            overwrite_partitions(hours, lake, "day_hours", f"{lake.day_hours}/v={version}")
+            dates = {r[0] for r in cells.select("p_date").distinct().collect()}
+            publish.publish(spark, lake.published, gold_paths(lake), version, dates, {"day_hours": dates})
     return created
 
 
@@ -266,10 +285,15 @@ def reset(spark: SparkSession, lake: Lake) -> None:
     The streaming checkpoint is dropped as well, so files still in landing are
     seen as new on the next run, like after truncating the reference ledger.
     """
+    fs.delete(spark, lake.published, recursive=True)
     for name in TABLES:
         if name == "serving":
             publish_serving(spark, lake, serving_zero(spark))
             continue
+        if name in publish.GOLD:
+            fs.delete(spark, table_path(lake, name))
+            fs.mkdirs(spark, table_path(lake, name))
+            continue
         _, parts = TABLES[name]
         writer = empty(spark, name).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:

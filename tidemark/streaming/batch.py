@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -35,15 +36,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import PICKUP, ntz, pickup_date
 from tidemark.operators import gold, serving
 from tidemark.operators import silver as silver_op
-from tidemark.sinks import fs
+from tidemark.sinks import fs, publish
 from tidemark.sinks.lake import (
     Lake,
     append,
-    clear_partition,
+    gold_paths,
     overwrite_partitions,
     publish_serving,
     read_dates,
     read_table,
+    table_path,
 )
 
 
@@ -104,13 +106,16 @@ def rebuild_gold(
     lake: Lake,
     zones: DataFrame,
     dates: list[_dt.date],
+    unpublished: Callable[[], None] = lambda: None,
 ) -> None:
     """Recompute gold cells, day_hours and hour_denorm for ``dates`` from their
     file cells.
 
     Only those dates' folders are listed and read. ``repartition('p_date')``
     on the (small) result gives one file per date and table; day_hours groups
-    on ``p_date`` and so reuses that partitioning without another shuffle.
+    on ``p_date`` and so reuses that partitioning without another shuffle. The
+    results are written beside the old ones and published together, so a reader
+    never meets a date half done; ``unpublished`` is called just before (tests).
     """
     if not dates:
         return
@@ -118,24 +123,25 @@ def rebuild_gold(
     cells = gold.fold_cells(partials).withColumn("p_date", F.col("date")).repartition("p_date")
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        overwrite_partitions(cells, lake, "cells")
-        overwrite_partitions(gold.day_hour_by_partition(cells), lake, "day_hours")
+        version = publish.new_version()
+
+        def write(rows: DataFrame, name: str) -> None:
+            overwrite_partitions(rows, lake, name, f"{table_path(lake, name)}/v={version}")
+
+        write(cells, "cells")
+        write(gold.day_hour_by_partition(cells), "day_hours")
         # with a broadcast zone join this repartition is already satisfied and dropped
         denorm = gold.hour_denorm(cells, zones).repartition("p_date").persist(StorageLevel.MEMORY_AND_DISK)
         # a cell whose sum the contract's type cannot hold is set aside, exact, and stops nothing
-        named, beyond = denorm.where(gold.fits()), denorm.where(~gold.fits())
-        overwrite_partitions(named, lake, "hour_denorm")
-        overwrite_partitions(beyond, lake, "overflow")
-        # dynamic overwrite leaves the folder of a date that has no rows any more:
+        write(denorm.where(gold.fits()), "hour_denorm")
+        write(denorm.where(~gold.fits()), "overflow")
         # each table loses the dates its own result lacks (no cells, or none with a zone)
         held = {r[0] for r in cells.select("p_date").distinct().collect()}
         kinds = denorm.groupBy("p_date").agg(F.max(gold.fits()).alias("named"), F.max(~gold.fits()).alias("beyond")).collect()
         kept = {"cells": held, "day_hours": held, "hour_denorm": {r["p_date"] for r in kinds if r["named"]}, "overflow": {r["p_date"] for r in kinds if r["beyond"]}}
-        for d in dates:
-            for table, present in kept.items():
-                if d not in present:
-                    clear_partition(spark, lake, table, f"p_date={d.isoformat()}")
         denorm.unpersist()
+        unpublished()
+        publish.publish(spark, lake.published, gold_paths(lake), version, dates, kept)
     finally:
         cells.unpersist()
 

@@ -28,7 +28,7 @@ from tidemark.streaming.batch import InjectedFailure, counted, file_cells_of, fi
 #: Tables that a replay replaces by leaf, with the depth of a leaf.
 LEAVES = {"silver": "p_date=*/source_file=*", "file_cells": "p_date=*/source_file=*", "quarantine": "source_file=*", "bronze": "source_file=*"}
 #: Points where a stop can be injected: after each write.
-POINTS = ("staged", "intent", "first_leaf", "leaves", "stale", "silver", "gold", "serving", "cleared")
+POINTS = ("staged", "intent", "first_leaf", "leaves", "stale", "silver", "unpublished", "gold", "serving", "cleared")
 
 
 def _leaf_dirs(table: DataFrame, files: list[str]) -> list[tuple[str, str]]:
@@ -111,7 +111,7 @@ def carry_out(spark: SparkSession, lake: Lake, zones: DataFrame, intent: str, fa
     _stop(fail_at, "stale")
     stamp(names, lake, "silver", record["batch_id"])
     _stop(fail_at, "silver")
-    rebuild_gold(spark, lake, zones, [_dt.date.fromisoformat(d) for d in record["dates"]])
+    rebuild_gold(spark, lake, zones, [_dt.date.fromisoformat(d) for d in record["dates"]], lambda: _stop(fail_at, "unpublished"))
     stamp(names, lake, "gold", record["batch_id"])
     _stop(fail_at, "gold")
     refresh_serving(spark, lake)
