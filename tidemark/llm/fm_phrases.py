@@ -34,7 +34,7 @@ from tidemark.llm import common as C
 SPACE, STOP = b" \t", b".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
 #: Bytes of text of a shard, and words of the corpus for each bucket.
-SHARD_BYTES, BUCKET_WORDS = 16_000_000, 1_000_000
+SHARD_BYTES, BUCKET_WORDS = 8_000_000, 1_000_000
 #: 2**BITMAP bits tell which phrases may be frequent.
 BITMAP = 26
 
