@@ -4,7 +4,8 @@ A page becomes a list of text blocks with the open elements around each. A linea
 and id words, link share, length and punctuation gives each block a cost for either label (a capacity from the source or
 to the sink); blocks that follow each other, and more so those of one parent, are joined by smoothness edges. The minimum
 cut separates content from boilerplate. Blocks whose own capacity exceeds all their edges together take their side at
-once, exactly; augmenting paths settle the rest.
+once, exactly; a maximum flow by blocking flows settles the rest. Parsing takes time about linear in the page, however
+many elements stay open.
 
 Defined cases: null or empty html, or html without text, gives an empty text; broken markup never raises (unclosed
 comments, tags and elements of raw text, as scripts, reach to the end; of other unseen elements, as svg or button, only
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left, bisect_right
 from collections import deque
 from dataclasses import dataclass
 
@@ -24,16 +26,26 @@ from pyspark.sql import DataFrame
 from tidemark.llm import common as C
 
 #: Elements of raw text, whose content is never text of the page, reach to their end tag or the end of the page.
+#: A `>` within a quoted attribute value ends no tag; a quote that is never closed is an ordinary character.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|iframe|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|title|iframe|textarea)(?=[\s/>])" + _INSIDE + r">.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
+    r"|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(" + _INSIDE + r")(?:>|\Z)",
     re.S | re.I,
 )
+#: A numeric reference of more digits than any character has.
+_LONG_REFERENCE = re.compile(r"&#(?=[0-9]{20})0*+([0-9]*+)")
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements whose whole content is not text of the page either, from their start tag to their own end tag.
 _UNSEEN = frozenset("noscript template svg math object select button canvas audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SCOPE = frozenset("article aside body div fieldset footer form header html main nav section table td th blockquote".split())
+#: What a start tag closes reaches down to one of these that is still open (cells of a table: to one that is no cell).
+_LISTS = frozenset("ul ol dl".split())
+_CELLS = frozenset("td th".split())
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_TABLE = frozenset("tr td th".split())
+_BLOCK_CLOSES = frozenset(["p"])
 #: Costs by element and by words in class, id and role; positive speaks for content.
 _BY_NAME = {"article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -8.0, "form": -9.0, "menu": -8.0, "dialog": -8.0, "fieldset": -6.0, "head": -9.0}
 _BY_WORD = {
@@ -42,6 +54,7 @@ _BY_WORD = {
     **dict.fromkeys("cookie cookies consent notice popup modal newsletter subscribe subscription signup login".split(), -9.0),
     **dict.fromkeys("comment comments reply replies disqus respond discussion".split(), -9.0),
     **dict.fromkeys("share sharing social related recommended widget copyright legal disclaimer search form tags".split(), -7.0),
+    **dict.fromkeys("werbung anzeige anzeigen publicidad publicite pubblicita reklama reclame kommentare comentarios commentaires commenti".split(), -9.0),
     **dict.fromkeys("content article post entry story main body text".split(), 2.0),
 }
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -52,11 +65,17 @@ _UNDISPLAYED = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hid
 #: Words behind one of these in a class name, and words before one of those at its end, tell of the page or of a state.
 _ABOUT = frozenset("has have no not without with hide hides show shows is".split())
 _STATES = frozenset("open opened closed active visible shown enabled disabled collapsed expanded accepted fixed sticky on off layout".split())
+#: Words that only say what kind of box it is, so that the word before tells what is in it.
+_BOXES = frozenset("area bar block body box btn button buttons card cell col column container content field group header headline holder icon icons inner input item items layer left link links list label outer overlay panel placeholder posts rail region right row section slot stories text title top unit wrap wrapper zone bottom middle center".split())
+#: In an article, a word before another that is no box ("related-work", "search-engines") says little: a part of its cost.
+QUALIFIES = 0.3
 #: What still counts against an article inside: comments and teasers are often marked up as articles.
 _STAYS_BY_NAME = frozenset("nav footer aside menu dialog".split())
 _STAYS_BY_WORD = frozenset("comment comments reply replies disqus respond discussion related recommended".split())
 #: Smoothness between neighbours: under one parent, else.
 SAME_PARENT, NEXT = 1.5, 0.4
+#: Capacities up to this are used up.
+EPSILON = 1e-9
 
 
 @dataclass
@@ -69,13 +88,17 @@ class Block:
     in_article: bool
 
 
-def _class_words(value: str) -> set[str]:
-    """Words of a class, id or role that tell what the element itself is."""
-    out = set()
+def _class_words(value: str) -> dict[str, bool]:
+    """Words of a class, id or role that tell what the element itself is, and whether they name it or qualify another word."""
+    out: dict[str, bool] = {}
     for token in value.split():
         words = _WORDS.findall(token)
         if words and words[-1] not in _STATES:
-            out.update(words[: next((i for i, w in enumerate(words) if w in _ABOUT), len(words))])
+            words = words[: next((i for i, w in enumerate(words) if w in _ABOUT), len(words))]
+            names = True
+            for w in reversed(words):
+                out[w] = names or out.get(w, False)
+                names = names and (w in _BOXES or _BY_WORD.get(w, 0.0) < 0)
     return out
 
 
@@ -97,22 +120,32 @@ def _hint(name: str, attrs: str, in_article: bool) -> tuple[float, float]:
     if name == "header" and not in_article:
         score -= 8.0
     if attrs:
-        words = {w for m in _ATTR.finditer(attrs) for w in _class_words(m[1].lower().strip("\"'"))}
-        found = [_BY_WORD[w] for w in words if w in _BY_WORD]
+        words: dict[str, bool] = {}
+        for m in _ATTR.finditer(attrs):
+            for w, names in _class_words(m[1].lower().strip("\"'")).items():
+                words[w] = names or words.get(w, False)
+        found = [_BY_WORD[w] * (1.0 if names or not in_article else QUALIFIES) for w, names in words.items() if w in _BY_WORD]
         if found and name not in ("html", "body"):
             score += min(found) if min(found) < 0 else max(found)
-            if words & _STAYS_BY_WORD:
+            if words.keys() & _STAYS_BY_WORD:
                 stays += min(found)
         if _hidden(attrs):
             score -= 9.0
     return score, stays
 
 
+def _capped(m: re.Match) -> str:
+    return f"&#{m[1] or 0 if len(m[1]) < 8 else 9999999}"
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; white space inside a block is one space."""
     out: list[Block] = []
     # name, summed hint, number, within an article, what there was before an unseen element, what stays of the hint
     stack: list[tuple[str, float, int, bool, tuple | None, float]] = [("", 0.0, 0, False, None, 0.0)]
+    # places in the stack, ascending: by name, of block elements, of scopes, of what stops a search (with and without cells)
+    at_name: dict[str, list[int]] = {}
+    at_block, at_scope, at_stop, at_hard = [0], [0], [0], [0]
     parts: list[str] = []
     number = linked = links = 0
     at = 0
@@ -120,17 +153,22 @@ def blocks(page: str) -> list[Block]:
     def end() -> None:
         nonlocal linked, parts
         if parts:
-            text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", entities.unescape(_LONG_REFERENCE.sub(_capped, "".join(parts)))).strip()
             if text:
-                own = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _BLOCKS), 0)
+                own = at_block[-1]
                 out.append(Block(text, stack[own][0], stack[max(0, own - 1)][2], stack[own][1], linked, stack[own][3]))
             parts = []
         linked = 0
 
     def pop(i: int) -> None:
         nonlocal links
-        links -= sum(x[0] == "a" for x in stack[i:])
+        for x in stack[i:]:
+            links -= x[0] == "a"
+            places = at_name[x[0]]
+            del places[bisect_left(places, i) :]
         del stack[i:]
+        for places in (at_block, at_scope, at_stop, at_hard):
+            del places[bisect_left(places, i) :]
 
     for m in _MARKUP.finditer(page):
         if m.start() > at:
@@ -148,23 +186,20 @@ def blocks(page: str) -> list[Block]:
         elif name == "br":
             parts.append(" ")
         if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    before = stack[i][4]
-                    pop(i)
-                    if before:  # its content goes
-                        n_blocks, parts, n_parts, linked = before
-                        del out[n_blocks:], parts[n_parts:]
-                    break
-                if stack[i][0] in _SCOPE and name not in _BLOCKS and name not in _UNSEEN:
-                    break
+            i = at_name[name][-1] if at_name.get(name) else 0
+            if i and (name in _BLOCKS or name in _UNSEEN or i > at_scope[-1]):
+                before = stack[i][4]
+                pop(i)
+                if before:  # its content goes
+                    n_blocks, parts, n_parts, linked = before
+                    del out[n_blocks:], parts[n_parts:]
         elif name not in _VOID:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in _CLOSES.get(name, {"p"} if name in _BLOCKS else ()):
-                    pop(i)
-                    break
-                if stack[i][0] in _SCOPE or stack[i][0] in _UNSEEN or stack[i][0] in ("ul", "ol", "dl"):
-                    break
+            closes = _CLOSES.get(name, _BLOCK_CLOSES if name in _BLOCKS else ())
+            if closes:
+                stop = (at_hard if name in _TABLE else at_stop)[-1]
+                first = [places[j] for c in closes if (places := at_name.get(c)) and (j := bisect_right(places, stop)) < len(places)]
+                if first:
+                    pop(min(first))
             if m[4].endswith("/"):
                 continue
             number += 1
@@ -175,6 +210,16 @@ def blocks(page: str) -> list[Block]:
             if name == "main" or (name == "article" and not top[3]):  # what wraps the whole page says nothing of its text
                 kept = 0.0 if name == "main" else kept
                 above = max(above, kept)
+            here = len(stack)
+            at_name.setdefault(name, []).append(here)
+            if name in _BLOCKS:
+                at_block.append(here)
+            if name in _SCOPE:
+                at_scope.append(here)
+            if name in _SCOPE or name in _UNSEEN or name in _LISTS:
+                at_stop.append(here)
+                if name not in _CELLS:
+                    at_hard.append(here)
             stack.append((name, above + hint, number, top[3] or name in ("article", "main"), before, kept + stays))
             links += name == "a"
     if at < len(page):
@@ -223,33 +268,69 @@ def min_cut(score: list[float], edges: list[tuple[int, int, float]]) -> list[boo
     rest = [i for i in range(n) if label[i] is None]
     if not rest:
         return [bool(x) for x in label]
-    cap: dict[int, dict[int, float]] = {i: dict(near[i]) for i in rest}
-    source, sink = n, n + 1
-    cap[source] = {i: score[i] for i in rest if score[i] > 0}
-    cap[sink] = {}
+    return _cut_rest(score, near, rest, label)
+
+
+def _cut_rest(score: list[float], near: list[dict[int, float]], rest: list[int], label: list[bool | None]) -> list[bool]:
+    """The nodes without a label by maximum flow: blocking flows over the levels of a breadth-first search."""
+    place = {i: k for k, i in enumerate(rest)}
+    source, sink = len(rest), len(rest) + 1
+    arcs: list[list[int]] = [[] for _ in range(len(rest) + 2)]
+    to: list[int] = []
+    cap: list[float] = []
+
+    def join(a: int, b: int, forth: float, back: float) -> None:
+        arcs[a].append(len(to))
+        arcs[b].append(len(to) + 1)
+        to.extend((b, a))
+        cap.extend((forth, back))
+
     for i in rest:
-        if score[i] < 0:
-            cap[i][sink] = -score[i]
+        k = place[i]
+        if score[i] > 0:
+            join(source, k, score[i], 0.0)
+        elif score[i] < 0:
+            join(k, sink, -score[i], 0.0)
+        for j, w in near[i].items():
+            if j > i:
+                join(k, place[j], w, w)
     while True:
-        come = {source: source}
+        level = [-1] * len(arcs)
+        level[source] = 0
         queue = deque([source])
-        while queue and sink not in come:
+        while queue:
             i = queue.popleft()
-            for j, c in cap[i].items():
-                if c > 1e-9 and j not in come:
-                    come[j] = i
-                    queue.append(j)
-        if sink not in come:
+            for e in arcs[i]:
+                if cap[e] > EPSILON and level[to[e]] < 0:
+                    level[to[e]] = level[i] + 1
+                    queue.append(to[e])
+        if level[sink] < 0:
             break
-        path, j = [], sink
-        while j != source:
-            path.append((come[j], j))
-            j = come[j]
-        flow = min(cap[a][b] for a, b in path)
-        for a, b in path:
-            cap[a][b] -= flow
-            cap[b][a] = cap[b].get(a, 0.0) + flow
-    return [bool(x) if x is not None else i in come for i, x in enumerate(label)]
+        left = [0] * len(arcs)  # arcs of a node before this one lead nowhere in this round
+        path: list[int] = []
+        i = source
+        while True:
+            if i == sink:
+                flow = min(cap[e] for e in path)
+                for e in path:
+                    cap[e] -= flow
+                    cap[e ^ 1] += flow
+                full = next(k for k, e in enumerate(path) if cap[e] <= EPSILON)
+                i = to[path[full] ^ 1]
+                del path[full:]
+            for k in range(left[i], len(arcs[i])):
+                e = arcs[i][k]
+                if cap[e] > EPSILON and level[to[e]] == level[i] + 1:
+                    left[i] = k
+                    path.append(e)
+                    i = to[e]
+                    break
+            else:
+                if not path:
+                    break
+                level[i] = -1
+                i = to[path.pop() ^ 1]
+    return [bool(x) if x is not None else level[place[i]] >= 0 for i, x in enumerate(label)]
 
 
 def main_text(page: str | None) -> str:
