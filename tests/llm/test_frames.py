@@ -171,6 +171,46 @@ def test_vectors(spark):
     assert hnsw_search.nearest(none, none).count() == 0 and pca_dedup.near_duplicates(none).count() == 0
 
 
+def _brute(vectors, k, least):
+    """Per query (id divisible by 20) its k nearest, and per id its links and component; by plain loops over equal lengths."""
+    ok = [(i, np.array(x)) for i, x in vectors]
+    near = {i: sorted(((-float((x * y).sum()), j) for j, y in ok if j != i and len(x) == len(y)))[:k] for i, x in ok if i % 20 == 0}
+    up = {i: i for i, _ in ok}
+
+    def root(i):
+        return i if up[i] == i else root(up[i])
+
+    links = dict.fromkeys(up, 0)
+    for i, x in ok:
+        for j, y in ok:
+            if j > i and len(x) == len(y) and float((x * y).sum()) >= least * np.sqrt((x * x).sum() * (y * y).sum()):
+                links[i], links[j] = links[i] + 1, links[j] + 1
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    return near, {i: (links[i], root(i)) for i in up}
+
+
+@pytest.mark.parametrize("shard, tile", [(8192, 4096), (64, 32)])
+def test_vectors_of_several_lengths_and_shards_equal_brute_force(spark, monkeypatch, shard, tile):
+    monkeypatch.setattr(hnsw_search, "SHARD", shard)
+    monkeypatch.setattr(pca_dedup, "TILE", tile)
+    r = np.random.default_rng(5)
+    centres = {d: r.normal(size=(12, d)) for d in (8, 16, 3)}
+    rows = [(i, (centres[d][r.integers(12)] + 0.1 * r.normal(size=d)).round(3).tolist()) for i, d in enumerate(r.choice([8, 16, 3], 420, p=[0.6, 0.37, 0.03]).tolist())]
+    v = spark.createDataFrame([*rows, (1000, None), (1020, []), (1040, [0.0] * 8)], "vec_id long, embedding array<double>")
+    near, comps = _brute(rows, 20, 0.95)
+    got: dict = {}
+    for x in hnsw_search.nearest(v, v.where("vec_id % 20 = 0"), k=20).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    assert got.keys() == near.keys()
+    hit = sum(len({j for _, j in near[q]} & {j for _, j, _ in got[q]}) for q in near)
+    assert hit >= 0.97 * sum(map(len, near.values()))
+    for q, found in got.items():
+        assert [n for n, _, _ in found] == list(range(1, len(near[q]) + 1)) and [(-s, j) for _, j, s in found] == sorted((-s, j) for _, j, s in found)
+    out = {x.vec_id: (x.n_links, x.component_id) for x in pca_dedup.near_duplicates(v).collect()}
+    assert {i: out[i] for i in comps} == comps and out[1000] == (0, 1000) and out[1020] == (0, 1020) and out[1040] == (0, 1040)
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>Some text here.</p>"), (2, "u", "")], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in mincut_html.extract(pages).collect()) == [(0, "Some text here.", 15), (1, "", 0), (2, "", 0)]

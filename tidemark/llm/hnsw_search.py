@@ -9,7 +9,8 @@ the best of all shards.
 
 Recall against brute force is measured in tests. Defined cases: vectors null, empty of numbers, zero, or with a null or
 non-finite component neither ask nor are found; fewer candidates than k give all; ties go to the smaller id; repeated rows
-of one id are found once; further columns are ignored.
+of one id are found once; vectors of another length than the query's have no inner product with it and are not found (a
+shard holds vectors of one length); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -190,6 +191,10 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return C.map_arrow(rows, packed, "id long, v binary")
 
 
+def _dims():
+    return (F.length("v") / 8).cast("int")
+
+
 def _build(table: pa.Table) -> pa.Table:
     table = table.sort_by("first")
     x = _vectors(table["v"], table.num_rows)
@@ -228,9 +233,10 @@ def index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str =
     rows = valid(vectors, id_col, vector_col).distinct()
     few = rows.withColumn("place", F.row_number().over(W.partitionBy("v").orderBy("id"))).where(F.col("place") <= k + 1)
     entries = C.cut(few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")))
-    shards = max(1, -(-entries.count() // SHARD))
-    placed = entries.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")).withColumn("first", F.col("ids")[0])
-    built = placed.groupBy("shard").applyInArrow(_build, "shard int, ids array<array<long>>, vectors binary, dims int, counts binary, neighbours binary, upper binary, entry int, top int")
+    entries = entries.withColumn("dims", _dims())
+    shards = entries.groupBy("dims").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))  # a row for each length
+    placed = entries.join(shards, "dims").withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")).withColumn("first", F.col("ids")[0])
+    built = placed.groupBy("dims", "shard").applyInArrow(_build, "shard int, ids array<array<long>>, vectors binary, dims int, counts binary, neighbours binary, upper binary, entry int, top int")
     return C.cut(built)
 
 
@@ -241,9 +247,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     asked = C.cut(valid(queries, id_col, vector_col).distinct())
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    shards = graphs.select("shard").count()
-    sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(max(0, shards - 1)))).alias("at"), "block", "id", "v")
+    last = graphs.groupBy("dims").agg(F.max("shard").alias("last"))
+    sent = asked.withColumn("dims", _dims()).join(last, "dims").select("dims", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"), "block", "id", "v")
     held = graphs.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = held.groupBy("shard", "b").cogroup(sent.groupBy("at", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
+    found = held.groupBy("dims", "shard", "b").cogroup(sent.groupBy("dims", "at", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
     best = found.distinct().withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,12 +8,13 @@ cut into tiles. Two tiles are compared in runs of dimensions: what is
 accumulated plus the product of the suffix norms bounds the cosine, and a pair that can no longer reach the threshold is
 left. Survivors are decided in double precision on the original vectors.
 
-Equal vectors (after scaling) are one entry with a multiplicity, so copies cost nothing. A tile pair gives counts of links
+Equal vectors are one entry with a multiplicity, so copies cost nothing. A tile pair gives counts of links
 a vector, and a spanning forest of the links, never the pairs.
 
 Defined cases: vectors null, empty, zero, or with a null or non-finite component link with nothing and stay as
 components of their own; repeated rows of one id count as further vectors; a null id never names a component that has
-others; further columns are ignored.
+others; vectors of different lengths have no cosine and never link, each length has axes of its own; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -34,31 +35,55 @@ def _unpack(batch_column, n: int, kind=np.float64) -> np.ndarray:
     return np.frombuffer(b"".join(batch_column.to_pylist()), kind).reshape(n, -1)
 
 
-def _moments(batches):
-    total = None
-    for b in batches:
-        if b.num_rows:
-            x = _unpack(b.column(0), b.num_rows)
-            w = np.concatenate([np.ones((len(x), 1)), x / np.sqrt((x**2).sum(1))[:, None]], 1)
-            total = w.T @ w if total is None else total + w.T @ w
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+def _moments(lengths: list[int]):
+    """Per task and length: the matrix of sums of products of (1, unit vector)."""
 
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            dims = b.column(0).to_numpy(zero_copy_only=False)
+            for d in lengths:
+                own = b.column(1).filter(pa.array(dims == d))
+                if len(own):
+                    x = _unpack(own, len(own))
+                    w = np.concatenate([np.ones((len(x), 1)), x / np.sqrt((x**2).sum(1))[:, None]], 1)
+                    total[d] = w.T @ w + total.get(d, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([m.tobytes() for m in total.values()], pa.binary())], names=["dims", "m"])
+
+    return run
+
+
+def _added(key, rows):
+    total = sum(np.frombuffer(m) for m in rows["m"].to_pylist())
+    return pa.table({"dims": pa.array([key[0].as_py()], pa.int32()), "m": pa.array([total.tobytes()], pa.binary())})
 
-def axes(entries: DataFrame) -> tuple[np.ndarray, np.ndarray, int] | None:
-    """Principal axes (columns, leading first) of all unit vectors, deviations along them, and how many there are.
 
-    One matrix of dims squared numbers a task is added up.
+def axes(entries: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
+    """By length: principal axes (columns, leading first) of all unit vectors, deviations along them, and how many there are.
+
+    Only lengths of more vectors than a tile holds have axes; the others are compared as they are, in one tile. The
+    matrices, of dims squared numbers a task, are added up on the executors; one a length comes back.
     """
-    parts = entries.select("v").mapInArrow(_moments, "m binary").collect()  # dims^2 numbers a task
-    if not parts:
-        return None
-    total = sum(np.frombuffer(bytes(p[0])) for p in parts)
-    d = int(round(np.sqrt(len(total))))
-    total = total.reshape(d, d)
-    mean = total[0, 1:] / total[0, 0]
-    spread, turn = np.linalg.eigh(total[1:, 1:] / total[0, 0] - np.outer(mean, mean))
-    return turn[:, ::-1].copy(), np.sqrt(np.maximum(0, spread[::-1])), int(total[0, 0])
+    lengths = [r["dims"] for r in entries.groupBy("dims").count().where(F.col("count") > TILE).collect()]
+    if not lengths:
+        return {}
+    parts = entries.select("dims", "v").mapInArrow(_moments(lengths), "dims int, m binary").groupBy("dims").applyInArrow(_added, "dims int, m binary")
+    out = {}
+    for part in parts.collect():
+        d = part["dims"] + 1
+        total = np.frombuffer(bytes(part["m"])).reshape(d, d)
+        mean = total[0, 1:] / total[0, 0]
+        spread, turn = np.linalg.eigh(total[1:, 1:] / total[0, 0] - np.outer(mean, mean))
+        out[part["dims"]] = turn[:, ::-1].copy(), np.sqrt(np.maximum(0, spread[::-1])), int(total[0, 0])
+    return out
+
+
+def _used(spread: np.ndarray, n: int, width: float) -> int:
+    """How many axes make cells: those of more than three cells, as many as leave about a tile's neighbours."""
+    cells_by_axis = np.maximum(1.0, 4 * spread / width)
+    # an axis of three cells or fewer has only neighbours: it would cut tiles small and leave no pair out
+    telling = int(np.argmin(np.append(cells_by_axis > 3, False)))
+    return min(telling, 8, 1 + int(np.searchsorted(np.cumprod(cells_by_axis / 3), n / TILE)))
 
 
 def compare(a: np.ndarray, b: np.ndarray, exact_a: np.ndarray, exact_b: np.ndarray, least: float, same: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -87,18 +112,25 @@ def compare(a: np.ndarray, b: np.ndarray, exact_a: np.ndarray, exact_b: np.ndarr
     return i[ok], j[ok]
 
 
-def _tile_pair(turn: np.ndarray, least: float):
+def _tile_pair(turns: dict[int, np.ndarray], least: float):
+    """Links of two tiles, whose vectors are of one length."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         node, links, to = [], [], []
         for r in left.to_pylist():
-            ids_a, x = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vs"]).reshape(-1, len(turn))
+            ids_a = np.frombuffer(r["ids"], np.int64)
+            x = np.frombuffer(r["vs"]).reshape(len(ids_a), -1)
             for s in right.to_pylist():
                 if s["pair2"] != r["pair"]:
                     continue
                 same = s["tile2"] == r["tile"]
-                ids_b, y = np.frombuffer(s["ids2"], np.int64), np.frombuffer(s["vs2"]).reshape(-1, len(turn))
+                ids_b = np.frombuffer(s["ids2"], np.int64)
+                y = np.frombuffer(s["vs2"]).reshape(len(ids_b), -1)
                 many_a, many_b = np.frombuffer(r["many"], np.int64), np.frombuffer(s["many2"], np.int64)
-                p, q = ((z / np.sqrt((z**2).sum(1))[:, None]) @ turn for z in (x, y))
+                p, q = (z / np.sqrt((z**2).sum(1))[:, None] for z in (x, y))
+                turn = turns.get(x.shape[1])
+                if turn is not None:
+                    p, q = p @ turn, q @ turn
                 p, q = p.astype(np.float32), q.astype(np.float32)
                 got = [(i0, *compare(p[i0 : i0 + ROWS], q, x[i0 : i0 + ROWS], y, least, i0 if same else -1)) for i0 in range(0, len(x), ROWS)]
                 i, j = np.concatenate([i0 + i for i0, i, _ in got]), np.concatenate([j for _, _, j in got])
@@ -142,26 +174,26 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     numbered = C.cut(everything.withColumn("row", F.monotonically_increasing_id()))
     good = valid(numbered, "row", "embedding").withColumnRenamed("id", "row")
     good = C.cut(good.withColumn("node", F.xxhash64("v")))
-    entries = C.cut(good.groupBy("node").agg(F.count("*").alias("many"), F.min("v").alias("v")))
+    entries = C.cut(good.groupBy("node").agg(F.count("*").alias("many"), F.min("v").alias("v")).withColumn("dims", (F.length("v") / 8).cast("int")))
     found = axes(entries)
     alone = numbered.select("row", "vec_id")
-    if found is None:
-        return alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     width = float(np.sqrt(2 * (1 - least))) + 1e-6
-    turn, spread, n = found
-    cells_by_axis = np.maximum(1.0, 4 * spread / width)
-    # an axis of three cells or fewer has only neighbours: it would cut tiles small and leave no pair out
-    telling = int(np.argmin(np.append(cells_by_axis > 3, False)))
-    used = min(telling, 8, 1 + int(np.searchsorted(np.cumprod(cells_by_axis / 3), n / TILE)))
-    if not used:
-        used, width = 1, np.inf
+    turns = {d: turn for d, (turn, _, _) in found.items()}
+    cutting = {d: k for d, (_, spread, n) in found.items() if (k := _used(spread, n, width))}
+    used = max(cutting.values(), default=0)
 
     def celled(batch: pa.RecordBatch) -> dict:
-        x = _unpack(batch.column(2), batch.num_rows)
-        p = (x / np.sqrt((x**2).sum(1))[:, None]) @ turn[:, :used]
-        return {"node": batch.column(0), "many": batch.column(1), "v": batch.column(2), "cell": np.floor(p / width).astype(int).tolist()}
-
-    cells = C.map_arrow(entries.select("node", "many", "v"), celled, "node long, many long, v binary, cell array<int>")
+        dims = batch.column(3).to_numpy(zero_copy_only=False)
+        cell = np.zeros((len(dims), 1 + used), int)  # of the length, then along its axes
+        cell[:, 0] = dims
+        for d, k in cutting.items():
+            own = np.flatnonzero(dims == d)
+            if len(own):
+                x = _unpack(batch.column(2).take(pa.array(own)), len(own))
+                cell[own, 1 : 1 + k] = np.floor((x / np.sqrt((x**2).sum(1))[:, None]) @ turns[d][:, :k] / width).astype(int)
+        return {"node": batch.column(0), "many": batch.column(1), "v": batch.column(2), "cell": cell.tolist()}
+
+    cells = C.map_arrow(entries.select("node", "many", "v", "dims"), celled, "node long, many long, v binary, cell array<int>")
     cells = C.cut(cells)
     loads = cells.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = cells.join(loads, "cell").withColumn("t", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")).cast("int"))
@@ -170,7 +202,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
         return pa.table({"cell": pa.array([key[0].as_py()], pa.list_(pa.int32())), "t": pa.array([key[1].as_py()], pa.int32()), "ids": pa.array([batch["node"].to_numpy().tobytes()], pa.binary()), "many": pa.array([batch["many"].to_numpy().tobytes()], pa.binary()), "vs": pa.array([b"".join(batch["v"].to_pylist())], pa.binary())})
 
     tiles = C.cut(tiled.groupBy("cell", "t").applyInArrow(packed, "cell array<int>, t int, ids binary, many binary, vs binary").withColumn("tile", F.xxhash64("cell", "t")))
-    steps = np.stack(np.meshgrid(*[[-1, 0, 1]] * used, indexing="ij"), -1).reshape(-1, used)
+    steps = np.stack(np.meshgrid([0], *[[-1, 0, 1]] * used, indexing="ij"), -1).reshape(-1, 1 + used)
     moves = F.array(*(F.array(*(F.lit(int(v)) for v in s)) for s in steps))
     names = tiles.select("cell", "tile")
     around = names.select("tile", F.explode(F.transform(moves, lambda s: F.zip_with(F.col("cell"), s, lambda a, b: a + b))).alias("cell"))
@@ -179,7 +211,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     body = tiles.select("tile", "ids", "many", "vs")
     left = pairs.select("tile", "pair").join(body, "tile").select(F.col("pair").alias("at"), "pair", "tile", "ids", "many", "vs")
     right = pairs.select(F.col("other").alias("tile"), "pair").join(body, "tile").select(*(F.col(c).alias(f"{c}2") for c in ("pair", "tile", "ids", "many", "vs")))
-    found = C.cut(left.groupBy("at").cogroup(right.groupBy("pair2")).applyInArrow(_tile_pair(turn, least), "node long, links long, linked long"))
+    found = C.cut(left.groupBy("at").cogroup(right.groupBy("pair2")).applyInArrow(_tile_pair(turns, least), "node long, links long, linked long"))
 
     links = found.where("linked is null").groupBy("node").agg(F.sum("links").alias("links"))
     comps = C.components(found.where("linked is not null").select("node", "linked"))
