@@ -12,11 +12,12 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold, ledger, serving
-from tidemark.sinks import publish
+from tidemark.operators import audit, gold, ledger, serving
+from tidemark.sinks import catalog, publish
 from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
+from tidemark.streaming.batch import pending_dates
 from tidemark.streaming.ingest import TickReport, replay_files, run_ingest, start_ingest
 
 
@@ -164,6 +165,21 @@ def reconcile_df(spark: SparkSession, root: str, zones) -> DataFrame:
     return gold.reconcile(read_table(spark, Lake(root), "cells"), _zones(spark, zones))
 
 
+def audit_df(spark: SparkSession, root: str, zones, dates=None) -> DataFrame:
+    """Per step and date: does each stored table, silver to serving, hold what the one before it gives?
+
+    ``pending`` marks dates that a run noted and has not finished: there a step may be behind.
+    """
+    lake = Lake(root)
+    noted = sorted(pending_dates(spark, lake))
+    return audit.chain(spark, lake, _zones(spark, zones), dates).withColumn("pending", F.coalesce(F.col("date").isin(noted), F.lit(bool(noted))))
+
+
+def external_table(spark: SparkSession, root: str, table: str) -> None:
+    """Create the silver folder's table in the session's catalog, or bring its partitions up to date."""
+    catalog.silver_table(spark, Lake(root), table)
+
+
 def quarantine_df(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, Lake(root), "quarantine")
 

@@ -110,10 +110,10 @@ def table_path(lake: Lake, name: str) -> str:
     return getattr(lake, name)
 
 
-def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """Read a lake table with its fixed schema (works on an empty table too); a gold table as published."""
+def read_table(spark: SparkSession, lake: Lake, name: str, pointer: dict | None = None) -> DataFrame:
+    """Read a lake table with its fixed schema (works on an empty table too); a gold table as published (by ``pointer``)."""
     schema, _ = TABLES[name]
-    if name in publish.GOLD and (pointer := publish.current(spark, lake.published)) is not None:
+    if name in publish.GOLD and (pointer := pointer or publish.current(spark, lake.published)) is not None:
         return _read_published(spark, lake, name, pointer)
     path = serving_version(spark, lake) if name == "serving" else None
     return spark.read.schema(schema).parquet(path or table_path(lake, name))
