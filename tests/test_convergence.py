@@ -35,6 +35,18 @@ def test_stopped_replay_is_finished_by_a_plain_tick(spark, landing, root, zones_
     assert {r.status for r in api.ledger_status_df(spark, root).collect()} == ({"bronze", "done"} if point == "staged" else {"done"})
 
 
+@pytest.mark.parametrize("name", ["a b", "a+b", "50%", "a%20b", "é=1", "it's"])
+def test_replay_of_files_with_awkward_names(spark, landing, root, zones_csv, name):
+    path = write_day(landing, "x", [trip("2022-02-01 06:00:00", 10.0)]).rename(landing / f"{name}.parquet")
+    api.run_etl(spark, str(landing), root, zones_csv, bronze=True)
+    assert {r.source_file for r in read_table(spark, Lake(root), "silver").collect()} == {path.name}
+    write_day(landing, "x", [trip("2022-02-02 06:00:00", 1.0)]).rename(path)
+    api.replay(spark, root, [str(path)], zones_csv)
+    assert api.cumulative_revenue(spark, root, 6) == 1.0
+    assert [r.source_file for t in ("silver", "bronze") for r in read_table(spark, Lake(root), t).collect()] == [path.name] * 2
+    assert api.run_etl(spark, str(landing), root, zones_csv).n_batches == 0
+
+
 def test_replay_of_an_unreadable_file_changes_nothing(spark, landing, root, zones_csv):
     path = write_day(landing, "a", [trip("2022-02-01 06:00:00", 10.0)])
     api.run_etl(spark, str(landing), root, zones_csv)

@@ -92,6 +92,11 @@ def ntz(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def plain_path(name: str) -> Column:
+    """A path or file name of ``_metadata``, which is percent-encoded, as the file system has it."""
+    return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
+
+
 def file_date(name: Column) -> Column:
     """Day encoded in a landing file name such as ``2019-01-01.parquet``."""
     return F.try_to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import plain_path
 from tidemark.operators import silver as silver_op
 from tidemark.schemas import BRONZE, RAW_TRIPS, TRIP_COLUMNS, TYPED
 from tidemark.sinks import fs
@@ -26,7 +27,7 @@ _LISTED = T.StructType([T.StructField("path", T.StringType()), T.StructField("mo
 
 def _with_source(df: DataFrame) -> DataFrame:
     """Add the file identity: the base name of the file a row came from."""
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    return df.withColumn("source_file", plain_path("_metadata.file_name"))
 
 
 def read_trip_files(spark: SparkSession, paths: list[str]) -> DataFrame:

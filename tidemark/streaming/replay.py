@@ -20,6 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import plain_path
 from tidemark.operators import silver as silver_op
 from tidemark.sinks import fs
 from tidemark.sinks.lake import Lake, overwrite_partitions, read_table, table_path
@@ -32,9 +33,8 @@ POINTS = ("staged", "intent", "first_leaf", "leaves", "stale", "silver", "unpubl
 
 
 def _leaf_dirs(table: DataFrame, files: list[str]) -> list[tuple[str, str]]:
-    """(file, leaf folder) of the given source files. Paths come from _metadata, so no
-    escaping rules are needed. Bounded by files x days."""
-    leaf = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "").alias("leaf")
+    """(file, leaf folder) of the given source files. Bounded by files x days."""
+    leaf = F.regexp_replace(plain_path("_metadata.file_path"), "/[^/]+$", "").alias("leaf")
     return [tuple(r) for r in table.where(F.col("source_file").isin(files)).select("source_file", leaf).distinct().collect()]
 
 
