@@ -195,6 +195,10 @@ def _dims():
     return (F.length("v") / 8).cast("int")
 
 
+def _place(shard: str):
+    return F.col("dims").cast("long") * 2**31 + F.col(shard)
+
+
 def _build(table: pa.Table) -> pa.Table:
     table = table.sort_by("first")
     x = _vectors(table["v"], table.num_rows)
@@ -236,7 +240,8 @@ def index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str =
     entries = entries.withColumn("dims", _dims())
     shards = entries.groupBy("dims").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))  # a row for each length
     placed = entries.join(shards, "dims").withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")).withColumn("first", F.col("ids")[0])
-    built = placed.groupBy("dims", "shard").applyInArrow(_build, "shard int, ids array<array<long>>, vectors binary, dims int, counts binary, neighbours binary, upper binary, entry int, top int")
+    # one key, not (dims, shard): the join's partitioning by dims would do for both and put all shards in one task
+    built = placed.withColumn("place", _place("shard")).groupBy("place").applyInArrow(_build, "shard int, ids array<array<long>>, vectors binary, dims int, counts binary, neighbours binary, upper binary, entry int, top int")
     return C.cut(built)
 
 
@@ -248,8 +253,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     last = graphs.groupBy("dims").agg(F.max("shard").alias("last"))
-    sent = asked.withColumn("dims", _dims()).join(last, "dims").select("dims", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"), "block", "id", "v")
+    sent = asked.withColumn("dims", _dims()).join(last, "dims").select("dims", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"), "block", "id", "v").withColumn("place", _place("at"))
     held = graphs.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = held.groupBy("dims", "shard", "b").cogroup(sent.groupBy("dims", "at", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
+    found = held.withColumn("place", _place("shard")).groupBy("place", "b").cogroup(sent.groupBy("place", "block")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
     best = found.distinct().withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
