@@ -7,12 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_util import compare, duckdb_frame, spark_frame
-from tidemark.plans import batch, recovery, scenarios, stored
+from tidemark.plans import batch, operations, recovery, scenarios, stored
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-OWN = {**batch.QUERIES, **scenarios.QUERIES, **recovery.QUERIES, **stored.QUERIES}
+OWN = {**batch.QUERIES, **scenarios.QUERIES, **recovery.QUERIES, **stored.QUERIES, **operations.QUERIES}
 
 
 def test_every_query_has_an_oracle():

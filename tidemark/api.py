@@ -18,7 +18,9 @@ from tidemark.sinks import lake as lake_mod
 from tidemark.sinks.lake import Lake, read_dates, read_table
 from tidemark.sources.zones import as_zones, read_zones_csv
 from tidemark.streaming.batch import pending_dates
+from tidemark.streaming import retry
 from tidemark.streaming.ingest import TickReport, replay_files, run_ingest, start_ingest
+from tidemark.streaming.retry import RetryReport
 
 
 def _zones(spark: SparkSession, zones) -> DataFrame:
@@ -66,6 +68,11 @@ def replay(spark: SparkSession, root: str, paths: list[str], zones) -> dict:
     return replay_files(spark, paths, Lake(root), _zones(spark, zones))
 
 
+def retry_stuck(spark: SparkSession, root: str, landing: str, zones, **kw) -> RetryReport:
+    """Try files that got stuck or were set aside once more, between ticks (see :mod:`tidemark.streaming.retry`)."""
+    return retry.retry_stuck(spark, landing, Lake(root), _zones(spark, zones), **kw)
+
+
 def reset(spark: SparkSession, root: str) -> None:
     """Truncate every table (schemas kept) and forget which files were taken."""
     lake_mod.reset(spark, Lake(root))
