@@ -16,7 +16,8 @@ Stages (all keyed work is shuffled; nothing is collected but a fixed-size bitmap
 4. components of all confirmed links.
 
 Confirmation moves a document's text once to each bundle or block that needs it, not once a pair. A miss needs all 32 bands to
-differ: 7e-9 at a similarity of 0.85, 3e-6 at 0.8; the sketch's cut lies 4.2 standard deviations below the threshold.
+differ: 7e-9 at a similarity of 0.85, 3e-6 at 0.8; the sketch's cut lies
+SKETCH_DEVIATIONS standard deviations below the threshold, which a pair at the threshold misses about once in 40 million.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is linked with nothing; fewer than five
 words are one shingle; repeated rows are one class; a null doc_id stays in the result, never names a component that has
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common as C
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
+SKETCH_DEVIATIONS = 6
 TILE, BUNDLE, BLOCK_BYTES = 1024, 500, 4_000_000
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -254,7 +256,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     texts = C.cut(texts.join(known.select("cls", "text_key"), "text_key").groupBy("cls").agg(F.first("text").alias("text")))
 
     sd = float(np.sqrt(percent / 100 * (1 - percent / 100) / (2 * PERMUTATIONS)))
-    floor = percent / 100 - 4.2 * sd
+    floor = percent / 100 - SKETCH_DEVIATIONS * sd
     stars = members.where("cls <> pivot").select("cls", "pivot").distinct()
     stars = stars.join(sketches, "cls").join(sketches.select(F.col("cls").alias("pivot"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2")), "pivot")
     stars = stars.where(F.lit(100) * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
