@@ -123,8 +123,9 @@ def test_language_of_many_ngrams_does_not_fill_its_filter(spark, docs, monkeypat
     monkeypatch.setattr(langid, "DRIVER_BYTES", 0)
     joined = langid.train(learn)
     assert joined.table is None
-    exact = run(joined)
-    assert all(exact[i][1] == pytest.approx(found[i][1], abs=0.05) and (i == 2 or exact[i][0] == found[i][0]) for i in found)
+    assert joined.bits > langid.BITS and joined.fill().tolist() == model.fill().tolist()
+    looked_up = run(joined)
+    assert all(looked_up[i][0] == found[i][0] and looked_up[i][1] == pytest.approx(found[i][1], abs=1e-9) for i in found)
     awkward = langid.identify(docs, langid.train(docs)).collect()
     assert len(awkward) == len(TEXTS) and {x.doc_id: x.lang_pred for x in awkward}[8] == "fr"
 
@@ -136,6 +137,18 @@ def rare_labels():
     return [(text(150), "en") for _ in range(400)] + [(text(40), f"x{i:02}") for i in range(65)]
 
 
+def test_filters_looked_up_by_a_join_decide_alike(spark, docs, monkeypatch):
+    """66 languages, so two words a position; texts null, empty, without letters, repeated, and of no language."""
+    rows = rare_labels() + [("the cat sat on the mat and the dog ran off " * 3, "zz")] * 3
+    learn = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    run = lambda m: [(x.doc_id, x.lang_pred, round(x.score, 9)) for x in langid.identify(docs, m).union(langid.identify(docs.limit(0), m)).orderBy("doc_id", "lang_pred", "score").collect()]
+    table = langid.train(learn)
+    monkeypatch.setattr(langid, "DRIVER_BYTES", 0)
+    joined = langid.train(learn)
+    assert table.table.shape[1] == 2 and joined.table is None and np.array_equal(table.fill(), joined.fill())
+    assert run(table) == run(joined)
+
+
 def test_rare_labels_do_not_push_ngrams_out(spark):
     model = langid.train(spark.createDataFrame(rare_labels(), "text string, lang string"))
     names, score = langid.classify([t for t, lang in rare_labels() if lang == "en"], model)

@@ -10,8 +10,9 @@ only languages count that saw it as often, over SMOOTH n-grams more than they ha
 wrong label do not push n-grams out of the large languages. The table has SPARSE
 positions, or up to twice as many, for each n-gram of the language that has most (2**BITS at least), so a filter's fill
 stays below 1 - exp(-HASHES / SPARSE) = 0.18. A position has 1, 2, 4 or 8 bytes for up to 8, 16, 32, 64 languages, and 8
-more for each further 64. A table of more than DRIVER_BYTES is not built: the members stay a partitioned table,
-and the n-grams of the distinct texts are joined with it, which counts exactly.
+more for each further 64. A table of up to DRIVER_BYTES is sent to every task; a larger one stays a table of its occupied
+positions, partitioned by position, and the distinct n-grams of the texts are looked up by a join. Filters, correction and
+results are the same either way.
 
 Defined cases: text null or without a letter: ``und``, score 0; nothing to learn from: ``und`` throughout; equal counts:
 the language first in code point order; rows repeat as they come; further columns are ignored.
@@ -31,7 +32,7 @@ from tidemark.llm import common as C
 
 SIZES = (3, 4)
 BITS, HASHES, SPARSE = 20, 3, 16
-DRIVER_BYTES = 1 << 26
+DRIVER_BYTES, SALTS = 1 << 26, 16
 MIN_COUNT, RELATIVE, SMOOTH = 3, 0.1, 10_000
 _letters: np.ndarray | None = None
 
@@ -81,13 +82,18 @@ def _shape(languages: int, most: int) -> tuple[int, int, np.dtype]:
 
 @dataclass
 class Model:
-    """table: (positions, words) unsigned; languages in code point order, bit i of word i // 64. Or members: lang, gram."""
+    """table: (positions, words) unsigned; languages in code point order, bit i of word i // 64. Where it is too large for
+    a task, slots: slot, word, mask of the occupied positions, and filled: each language's share of the 2**bits positions."""
 
     languages: list[str]
     table: np.ndarray | None
-    members: DataFrame | None = None
+    slots: DataFrame | None = None
+    bits: int = BITS
+    filled: np.ndarray | None = None
 
     def fill(self) -> np.ndarray:
+        if self.filled is not None:
+            return self.filled
         return np.array([np.count_nonzero(self.table[:, i // 64] & self.table.dtype.type(1 << i % 64)) for i in range(len(self.languages))]) / len(self.table)
 
     @cached_property
@@ -119,17 +125,28 @@ def train(rows: DataFrame) -> Model:
     member = C.cut(shares.join(top, "gram").where((F.col("n") >= MIN_COUNT) & (F.col("share") >= RELATIVE * F.col("top"))).select("lang", "gram"))
     most = member.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
     bits, words, kind = _shape(len(languages), most)
-    if (words << bits) * kind.itemsize > DRIVER_BYTES:
-        return Model(languages, None, member)
-    table = np.zeros((1 << bits, words), kind)
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
     member = member.withColumn("b", number).select("gram", F.expr("cast(b div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("mask"))
-    slots = F.array(*(F.expr(f"((gram & 4294967295L) + {i} * (shiftrightunsigned(gram, 32) | 1L)) & {(1 << bits) - 1}L") for i in range(HASHES)))
-    masks = member.select(F.explode(slots).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    slots = member.select(F.explode(_slot_columns(bits)).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
+    if (words << bits) * kind.itemsize > DRIVER_BYTES:
+        slots = C.cut(slots)
+        full = {(r["word"], r["bit"]): r["count"] for r in slots.select("word", _set_bits("mask").alias("bit")).groupBy("word", "bit").count().collect()}  # one row a language
+        return Model(languages, None, slots, bits, np.array([full.get((i // 64, i % 64), 0) for i in range(len(languages))]) / (1 << bits))
+    table = np.zeros((1 << bits, words), kind)
+    masks = slots.toArrow()
     table[masks["slot"].to_numpy(), masks["word"].to_numpy()] = masks["mask"].to_numpy().view(np.uint64).astype(kind)
     return Model(languages, table)
 
 
+def _slot_columns(bits: int):
+    """The positions of the column gram, as in _slots."""
+    return F.array(*(F.expr(f"((gram & 4294967295L) + {i} * (shiftrightunsigned(gram, 32) | 1L)) & {(1 << bits) - 1}L") for i in range(HASHES)))
+
+
+def _set_bits(mask: str):
+    return F.explode(F.expr(f"filter(sequence(0, 63), i -> (shiftrightunsigned({mask}, i) & 1L) = 1L)"))
+
+
 def classify(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score (the corrected share of n-grams the language contains) of each text."""
     names, score = ["und"] * len(texts), np.zeros(len(texts))
@@ -165,16 +182,26 @@ def _grams(batch: pa.RecordBatch):
 
 
 def _identify_joined(frame: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """identify by a join of the distinct texts' n-grams with the members; without a table there is no chance to correct."""
+    """classify where the table is too large for a task: positions of the distinct n-grams are looked up by a join.
+
+    An n-gram that very many texts hold is one row in that join; in the join back to the texts it is dealt to SALTS tasks.
+    """
     key = F.sha2(F.col(f"`{text_col}`"), 256)
     texts = frame.where(F.col(f"`{text_col}`").isNotNull()).select(key.alias("key"), F.col(f"`{text_col}`").alias("text")).dropDuplicates(["key"])
     grams = C.cut(C.map_arrow(texts, _grams, "key string, gram long, n long"))
     total = grams.groupBy("key").agg(F.sum("n").alias("total"))
-    hits = grams.join(model.members, "gram").groupBy("key", "lang").agg(F.sum("n").alias("hits"))
-    best = hits.groupBy("key").agg(F.min(F.struct((-F.col("hits")).alias("less"), "lang")).alias("best"))
-    none = F.struct(F.lit(0).cast("long").alias("less"), F.lit(model.languages[0]).alias("lang"))
-    found = total.join(best, "key", "left").withColumn("best", F.coalesce("best", none))
-    found = found.select(F.col("key").alias("_key"), F.col("best.lang").alias("_lang"), (-F.col("best.less") / F.col("total")).alias("_score"))
+    probes = grams.select("gram").distinct().select("gram", F.explode(_slot_columns(model.bits)).alias("slot"))
+    masks = probes.join(model.slots, "slot").groupBy("gram", "word").agg(F.bit_and("mask").alias("mask"), F.count("*").alias("at")).where((F.col("at") == HASHES) & (F.col("mask") != 0))
+    masks = C.cut(masks.select("gram", "word", "mask")).withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    dealt = grams.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    hits = dealt.join(masks, ["gram", "salt"]).groupBy("key", "word", "mask").agg(F.sum("n").alias("n"))
+    hits = hits.select("key", "word", "n", _set_bits("mask").alias("bit"))
+    hits = hits.groupBy("key", (F.col("word") * 64 + F.col("bit")).alias("lang")).agg(F.sum("n").alias("found"))
+    chance = F.element_at(F.array(*(F.lit(float(x)) for x in model.false_positive)), (F.col("lang") + 1).cast("int"))
+    above = F.greatest(F.lit(0.0), (F.col("found") - F.col("total") * chance) / F.greatest(F.lit(1e-9), 1 - chance))
+    best = hits.join(total, "key").groupBy("key").agg(F.min(F.struct((-above).alias("less"), "lang")).alias("best"))
+    name = F.when(-F.col("best.less") > 0, F.element_at(F.array(*map(F.lit, model.languages)), (F.col("best.lang") + 1).cast("int"))).otherwise(model.languages[0])
+    found = total.join(best, "key", "left").select(F.col("key").alias("_key"), name.alias("_lang"), F.least(F.lit(1.0), F.coalesce(-F.col("best.less") / F.col("total"), F.lit(0.0))).alias("_score"))
     out = frame.withColumn("_key_", key).join(found, F.col("_key_") == F.col("_key"), "left")
     return out.select(*(frame[c] for c in frame.columns), F.coalesce("_lang", F.lit("und")).alias("lang_pred"), F.coalesce("_score", F.lit(0.0)).alias("score"))
 
