@@ -6,11 +6,12 @@ middle, and lag-1 serial correlation. Their smallest p-value, times three, is th
 
 How rarely ordinary words reach such a randomness is counted over the distinct tokens of the whole corpus, so copies
 count once: words of letters alone, in classes of length. That share, drawn towards the share among the words of this
-and all shorter classes with the weight of PRIOR words, is a token's p-value against "an ordinary word"; a
+and all shorter classes with the weight of PRIOR words, is a token's p-value against "an ordinary word". That share is
+itself drawn, with the same weight, towards an assumed one (ASSUMED: inverse to the randomness, FALSE_DISCOVERY at a
+randomness of FALSE_DISCOVERY), which fades as words are seen; one rule holds from no words at all to any number. A
 Benjamini-Hochberg threshold over all distinct tokens that mix letters and digits keeps the expected share of ordinary
-words among the findings below FALSE_DISCOVERY. Where fewer than PRIOR words are this long or shorter, no such p-value can
-reach FALSE_DISCOVERY; there a token counts as a secret unless the tests reject its being random at that level. Counts
-are kept by class of length and by bin of randomness, so that what reaches the driver has a fixed size.
+words among the findings below FALSE_DISCOVERY. Counts are kept by class of length and by bin of randomness, so that what
+reaches the driver has a fixed size.
 
 Defined cases: null text is empty and has no findings; repeated rows repeat; further columns are ignored.
 """
@@ -38,6 +39,8 @@ TOKEN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{16,}(?![\w+/=-])")
 #: Classes of length begin here; bins of randomness, on a logarithmic scale.
 LENGTHS, BINS = np.array([16, 20, 24, 32, 48, 64]), 40
 FALSE_DISCOVERY, LEAST_RANDOM, PRIOR = 0.05, 0.01, 19
+#: By bin, the share of ordinary words taken to be at least as random before any is seen.
+ASSUMED = np.minimum(1, FALSE_DISCOVERY**2 / 10 ** (4 * np.arange(BINS) / BINS - 4))
 
 _ORD = np.zeros((4, 128), np.int64)
 for _row, _alphabet in enumerate(("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")):
@@ -121,21 +124,15 @@ def limits_of(seen: np.ndarray) -> np.ndarray:
     """thresholds from the counts of distinct tokens by kind (0, 1), class of length and bin of randomness."""
     tail = np.cumsum(seen[0][:, ::-1], axis=1)[:, ::-1]  # words at least as random
     n = seen[0].sum(1, keepdims=True)
-    up_to = np.cumsum(n, axis=0)
-    prior = (1 + np.cumsum(tail, axis=0)) / (1 + up_to)
-    p = (tail + PRIOR * prior) / (n + PRIOR)
-    few = (up_to < PRIOR)[:, 0]
-    least = np.arange(BINS) >= bins(np.array([LEAST_RANDOM]))[0]
-    out = np.zeros(p.shape, bool)
-    out[few] = np.arange(BINS) >= bins(np.array([FALSE_DISCOVERY]))[0]
-    p, tokens = p[~few], seen[1][~few]
+    shorter = (PRIOR * ASSUMED + np.cumsum(tail, axis=0)) / (PRIOR + np.cumsum(n, axis=0))
+    p = (tail + PRIOR * shorter) / (n + PRIOR)
     order = np.argsort(p, axis=None)
-    tested = np.cumsum(tokens.ravel()[order])
-    m = max(1.0, tokens.sum())
+    tested = np.cumsum(seen[1].ravel()[order])
+    m = max(1.0, seen[1].sum())
     passed = np.flatnonzero((p.ravel()[order] <= FALSE_DISCOVERY * tested / m) & (tested > 0))
     limit = p.ravel()[order][passed[-1]] if len(passed) else -1.0
-    out[~few] = (p <= limit) & least[None, :]
-    return out
+    least = np.arange(BINS) >= bins(np.array([LEAST_RANDOM]))[0]
+    return (p <= limit) & least[None, :]
 
 
 def thresholds(docs: DataFrame, text_col: str = "text") -> np.ndarray:
