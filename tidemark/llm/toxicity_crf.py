@@ -35,7 +35,7 @@ from tidemark.llm import common as C
 SAMPLE = 3000
 SURE = 1.645  # the classes are of log-odds so many standard errors of the toxic count below the estimate
 CLASSES = (1.0, 2.0, 3.5)  # log-odds where the classes 1, 2, 3 begin
-REACH, STEPS = 12, 60
+REACH, STEPS, PIECE = 12, 60, 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -160,23 +160,24 @@ def summaries(all_codes: list[np.ndarray], model: Model) -> tuple[np.ndarray, li
     flat, lengths, owner, first = [], [], [], []
     for d, codes in enumerate(all_codes):
         for a, b in chains(codes):
-            for s in range(a, b, 256):  # a long chain in parts; one ends where the next begins
-                flat.append(codes[s : min(b, s + 256)])
-                lengths.append(len(flat[-1]))
-                owner.append(d)
-                first.append(s)
+            flat.append(codes[a:b])
+            lengths.append(b - a)
+            owner.append(d)
+            first.append(a)
     out, spans = np.zeros((len(all_codes), 2)), [[] for _ in all_codes]
-    if flat:
-        p = marginals(np.concatenate(flat), np.array(lengths), model)
-        base = model.stationary()[2]
+    base = model.stationary()[2]
+    like = np.array([n.bit_length() for n in lengths], int)
+    for size in np.unique(like):  # chains of like length at once, each as a whole: the grid holds at most twice their words
+        group = np.flatnonzero(like == size)
+        p = marginals(np.concatenate([flat[i] for i in group]), np.array([lengths[i] for i in group]), model)
         at = 0
-        for n, d, s in zip(lengths, owner, first, strict=True):
-            part = p[at : at + n]
+        for i in group:
+            part, d = p[at : at + lengths[i]], owner[i]
             out[d, 0] += np.maximum(0, part - base).sum()
             out[d, 1] = max(out[d, 1], part.max())
-            spans[d] += [(s + int(i), float(part[i])) for i in np.flatnonzero(part >= 0.5)]
-            at += n
-    return out, spans
+            spans[d] += [(first[i] + int(j), float(part[j])) for j in np.flatnonzero(part >= 0.5)]
+            at += lengths[i]
+    return out, [sorted(s) for s in spans]
 
 
 def document_scores(summary: np.ndarray, weigh: np.ndarray) -> np.ndarray:
@@ -185,16 +186,24 @@ def document_scores(summary: np.ndarray, weigh: np.ndarray) -> np.ndarray:
 
 
 def fit_field(codes: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum likelihood (with a small quadratic prior) of the field on labelled tokens, by gradient ascent."""
+    """Maximum likelihood (with a small quadratic prior) of the field on labelled tokens, by scaled gradient ascent.
+
+    All words count, in pieces of at most PIECE; pieces of class 0 alone are equal, so one of each length stands for all.
+    """
     strong = np.array([3 in (c // 16, c // 4 % 4, c % 4) for c in range(64)])
-    seqs, labels = [], []
+    seqs, labels, plain = [], [], np.zeros(PIECE + 1)
     for c, y in zip(codes, toxic, strict=True):
-        for a, b in chains(c) or [(0, min(len(c), 2 * REACH))]:
-            for s in range(a, b, 64):
-                seqs.append(c[s : min(b, s + 64)])
+        end = 0
+        for a, b in [*chains(c), (len(c), len(c))]:
+            plain[PIECE] += (a - end) // PIECE  # words of class 0 between chains: pieces that are all alike are counted
+            plain[(a - end) % PIECE] += 1
+            end = b
+            for s in range(a, b, PIECE):
+                seqs.append(c[s : min(b, s + PIECE)])
                 labels.append((strong[seqs[-1]] & bool(y)).astype(int))
-    keep = [i for i, s in enumerate(seqs) if len(s)]
-    seqs, labels = [seqs[i] for i in keep], [labels[i] for i in keep]
+    alike = [k for k in range(1, PIECE + 1) if plain[k]]
+    weight = np.concatenate([np.ones(len(seqs)), plain[alike]])
+    seqs, labels = seqs + [np.zeros(k, np.int64) for k in alike], labels + [np.zeros(k, int) for k in alike]
     emit, move = np.full(64, -2.0), np.zeros((2, 2))
     if not seqs:
         return emit, move
@@ -203,10 +212,12 @@ def fit_field(codes: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, n
     for i, (s, y) in enumerate(zip(seqs, labels, strict=True)):
         grid[i, : len(s)], lab[i, : len(s)] = s, y
     inside = grid >= 0
-    want_emit = np.bincount(grid[inside & (lab == 1)], minlength=64).astype(float)
+    times = weight[:, None] * inside
+    toxic_word = inside & (lab == 1)
+    want_emit = np.bincount(grid[toxic_word], weights=times[toxic_word], minlength=64)
     pair = inside[:, 1:]
-    want_move = np.bincount((lab[:, :-1] * 2 + lab[:, 1:])[pair], minlength=4).reshape(2, 2).astype(float)
-    seen, pairs = np.bincount(grid[inside], minlength=64), pair.sum()
+    want_move = np.bincount((lab[:, :-1] * 2 + lab[:, 1:])[pair], weights=times[:, 1:][pair], minlength=4).reshape(2, 2)
+    seen = np.bincount(grid[inside], weights=times[inside], minlength=64)
     for _ in range(STEPS):
         e, m = np.exp(np.where(inside, emit[np.maximum(grid, 0)], 0.0)), np.exp(move)
         f = np.ones((n, 2)) * 0.5
@@ -221,16 +232,16 @@ def fit_field(codes: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, n
             both = fs[t] * b
             p = both[:, 1] / both.sum(1)
             ok = inside[:, t]
-            got_emit += np.bincount(grid[ok, t], weights=p[ok], minlength=64)
+            got_emit += np.bincount(grid[ok, t], weights=(p * weight)[ok], minlength=64)
             right = b * np.stack([np.ones(n), e[:, t]], 1)
             if t:
                 joint = fs[t - 1][:, :, None] * m[None] * right[:, None, :]
                 joint /= joint.sum((1, 2), keepdims=True)
-                got_move += joint[ok].sum(0)
+                got_move += (joint * weight[:, None, None])[ok].sum(0)
             back = right @ m.T
             b = np.where(ok[:, None], back / back.sum(1, keepdims=True), b)
         emit = np.clip(emit + 4 * (want_emit - got_emit - 0.01 * emit) / (seen + 10), -12, 12)
-        move = np.clip(move + 2 * (want_move - got_move - 0.01 * move) / (pairs / 4 + 10), -6, 6)
+        move = np.clip(move + (want_move - got_move - 0.01 * move) / (want_move + got_move + 10), -6, 6)
     return emit, move
 
 
