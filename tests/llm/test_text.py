@@ -101,6 +101,70 @@ def test_battery_tells_random_tokens_from_words():
     assert (secrets_battery.battery(words)[1] < 0.01).all()
 
 
+def test_one_rule_decides_from_no_words_to_many():
+    shape = (2, len(secrets_battery.LENGTHS), secrets_battery.BINS)
+    seen = np.zeros(shape)
+    seen[1, 2, -10:] = 5  # tokens as random as random ones are
+    seen[1, 2, :5] = 4  # and others
+    none = secrets_battery.limits_of(seen)
+    assert none[2, -5:].all() and not none[:, : shape[2] // 2].any()
+    last = none.sum()
+    for words in (1, 18, 19, 20, 100, 100_000):  # words that are never random: the more, the surer
+        seen[0, 2, 0] = words
+        now = secrets_battery.limits_of(seen).sum()
+        assert now >= last
+        last = now
+    seen[0, 2] = 100_000 / shape[2]  # words that are as random as any token: no token stands out
+    assert not secrets_battery.limits_of(seen)[2].any()
+    assert not secrets_battery.limits_of(np.zeros(shape)).any()
+
+
+def _whole(codes, m):
+    """Marginals of label 1 by one pass either way over the whole chain."""
+    f, b, _ = m.stationary()
+    step = np.exp(m.move)[None] * np.exp(np.stack([np.zeros(len(codes)), m.emit[codes]], 1))[:, None, :]
+    fs, bs = [], [b]
+    for s in step:
+        f = f @ s
+        f = f / f.sum()
+        fs.append(f)
+    for s in step[:0:-1]:
+        b = s @ b
+        b = b / b.sum()
+        bs.append(b)
+    both = np.array(fs) * np.array(bs[::-1])
+    return both[:, 1] / both.sum(1)
+
+
+def test_long_chains_are_passed_through_whole():
+    r = np.random.default_rng(4)
+    m = toxicity_crf.Model(np.zeros(0, np.uint64), r.normal(0, 2, 64), np.array([[1.5, -2.0], [-2.0, 1.5]]), np.zeros(3))
+    docs = [np.where(r.random(n) < 0.3, r.integers(1, 64, n), 0) for n in (1, 20, 255, 256, 257, 1500, 3000)]
+    found, spans = toxicity_crf.summaries(docs, m)
+    base = m.stationary()[2]
+    for codes, (total, top), words in zip(docs, found, spans, strict=True):
+        (a, b), *more = toxicity_crf.chains(codes) or [(0, 0)]
+        if more or not b:
+            continue
+        p = _whole(codes[a:b], m)
+        assert total == pytest.approx(np.maximum(0, p - base).sum()) and top == pytest.approx(p.max())
+        assert [i for i, _ in words] == (a + np.flatnonzero(p >= 0.5)).tolist()
+    assert sum(len(toxicity_crf.chains(d)) == 1 and len(d) > 256 for d in docs) >= 1
+
+
+def test_all_words_of_class_zero_count_in_the_fit():
+    r = np.random.default_rng(5)
+    piece = toxicity_crf.PIECE
+    plain = [np.zeros(n, int) for n in (0, 1, piece - 1, piece, 500, 70_000)]
+    toxic = [np.where(r.random(40) < 0.5, r.integers(1, 64, 40), 0) for _ in range(30)]
+    y = np.array([0.0] * len(plain) + [1.0] * len(toxic))
+    whole = toxicity_crf.fit_field(plain + toxic, y)
+    cut = [p[i : i + piece] for p in plain for i in range(0, len(p), piece)]
+    parts = toxicity_crf.fit_field(cut + toxic, np.array([0.0] * len(cut) + [1.0] * len(toxic)))
+    less = toxicity_crf.fit_field([p[:24] for p in plain] + toxic, y)
+    assert np.allclose(whole[0], parts[0]) and np.allclose(whole[1], parts[1]) and not np.allclose(whole[1], less[1], atol=0.01)
+
+
 def test_minimum_cut_is_least():
     r = random.Random(8)
     for _ in range(200):
