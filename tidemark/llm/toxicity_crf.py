@@ -116,8 +116,37 @@ class Model:
         return f, b, float(f[1] * b[1] / (f @ b))
 
 
-def marginals(codes: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
-    """P(label 1) of each word of chains laid one after another, all chains at once; chains lie in class-0 surroundings."""
+def passed_on(parts: list[np.ndarray], chain: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages that reach each part; parts of one chain follow each other, the ends of a chain lie in
+    class-0 surroundings. A part passes messages on by the product of its words' matrices, taken for all parts at once."""
+    f0, b0, _ = model.stationary()
+    f, b = np.tile(f0, (len(parts), 1)), np.tile(b0, (len(parts), 1))
+    same = np.append(chain[1:] == chain[:-1], False)  # the next part goes on with the chain
+    long = np.flatnonzero(same | np.append(False, same[:-1]))
+    if not len(long):
+        return f, b
+    grid = np.full((len(long), max(len(parts[i]) for i in long)), -1)
+    for k, i in enumerate(long):
+        grid[k, : len(parts[i])] = parts[i]
+    move, up, across = np.exp(model.move), np.exp(model.emit), np.tile(np.eye(2), (len(long), 1, 1))
+    for t in range(grid.shape[1]):
+        new = across @ move
+        new[:, :, 1] *= up[grid[:, t]][:, None]
+        across = np.where((grid[:, t] >= 0)[:, None, None], new / new.sum((1, 2), keepdims=True), across)
+    for k, i in enumerate(long):
+        if same[i]:
+            out = f[i] @ across[k]
+            f[i + 1] = out / out.sum()
+    for k, i in reversed(list(enumerate(long))):
+        if i and same[i - 1]:
+            out = across[k] @ b[i]
+            b[i - 1] = out / out.sum()
+    return f, b
+
+
+def marginals(codes: np.ndarray, lengths: np.ndarray, model: Model, reach: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """P(label 1) of each word of chains laid one after another, all chains at once; chains lie in class-0 surroundings, or
+    the messages of ``reach`` reach them."""
     f0, b0, _ = model.stationary()
     n, most = len(lengths), int(lengths.max())
     start = np.cumsum(lengths) - lengths
@@ -126,7 +155,7 @@ def marginals(codes: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarra
         grid[i, : lengths[i]] = codes[start[i] : start[i] + lengths[i]]
     emit = np.where(grid >= 0, model.emit[np.maximum(grid, 0)], 0.0)
     move, inside = np.exp(model.move), grid >= 0
-    f, b = np.tile(f0, (n, 1)), np.tile(b0, (n, 1))
+    f, b = reach or (np.tile(f0, (n, 1)), np.tile(b0, (n, 1)))
     fs = np.zeros((most, n, 2))
     for t in range(most):
         new = f @ move
@@ -157,27 +186,27 @@ def chains(codes: np.ndarray) -> list[tuple[int, int]]:
 
 def summaries(all_codes: list[np.ndarray], model: Model) -> tuple[np.ndarray, list[list[tuple[int, float]]]]:
     """For each document: (expected toxic words beyond chance, largest marginal), and its words' marginals of 0.5 or more."""
-    flat, lengths, owner, first = [], [], [], []
+    flat, owner, first, chain = [], [], [], []
     for d, codes in enumerate(all_codes):
         for a, b in chains(codes):
-            flat.append(codes[a:b])
-            lengths.append(b - a)
-            owner.append(d)
-            first.append(a)
+            for at in range(a, b, PIECE):  # parts of a chain, with the messages that the others pass on
+                flat.append(codes[at : min(b, at + PIECE)])
+                owner.append(d)
+                first.append(at)
+                chain.append((d, a))
     out, spans = np.zeros((len(all_codes), 2)), [[] for _ in all_codes]
-    base = model.stationary()[2]
-    like = np.array([n.bit_length() for n in lengths], int)
-    for size in np.unique(like):  # chains of like length at once, each as a whole: the grid holds at most twice their words
-        group = np.flatnonzero(like == size)
-        p = marginals(np.concatenate([flat[i] for i in group]), np.array([lengths[i] for i in group]), model)
+    if flat:
+        number = np.cumsum([0] + [x != y for x, y in zip(chain[1:], chain, strict=False)])
+        p = marginals(np.concatenate(flat), np.array([len(x) for x in flat]), model, passed_on(flat, number, model))
+        base = model.stationary()[2]
         at = 0
-        for i in group:
-            part, d = p[at : at + lengths[i]], owner[i]
+        for x, d, s in zip(flat, owner, first, strict=True):
+            part = p[at : at + len(x)]
             out[d, 0] += np.maximum(0, part - base).sum()
             out[d, 1] = max(out[d, 1], part.max())
-            spans[d] += [(first[i] + int(j), float(part[j])) for j in np.flatnonzero(part >= 0.5)]
-            at += lengths[i]
-    return out, [sorted(s) for s in spans]
+            spans[d] += [(s + int(i), float(part[i])) for i in np.flatnonzero(part >= 0.5)]
+            at += len(x)
+    return out, spans
 
 
 def document_scores(summary: np.ndarray, weigh: np.ndarray) -> np.ndarray:
