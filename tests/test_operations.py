@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidemark import api
 from tidemark.operators import ledger
 from tidemark.sinks import fs
 from tidemark.sinks.lake import Lake, read_table
-from tidemark.sinks.split import COMPLETE, complete_days, read_day_parts, split_day_parts
+from tidemark.sinks.split import COMPLETE, LISTING, complete_days, read_day_parts, split_day_parts
 from tidemark.streaming.batch import file_names, stamp
 
 LATER = dt.datetime(2100, 1, 1)
@@ -33,6 +34,18 @@ def test_a_hot_day_of_equal_rows_gets_many_parts(spark, tmp_path):
     assert split_day_parts(spark, raw, out, 100) == []
 
 
+def test_small_parts_share_tasks(spark, tmp_path):
+    raw = _raw(spark, tmp_path, [trip(f"2022-02-0{1 + i % 3} 06:00:00", float(i)) for i in range(900)])
+    out, listing = str(tmp_path / "days"), spark.conf.get(LISTING)
+    split_day_parts(spark, raw, out, 10)
+    assert complete_days(spark, out) == {f"2022-02-0{k}": 30 for k in (1, 2, 3)}
+    files = fs.glob(spark, f"{out}/d=*/part=*/*.parquet")
+    assert len(files) > 80 and len({re.search(r"/part-(\d+)-", f).group(1) for f in files}) <= spark.sparkContext.defaultParallelism
+    read = read_day_parts(spark, out)
+    assert spark.conf.get(LISTING) == listing
+    assert sorted(r[0] for r in read.select("total_amount").collect()) == [float(i) for i in range(900)]
+
+
 def test_days_without_a_marker_are_written_anew(spark, tmp_path):
     raw = _raw(spark, tmp_path, [trip(f"2022-02-0{1 + i % 3} 06:00:00", float(i)) for i in range(90)])
     out = str(tmp_path / "days")

@@ -7,8 +7,8 @@ adds just what is missing. A month is a range on the raw timestamp, which Parque
 can push down.
 
 ``split_day_parts`` is the form for days of any size: a day is a folder of parts of
-about ``rows_per_part`` rows, each written by a task of its own, and counts as there
-once its completion marker is.
+about ``rows_per_part`` rows, written by tasks of one part or, where parts are small,
+of about ROWS_PER_TASK rows, and counts as there once its completion marker is.
 """
 
 from __future__ import annotations
@@ -26,6 +26,11 @@ from tidemark.sinks import fs
 
 RENAME_THREADS = 16
 ROWS_PER_PART = 4_000_000
+#: Parts of fewer rows share a task, as every task sends some kB of metrics to the driver, however little it writes.
+ROWS_PER_TASK = 250_000
+#: Tasks that list a day's parts; Spark's own number is one a part.
+LISTING_TASKS = 16
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 #: A table of one row a day is broadcast up to so many days (about 1 MB), and joined as Spark chooses beyond.
 BROADCAST_DAYS = 50_000
 #: Marker in a day's folder, written last; it holds the number of parts.
@@ -105,22 +110,24 @@ def split_day_parts(
     A count of rows a day (one row a day, also the driver's) says how many parts a day gets; its rows are dealt to them by
     a hash of their place in ``raw``, so neither a hot day nor rows that are all equal end in one task. ``raw`` has to give
     its rows in the same order when a task is run again, as a scan of files does. A day is published by one rename and then
-    its marker; a day without one, left by a stop, is written anew. ``fail_at='unmarked'`` stops there (tests).
+    its marker; a day without one, left by a stop, is written anew. What tasks send to the driver grows with days, with
+    rows / ROWS_PER_TASK (by some kB) and with parts (by their names). ``fail_at='unmarked'`` stops there (tests).
     """
     base = out_dir.rstrip("/")
     rows = _dated(raw.withColumn("_place", F.xxhash64(F.monotonically_increasing_id())), pickup, month)
     skip = sorted(complete_days(spark, out_dir))
     if skip:
         rows = rows.where(~F.col("d").cast("string").isin(skip))
-    counted = rows.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).cast("int").alias("parts")).collect()
+    counted = rows.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).cast("int").alias("parts")).collect()
     if not counted:
         return []
-    sizes = spark.createDataFrame(counted, "d date, parts int")
+    sizes = spark.createDataFrame([(r["d"], r["parts"]) for r in counted], "d date, parts int")
+    tasks = max(-(-sum(r["n"] for r in counted) // ROWS_PER_TASK), spark.sparkContext.defaultParallelism)
     dealt = rows.join(F.broadcast(sizes) if len(counted) <= BROADCAST_DAYS else sizes, "d")
     dealt = dealt.withColumn("part", F.pmod("_place", F.col("parts")).cast("int")).drop("_place", "parts")
     stage = f"{base}/_staging-{uuid.uuid4().hex[:12]}"
     # an explicit number of partitions: adaptive execution does not put the parts of a day back into one task
-    dealt.repartition(sum(r["parts"] for r in counted), "d", "part").write.mode("overwrite").partitionBy("d", "part").parquet(stage)
+    dealt.repartition(min(tasks, sum(r["parts"] for r in counted)), "d", "part").write.mode("overwrite").partitionBy("d", "part").parquet(stage)
     days = {r["d"].isoformat(): r["parts"] for r in counted}
     for day in days:
         fs.delete(spark, f"{base}/d={day}")  # unmarked, or not there
@@ -137,4 +144,11 @@ def read_day_parts(spark: SparkSession, out_dir: str) -> DataFrame | None:
     """Rows of the complete days, with ``d`` and ``part``; None where there is none."""
     base = out_dir.rstrip("/")
     days = sorted(complete_days(spark, out_dir))
-    return spark.read.option("basePath", base).parquet(*[f"{base}/d={day}" for day in days]) if days else None
+    if not days:
+        return None
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), LISTING_TASKS)))
+    try:
+        return spark.read.option("basePath", base).parquet(*[f"{base}/d={day}" for day in days])
+    finally:
+        spark.conf.set(LISTING, before)
