@@ -50,6 +50,29 @@ def test_pieces(docs, empty):
     assert piece_transducer.encode(empty).count() == 0
 
 
+def test_a_worker_keeps_no_transducer_beside_other_work(spark, docs):
+    piece_transducer.encode(docs.repartition(4)).select("ids").collect()
+
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for b in batches:
+            n = sum(type(x).__name__ == "Transducer" for x in gc.get_objects())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n] * b.num_rows, pa.int64())})
+
+    found = spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()
+    assert [r["n"] for r in found] == [0] * 16
+
+
+def test_components_get_edges_of_no_python_step(spark, docs, monkeypatch):
+    plans, whole = [], common.components
+    monkeypatch.setattr(common, "components", lambda e: plans.append(e._jdf.queryExecution().optimizedPlan().toString()) or whole(e))
+    assert minmax_dedup.near_duplicates(docs).count() == docs.count()
+    assert len(plans) == 3 and not any("InArrow" in p for p in plans)
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(TEXTS) and all(0 <= r.taken <= 3 * r["size"] for r in rows)

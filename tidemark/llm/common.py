@@ -78,6 +78,7 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict] | dict
             got = f(batch)
             for cols in [got] if isinstance(got, dict) else got:
                 yield pa.RecordBatch.from_arrays([pa.array(cols[x.name], type=x.type) if not isinstance(cols[x.name], pa.Array) else cols[x.name].cast(x.type) for x in out], schema=out)
+        pa.default_memory_pool().release_unused()  # an idle worker keeps none of it beside later stages
 
     return df.mapInArrow(run, schema)
 

@@ -270,9 +270,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     tiled = mine.select("key", "comp", "n", "sketch", "t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
     tiled = tiled.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "comp", "n", (F.col("t") > F.col("o")).cast("int").alias("side"), "sketch")
     suggested = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near(floor, percent), "a long, b long")
-    clusters = C.components(suggested).select(F.col("node").alias("comp"), F.col("component").alias("cluster"))
+    clusters = C.components(C.cut(suggested)).select(F.col("node").alias("comp"), F.col("component").alias("cluster"))
     open_members = mine.select("cls", "comp").distinct().join(clusters, "comp").join(sketches, "cls")
-    links = first.union(confirm_blocks(open_members, texts, floor, percent))
+    # cut before components: chained in one task, the two Python steps take a worker each, and workers stay
+    links = first.union(C.cut(confirm_blocks(open_members, texts, floor, percent)))
 
     final = C.components(links).withColumnRenamed("node", "cls")
     firsts = sets.groupBy("cls").agg(F.min("doc_id").alias("first_id"))

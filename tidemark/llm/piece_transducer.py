@@ -9,7 +9,7 @@ character, so paths never cross the begin of a word) and its tropical shortest p
   last piece, an arc costs 0 after a piece it may follow and infinity otherwise, and one path of finite cost remains.
 
 Segments repeat, so each worker keeps the paths of the last CACHE to 2 * CACHE segments, and in a table of FOLLOWS slots
-which piece may follow which (a newer pair takes the slot): about 75 MB a worker together. Decoding is the inverse: pieces and bytes
+which piece may follow which (a newer pair takes the slot): about 75 MB a worker together, until its next task of another job. Decoding is the inverse: pieces and bytes
 joined, marks turned into spaces, the first one dropped.
 
 The vocabulary file is a parameter; it reaches the executors as bytes. Models whose normaliser has a character map are
@@ -23,6 +23,7 @@ import re
 import struct
 from array import array
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -301,16 +302,16 @@ class Transducer:
         return parts
 
 
-_compiled: dict[int, Transducer] = {}
+@dataclass
+class Vocabulary:
+    """The bytes of a model, broadcast. A worker compiles them once and keeps the transducer and its cache from task to task,
+    in the broadcast's value: with its first task of another job it lets go of both, so they do not stay beside later work."""
 
+    model: bytes
 
-def compiled(model: bytes) -> Transducer:
-    """The worker's transducer of a model, compiled once and kept with its cache between batches."""
-    key = hash(model)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = Transducer.compile(model)
-    return _compiled[key]
+    @cached_property
+    def transducer(self) -> Transducer:
+        return Transducer.compile(self.model)
 
 
 def _model(path: str) -> bytes:
@@ -320,14 +321,14 @@ def _model(path: str) -> bytes:
 
 def encode(docs: DataFrame, model_path: str = MODEL, text_col: str = "text") -> DataFrame:
     """docs with ids, n_tokens and round_trip (whether decoding the ids gives the text back) added."""
-    shared = docs.sparkSession.sparkContext.broadcast(_model(model_path))
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(_model(model_path)))
     kept = [c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip")]
     frame = docs.select(*(docs[c] for c in kept))
     col = kept.index(text_col)
     fields = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes)
 
     def run(batch: pa.RecordBatch) -> dict:
-        t = compiled(shared.value)
+        t = shared.value.transducer
         texts = batch.column(col).to_pylist()
         ids = [None if x is None else t.encode(x) for x in texts]
         same = [None if x is None else t.decode(i.tolist()) == x for x, i in zip(texts, ids, strict=True)]
@@ -338,14 +339,14 @@ def encode(docs: DataFrame, model_path: str = MODEL, text_col: str = "text") ->
 
 def decode(frame: DataFrame, model_path: str = MODEL, ids_col: str = "ids") -> DataFrame:
     """frame with decoded added: the text of its ids (null for null)."""
-    shared = frame.sparkSession.sparkContext.broadcast(_model(model_path))
+    shared = frame.sparkSession.sparkContext.broadcast(Vocabulary(_model(model_path)))
     kept = [c for c in frame.columns if c != "decoded"]
     rows = frame.select(*(frame[c] for c in kept))
     col = kept.index(ids_col)
     fields = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
 
     def run(batch: pa.RecordBatch) -> dict:
-        t = compiled(shared.value)
+        t = shared.value.transducer
         return dict(zip(kept, batch.columns, strict=True)) | {"decoded": [None if x is None else t.decode(x) for x in batch.column(col).to_pylist()]}
 
     return C.map_arrow(rows, run, f"{fields}, decoded string")
