@@ -52,6 +52,43 @@ def test_transducer_agrees_with_the_library_and_decodes():
         assert t.decode(ids) == text == lib.decode(ids)
 
 
+def test_transducer_looks_at_few_pairs_and_finds_the_same_path(monkeypatch):
+    t = piece_transducer.Transducer.compile(piece_transducer._model(piece_transducer.MODEL))
+    r = random.Random(6)
+    parts = ["a", "th", "ing", "er", "é", "漢", "😀", "\U00010348", ",", "==", "\n", "▁", "aaa", "tion"]
+    segments = ["▁outrerément", "▁thertible.", "a" * 90, *("".join(r.choice(parts) for _ in range(r.randint(1, 30))) for _ in range(2000))]
+
+    def by_states(segment):
+        (start, ids), path, at = t._finite_path(segment, len(segment)), [], len(segment)
+        while at:
+            path[:0] = t._bytes(segment[start[at] : at]) if ids[at] < 0 else [ids[at]]
+            at = start[at]
+        return path
+
+    expected = [by_states(s) for s in segments]
+    asked = []
+    may = piece_transducer.Transducer.may_follow
+    monkeypatch.setattr(piece_transducer.Transducer, "may_follow", lambda self, left, right: asked.append(left) or may(self, left, right))
+    t.follows = type(t.follows)("q", [-1]) * piece_transducer.FOLLOWS
+    assert [t.shortest_path(s) for s in segments] == expected
+    searched = len(asked)
+    t.follows = type(t.follows)("q", [-1]) * piece_transducer.FOLLOWS
+    assert [by_states(s) for s in segments] == expected
+    assert searched < 0.9 * (len(asked) - searched)
+
+
+def test_round_trips_of_a_batch_are_those_of_each_text():
+    t = piece_transducer.Transducer.compile(piece_transducer._model(piece_transducer.MODEL))
+    ids = lambda x: np.array(t.encode(x), np.int32)
+    broken = np.array([t.byte_arcs[0xC3], t.byte_arcs[0x28]], np.int32)
+    texts = ["Hello  world", None, "", "a▁b", "漢😀\U00010348 x", "\ufffd(", "\ufffd", " x"]
+    given = [ids("Hello  world"), None, ids(""), ids("a▁b"), ids("漢😀\U00010348 x"), broken, ids("\ufffd"), ids("x")]
+    by_text = [None if i is None else t.decode(i.tolist()) == x for x, i in zip(texts, given, strict=True)]
+    assert t.round_trips(texts, given) == by_text
+    assert by_text == [True, None, True, False, True, True, True, False]
+    assert t.round_trips([None], [None]) == [None] and t.round_trips([], []) == []
+
+
 def test_unigram_takes_the_cheapest_path():
     def piece(p, s, kind=1):
         body = b"\x0a" + bytes([len(p.encode())]) + p.encode() + b"\x15" + np.float32(s).tobytes() + b"\x18" + bytes([kind])

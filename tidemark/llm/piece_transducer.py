@@ -6,7 +6,8 @@ character, so paths never cross the begin of a word) and its tropical shortest p
 
 * unigram models: an arc costs minus its piece's score;
 * BPE models: a path is a merge result exactly when each two neighbours stay apart if merged alone, so a state is the
-  last piece, an arc costs 0 after a piece it may follow and infinity otherwise, and one path of finite cost remains.
+  last piece, an arc costs 0 after a piece it may follow and infinity otherwise, and one path of finite cost remains. It
+  is searched depth first, longest arcs first, with the states that lead nowhere marked: few pairs are ever looked at.
 
 Segments repeat, so each worker keeps the paths of the last CACHE to 2 * CACHE segments, and in a table of FOLLOWS slots
 which piece may follow which (a newer pair takes the slot): about 75 MB a worker together, until its next task of another job. Decoding is the inverse: pieces and bytes
@@ -87,6 +88,8 @@ class Transducer:
     follows: array = field(default_factory=lambda: array("q", [-1]) * FOLLOWS)
     ends: dict[str, tuple | None] = field(default_factory=dict)
     lengths: list[int] = field(default_factory=list)
+    shorter: list[int] = field(default_factory=list)
+    closed: bool = False
     automaton: ahocorasick.Automaton | None = None
 
     @classmethod
@@ -115,6 +118,8 @@ class Transducer:
             elif kind == BYTE:
                 t.byte_arcs[int(piece[3:5], 16)] = i
         t.lengths = [len(p) for p in pieces]
+        t.shorter = [next((t.arcs[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in t.arcs), -1) for p in pieces]
+        t.closed = all(c in t.arcs for p in t.arcs for c in p)
         t.automaton = ahocorasick.Automaton()
         for piece, i in t.arcs.items():
             t.automaton.add_word(piece, i)
@@ -205,6 +210,8 @@ class Transducer:
         if self.model_type == BPE:
             if segment in self.arcs and self.may_follow(-1, self.arcs[segment]):
                 return [self.arcs[segment]]
+            if self.closed and (found := self._depth_first(segment, n)) is not None:
+                return found
             start, ids = self._finite_path(segment, n)
         else:
             start, ids = self._cheapest_path(segment, n)
@@ -215,6 +222,52 @@ class Transducer:
             at = start[at]
         return path[::-1]
 
+    def _depth_first(self, segment: str, n: int) -> list[int] | None:
+        """The ids of the path of cost 0 (None: there is none) of a model whose pieces hold no character that is no piece.
+
+        So a character without a piece is in no arc, and its byte arcs begin the path anew. A state that was left without
+        a way on is not entered again: one path of finite cost reaches it, whatever was tried before.
+        """
+        longest = [-1] * n
+        lengths, shorter, follows, k = self.lengths, self.shorter, self.follows, len(self.pieces)
+        for end, piece in self.automaton.iter(segment):
+            longest[end + 1 - lengths[piece]] = piece  # ends ascend
+        path: list[int] = []
+        dead = bytearray(n + 1)
+        at, last, piece, bare = 0, -1, longest[0], False
+        while at < n:
+            while piece >= 0:
+                end = at + lengths[piece]
+                if not dead[end]:
+                    key = (last + 1) * k + piece
+                    held = follows[key % FOLLOWS]
+                    if held & 1 if held >> 1 == key else self.may_follow(last, piece):
+                        break
+                piece = shorter[piece]
+            else:
+                if longest[at] < 0:
+                    end, piece, bare = at + 1, -1, True
+                elif not path or path[-1] < 0:
+                    return None
+                else:
+                    dead[at] = 1
+                    piece = path.pop()
+                    at -= lengths[piece]
+                    last = path[-1] if path else -1
+                    piece = shorter[piece]
+                    continue
+            path.append(piece)
+            at, last = end, piece
+            piece = longest[at] if at < n else -1
+        if not bare:
+            return path
+        out: list[int] = []
+        at = 0
+        for piece in path:
+            out += [piece] if piece >= 0 else self._bytes(segment[at])
+            at += lengths[piece] if piece >= 0 else 1
+        return out
+
     def _finite_path(self, segment: str, n: int) -> tuple[list[int], list[int]]:
         """For each state the start of the arc that reaches it at cost 0, and its piece (-1: none, or bytes; -2: not reached)."""
         start, ids = [0] * (n + 1), [-2] * (n + 1)
@@ -263,19 +316,55 @@ class Transducer:
         return ids if min(ids) >= 0 else [self.kinds.index(UNKNOWN)]
 
     def encode(self, text: str) -> np.ndarray:
-        paths, out = self.paths, []
-        for s in self.segment.findall(self.normalise(text)):
-            got = paths.get(s)
-            if got is None:
-                got = self.older.get(s) or np.array(self.shortest_path(s), np.int32).tobytes()
-                if len(s) <= CACHED_CHARS:
-                    if len(paths) >= CACHE:
-                        self.older, self.paths = paths, {}
-                        paths = self.paths
-                    paths[s] = got
-            out.append(got)
+        segments = self.segment.findall(self.normalise(text))
+        out = list(map(self.paths.get, segments))
+        if None in out:
+            for i, got in enumerate(out):
+                if got is None:
+                    out[i] = self._path(segments[i])
         return np.frombuffer(b"".join(out), np.int32)
 
+    def _path(self, segment: str) -> bytes:
+        """A segment's ids from the cache or found, and then kept."""
+        got = self.paths.get(segment) or self.older.get(segment) or array("i", self.shortest_path(segment)).tobytes()
+        if len(segment) <= CACHED_CHARS:
+            if len(self.paths) >= CACHE and segment not in self.paths:
+                self.older, self.paths = self.paths, {}
+            self.paths[segment] = got
+        return got
+
+    @cached_property
+    def raw(self) -> pa.Array:
+        """The bytes that each id stands for."""
+        text = {NORMAL: lambda p: p.encode(), USER_DEFINED: lambda p: p.encode(), UNKNOWN: lambda p: " ⁇ ".encode(), BYTE: lambda p: bytes([int(p[3:5], 16)])}
+        return pa.array([text.get(k, lambda p: b"")(p) for p, k in zip(self.pieces, self.kinds, strict=True)], pa.large_binary())
+
+    def round_trips(self, texts: list[str | None], ids: list[np.ndarray | None]) -> list[bool | None]:
+        """Whether decoding the ids of each text gives it back (null: null); all pieces of a batch are looked up at once.
+
+        Bytes that are no UTF-8 when joined are left to ``decode``, which replaces them run by run.
+        """
+        found = [i for i in ids if i is not None]
+        joined = self.raw.take(pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+        at = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :]
+        data, mark = memoryview(joined.buffers()[2] or b""), MARK.encode()
+        out: list[bool | None] = []
+        done = 0
+        for text, i in zip(texts, ids, strict=True):
+            if i is None:
+                out.append(None)
+                continue
+            got = bytes(data[at[done] : at[done + len(i)]]).replace(mark, b" ") if len(i) else b""
+            done += len(i)
+            try:
+                plain = got.decode()
+            except UnicodeDecodeError:
+                plain = self.decode(i.tolist())
+            else:
+                plain = plain[1:] if self.dummy_prefix and plain.startswith(" ") else plain
+            out.append(plain == text)
+        return out
+
     def decode(self, ids: list[int]) -> str:
         if not self.plain:  # pieces that stand for a text of their own, whatever their neighbours
             text = {NORMAL: lambda p: p, USER_DEFINED: lambda p: p, UNKNOWN: lambda p: " ⁇ ", BYTE: lambda p: chr(int(p[3:5], 16)) if int(p[3:5], 16) < 128 else None}
@@ -331,8 +420,7 @@ def encode(docs: DataFrame, model_path: str = MODEL, text_col: str = "text") ->
         t = shared.value.transducer
         texts = batch.column(col).to_pylist()
         ids = [None if x is None else t.encode(x) for x in texts]
-        same = [None if x is None else t.decode(i.tolist()) == x for x, i in zip(texts, ids, strict=True)]
-        return dict(zip(kept, batch.columns, strict=True)) | {"ids": pa.array(ids, pa.list_(pa.int32())), "n_tokens": [None if i is None else len(i) for i in ids], "round_trip": same}
+        return dict(zip(kept, batch.columns, strict=True)) | {"ids": pa.array(ids, pa.list_(pa.int32())), "n_tokens": [None if i is None else len(i) for i in ids], "round_trip": t.round_trips(texts, ids)}
 
     return C.map_arrow(frame, run, f"{fields}, ids array<int>, n_tokens long, round_trip boolean")
 
